@@ -4,6 +4,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from ebbtide import fixed_values as fv
+from ebbtide.functions.binding import let
 
 W, WORD = fv.CODE_WINDOW, fv.CODE_WORD
 
@@ -13,6 +14,7 @@ WITH_DASH = r"(?U)\b(\d{5})\s*-\s*(\d{3})\b"
 # Eight digits on their own. The word may end up to W - 3 characters before them,
 # or begin so that it ends within W characters of their start.
 BARE = r"\b\d{8}\b"
+BARE_TEST = rf"(?U){BARE}"
 NEAR_BEFORE = rf"(?<={WORD}[\s\S]{{0,{W - len(WORD)}}}){BARE}"
 NEAR_AFTER = rf"{BARE}(?=[\s\S]{{0,{W - 8 - len(WORD)}}}{WORD})"
 NEAR = rf"(?iU)({NEAR_BEFORE}|{NEAR_AFTER})|{BARE}"
@@ -52,6 +54,8 @@ def bare_codes(text: Column, found: Column, cap: int = fv.CODE_CAP) -> Column:
     near = F.regexp_extract_all(text, F.lit(NEAR), F.lit(1))
     seen = F.zip_with(digits, near, lambda d, n: F.struct(d.alias("digits"), (n != "").alias("near")))
     candidates = F.filter(seen, lambda s: s["near"] | ~s["digits"].substr(1, 2).isin("00", *fv.DATE_PREFIXES))
+    # The cheap test spares texts without eight digits the search for the word around them.
+    candidates = F.when(text.rlike(BARE_TEST), candidates).otherwise(F.array().cast("array<struct<digits:string,near:boolean>>"))
     room = F.lit(cap) - F.size(found)
     kept = F.filter(candidates, lambda s, i: s["near"] | (i < room))
     return F.transform(kept, lambda s: _dashed(s["digits"]))
@@ -59,5 +63,8 @@ def bare_codes(text: Column, found: Column, cap: int = fv.CODE_CAP) -> Column:
 
 def postal_codes(text: Column) -> Column:
     """Distinct codes in order of appearance, pattern by pattern."""
-    found = explicit_codes(text)
-    return F.array_distinct(F.concat(found, bare_codes(text, found)))
+
+    def of(t: Column) -> Column:
+        return let(explicit_codes(t), lambda found: F.array_distinct(F.concat(found, bare_codes(t, found))))
+
+    return let(text, of)

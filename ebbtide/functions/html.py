@@ -6,6 +6,7 @@ import json
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from ebbtide.functions.binding import let
 from ebbtide.functions.text import strip
 
 # Names that are valid without a closing semicolon come first in the pattern table.
@@ -26,11 +27,14 @@ def _decode(entity: Column, names: Column) -> Column:
 def unescape(text: Column) -> Column:
     """Replace the entities of a text; texts without any pass unchanged."""
     names = F.from_json(F.lit(json.dumps(_NAMED)), "map<string,string>")
-    found = F.regexp_extract_all(text, F.lit(ENTITY), F.lit(1))
-    between = F.split(text, ENTITY, -1)
-    decoded = F.concat(F.transform(found, lambda e: _decode(e, names)), F.array(F.lit("")))
-    joined = F.array_join(F.zip_with(between, decoded, lambda b, d: F.concat(b, d)), "")
-    return F.when(text.contains("&"), joined).otherwise(text)
+
+    def of(t: Column) -> Column:
+        found = F.regexp_extract_all(t, F.lit(ENTITY), F.lit(1))
+        decoded = F.concat(F.transform(found, lambda e: _decode(e, names)), F.array(F.lit("")))
+        joined = F.array_join(F.zip_with(F.split(t, ENTITY, -1), decoded, lambda b, d: F.concat(b, d)), "")
+        return F.when(t.contains("&"), joined).otherwise(t)
+
+    return let(text, of)
 
 
 def html_text(page: Column) -> Column:

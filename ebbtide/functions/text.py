@@ -90,7 +90,7 @@ def progress_phrase(goal: Column, done: Column) -> Column:
 
 def attainment_text(pct: Column) -> Column:
     """One decimal and a percent sign; a dash where there is no percentage."""
-    return F.coalesce(F.format_string("%.1f%%", round_even(pct, 1)), F.lit(fv.DASH))
+    return F.when(pct.isNotNull(), F.format_string("%.1f%%", round_even(pct, 1))).otherwise(fv.DASH)
 
 
 def score_text(score: Column) -> Column:

@@ -41,7 +41,8 @@ def read_codes(mail: DataFrame, full: bool = True) -> DataFrame:
     codes = postal_codes(whole) if full else F.array_distinct(explicit_codes(whole))
     none = F.array().cast("array<string>")
     gate = mentions_code(F.col("subject"), F.col("body"))
-    return read.withColumn("codes", F.when(gate, codes).otherwise(none))
+    # As a generator the search runs once; a later filter is not moved in front of it.
+    return read.select("*", F.explode(F.array(F.when(gate, codes).otherwise(none))).alias("codes"))
 
 
 def code_report(mail: DataFrame, full: bool = True) -> DataFrame:

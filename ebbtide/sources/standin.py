@@ -429,7 +429,7 @@ def leads(t: Tables) -> DataFrame:
         .otherwise(_one_of(key, "Prospecção", "Contato Pré Vendas", "Negociação", "Em Aprovação", "Sem contato", "Outro"))
     )
     created = F.col("o_orderdate")
-    after = F.make_dt_interval(F.lit(0), (key % 200 - 20).cast("int"), F.lit(0), F.lit(0))
+    after = F.make_dt_interval(hours=((key % 200 - 20) * 7).cast("int"))
     return schemas.conform(
         t.orders.select(
             key.alias("lead_id"),

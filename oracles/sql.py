@@ -91,9 +91,9 @@ def _sellers(where: str) -> str:
     return _share_columns(
         f"""SELECT branch, kind, 'sellers' AS section, ord::INTEGER AS ord, label, qty, {PCT} AS pct, FALSE AS is_total
     FROM (SELECT *, row_number() OVER (PARTITION BY branch, kind ORDER BY qty DESC, label) AS ord
-      FROM (SELECT branch, kind, seller AS label, count(*) AS qty,
-          sum(count(*)) OVER (PARTITION BY branch, kind) AS whole
-        FROM clean WHERE {where} GROUP BY ALL) WHERE label IS NOT NULL)
+      FROM (SELECT *, sum(qty) OVER (PARTITION BY branch, kind) AS whole
+        FROM (SELECT branch, kind, seller AS label, count(*) AS qty FROM clean WHERE {where} GROUP BY ALL))
+      WHERE label IS NOT NULL)
     WHERE ord <= 10"""
     )
 
@@ -231,7 +231,7 @@ CYCLES = f"""cycles AS (
 SEMESTERS = """semesters AS (
   SELECT row_number() OVER (ORDER BY min(first_day)) AS period_ord, min(first_day) AS first_day,
     max(last_day) AS last_day, 'S' || CASE WHEN month(last_day) <= 6 THEN 1 ELSE 2 END || '-' || year(last_day) AS period
-  FROM cycles GROUP BY period)""".replace("GROUP BY period)", "GROUP BY CASE WHEN month(last_day) <= 6 THEN 1 ELSE 2 END, year(last_day))")
+  FROM cycles GROUP BY CASE WHEN month(last_day) <= 6 THEN 1 ELSE 2 END, year(last_day))"""
 
 
 def _latest_by(periods: str) -> str:
@@ -377,7 +377,7 @@ def detail_queries() -> dict[str, str]:
 
 # --- goals ---------------------------------------------------------------------------
 
-TITLE = "array_to_string(list_transform(string_split(lower({0}), ' '), w -> upper(w[1]) || w[2:]), ' ')"
+TITLE = "array_to_string(list_transform(string_split(lower({0}), ' '), lambda w: upper(w[1]) || w[2:]), ' ')"
 
 GOALS = f"""goals AS (
   SELECT branch, team, sum(goal)::DOUBLE AS goal FROM (
@@ -434,7 +434,7 @@ MESSAGE = """SELECT branch, ord::INTEGER AS ord, team, lives::VARCHAR AS lives_t
 
 def goal_queries() -> dict[str, str]:
     every = f"WITH {GOALS}, {PROPOSALS}, {TEAMS}, {_lives('TRUE')}, {RESULT} "
-    some = f"status = 'O' AND product = '1-URGENT'"
+    some = "status = 'O' AND product = '1-URGENT'"
     return {
         "goals_latest_month": f"WITH {GOALS} SELECT branch, team, goal FROM goals",
         "lives_by_team": f"{every} SELECT branch, team, lives FROM lives",
@@ -464,7 +464,7 @@ MAIL = f"""mail AS (
     CASE o_orderkey % 7 WHEN 0 THEN trim('Lista de CEPS ' || o_orderkey || ' ' || repeat('assunto ', 14))
       WHEN 1 THEN 'Pedido ' || {EIGHT} ELSE 'Pedido' END AS subject,
     CASE WHEN o_orderkey % 40 = 0 THEN 'cep ' || {FAR} || array_to_string(list_transform(range(25),
-        i -> printf('%08d', (o_orderkey * 104729 + i * 3571) * 97 % 100000000)), ' ')
+        lambda i: printf('%08d', (o_orderkey * 104729 + i * 3571) * 97 % 100000000)), ' ')
       WHEN o_orderkey % 6 = 0 THEN 'Entrega CEP: ' || {FIVE} || '-' || {THREE} || ' e ' || {EIGHT}
       WHEN o_orderkey % 6 = 1 THEN 'CEP ' || {FIVE} || {THREE} || {FAR} || {EIGHT} || ' ' || {FIVE} || ' - ' || {THREE}
       WHEN o_orderkey % 6 = 2 THEN 'nada aqui ' || {EIGHT}
@@ -481,7 +481,7 @@ explicit AS (
   SELECT *, list_transform(
       list_concat(regexp_extract_all(text, '(?i)CEP\s*:?\s*\d{5}\s*-?\s*\d{3}'),
         regexp_extract_all(text, '\b\d{5}\s*-\s*\d{3}\b')),
-      x -> regexp_replace(x, '\D', '', 'g')) AS hits
+      lambda x: regexp_replace(x, '\D', '', 'g')) AS hits
   FROM found)"""
 
 # Bare numbers by position: each start, its neighbours and its context are looked at one by one.
@@ -505,16 +505,10 @@ coded AS (
   FROM explicit e LEFT JOIN accepted USING (uid))"""
 
 
-def _code_report(source: str, codes: str) -> str:
-    return f"""SELECT folder, uid, strftime(sent, '%Y-%m-%d %H:%M:%S') AS sent, sender, substr(subject, 1, 100) AS subject,
-    body, array_to_string(list_transform(list_sort(list_distinct({codes}), 'ASC'), x -> x), ', ') AS unordered,
-    {codes} AS listed FROM {source}"""
-
-
 def _codes(source: str, codes: str) -> str:
     # The first place of each code keeps the order of appearance.
-    unique = f"list_filter({codes}, (x, i) -> list_position({codes}, x) = i)"
-    dashed = f"list_transform({unique}, x -> x[1:5] || '-' || x[6:8])"
+    unique = f"list_filter({codes}, lambda x, i: list_position({codes}, x) = i)"
+    dashed = f"list_transform({unique}, lambda x: x[1:5] || '-' || x[6:8])"
     return f"""SELECT folder, uid, strftime(sent, '%Y-%m-%d %H:%M:%S') AS sent, sender, substr(subject, 1, 100) AS subject,
     body, array_to_string({dashed}, ', ') AS codes, len({unique})::INTEGER AS quantity
   FROM {source} WHERE gate AND len({codes}) > 0"""
@@ -570,7 +564,7 @@ FEATURES = f"""{LEADS}, features AS (
     isodow(created)::INTEGER - 1 AS weekday,
     CASE WHEN lead_id % 23 = 0 THEN 0.0 ELSE (lead_id % 90) END::DOUBLE AS days_in_funnel,
     CASE WHEN lead_id % 8 < 2 THEN 0.0 ELSE o_totalprice::DECIMAL(18, 2) END::DOUBLE AS revenue,
-    CASE WHEN lead_id % 4 = 0 THEN -1 ELSE greatest(lead_id % 200 - 20, 0) END::INTEGER AS days_to_close,
+    CASE WHEN lead_id % 4 = 0 THEN -1 ELSE greatest(floor((lead_id % 200 - 20) * 7 / 24.0), 0) END::INTEGER AS days_to_close,
     CASE WHEN lead_id % 4 = 0 THEN -1.0 ELSE lead_id % 300 + 0.5 END::DOUBLE AS hours_to_close
   FROM leads)"""
 
