@@ -17,6 +17,7 @@ from ebbtide.functions import dates
 from ebbtide.functions.dates import monthly_cycles, semesters
 from ebbtide.functions.html import html_text
 from ebbtide.operators import stats
+from ebbtide.operators.lineage import spread
 from ebbtide.plans import blocks, churn, contracts, detail, goals, leads, mail, reports, scoring
 from ebbtide.sources import standin
 from ebbtide.sources.standin import AS_OF, Tables
@@ -76,9 +77,12 @@ def report_kpis(spark: SparkSession, folder: str) -> DataFrame:
     return reports.kpis(standin.contract_rows(Tables(spark, folder), ["age", "tenure_months", "monthly_value"]))
 
 
-def branch_report(spark: SparkSession, folder: str) -> DataFrame:
-    rows = standin.contract_rows(Tables(spark, folder), ALL_COLUMNS)
-    return reports.report(rows, without=[("AFRICA", "class")])
+def _report(*kinds: str) -> Query:
+    def run(spark: SparkSession, folder: str) -> DataFrame:
+        rows = standin.contract_rows(Tables(spark, folder), ALL_COLUMNS, kinds)
+        return reports.report(rows, without=[("AFRICA", "class")])
+
+    return run
 
 
 # --- blocks and churn ----------------------------------------------------------------
@@ -228,7 +232,7 @@ def mail_totals(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def html_to_text(spark: SparkSession, folder: str) -> DataFrame:
-    return Tables(spark, folder).pages.select("page_id", html_text(F.col("html")).alias("text"))
+    return spread(Tables(spark, folder).pages).select("page_id", html_text(F.col("html")).alias("text"))
 
 
 # --- leads ---------------------------------------------------------------------------
@@ -251,6 +255,10 @@ def lead_balance(spark: SparkSession, folder: str) -> DataFrame:
     return leads.class_balance(_features(spark, folder))
 
 
+def lead_label_codes(spark: SparkSession, folder: str) -> DataFrame:
+    return scoring.label_codes(_features(spark, folder))
+
+
 def lead_split(spark: SparkSession, folder: str) -> DataFrame:
     rows = leads.split(_features(spark, folder).where("decided"))
     return rows.select("lead_id", "target", "is_test", leads.bucket(F.col("lead_id"), 5).alias("fold"))
@@ -321,7 +329,9 @@ def queries() -> dict[str, Query]:
         "band_totals": band_totals,
         "value_stats": value_stats,
         "report_kpis": report_kpis,
-        "branch_report": branch_report,
+        "cancellation_report": _report("cancelled"),
+        "reactivation_report": _report("reactivated"),
+        "branch_report": _report("cancelled", "reactivated"),
         "latest_block": latest_block,
         "latest_block_by_cycle": latest_block_by_cycle,
         "churn_by_tenure": _churn("tenure"),
@@ -349,6 +359,7 @@ def queries() -> dict[str, Query]:
         "lead_features": lead_features,
         "lead_stages": lead_stages,
         "lead_balance": lead_balance,
+        "lead_label_codes": lead_label_codes,
         "lead_split": lead_split,
         "auc_rank_sum": auc_rank_sum,
         "class_report": class_report,

@@ -8,38 +8,42 @@ from ebbtide.functions.binding import let
 
 W, WORD = fv.CODE_WINDOW, fv.CODE_WORD
 
-# Patterns, in the order in which their finds are listed.
-AFTER_WORD = rf"(?iU){WORD}\s*:?\s*(\d{{5}})\s*-?\s*(\d{{3}})"
-WITH_DASH = r"(?U)\b(\d{5})\s*-\s*(\d{3})\b"
+# Classes that mean the same on every Java version.
+DIGIT = r"\p{Nd}"
+SPACE = r"[\s\x1c-\x1f\x85\p{Z}]"
+LEFT, RIGHT = r"(?<![\p{L}\p{N}_])", r"(?![\p{L}\p{N}_])"
+
+# Patterns, in the order in which their finds are listed. Each looks for a digit or
+# the word first, so that the costly tests run at few places.
+AFTER_WORD = rf"(?i){WORD}{SPACE}*:?{SPACE}*{DIGIT}{{5}}{SPACE}*-?{SPACE}*{DIGIT}{{3}}"
+WITH_DASH = rf"(?={DIGIT}){LEFT}{DIGIT}{{5}}{SPACE}*-{SPACE}*{DIGIT}{{3}}{RIGHT}"
 # Eight digits on their own. The word may end up to W - 3 characters before them,
 # or begin so that it ends within W characters of their start.
-BARE = r"\b\d{8}\b"
-BARE_TEST = rf"(?U){BARE}"
-NEAR_BEFORE = rf"(?<={WORD}[\s\S]{{0,{W - len(WORD)}}}){BARE}"
-NEAR_AFTER = rf"{BARE}(?=[\s\S]{{0,{W - 8 - len(WORD)}}}{WORD})"
-NEAR = rf"(?iU)({NEAR_BEFORE}|{NEAR_AFTER})|{BARE}"
+EIGHT = rf"{DIGIT}{{8}}"
+BARE = rf"(?={DIGIT}){LEFT}(?={EIGHT}{RIGHT})"
+NEAR_BEFORE = rf"(?<={WORD}[\s\S]{{0,{W - len(WORD)}}}){EIGHT}"
+NEAR_AFTER = rf"{EIGHT}(?=[\s\S]{{0,{W - 8 - len(WORD)}}}{WORD})"
+NEAR = rf"(?i){BARE}(?:({NEAR_BEFORE}|{NEAR_AFTER})|{EIGHT})"
 
 
 def mentions_code(subject: Column, body: Column) -> Column:
     """The subject has the word or its plural, or the body has the word."""
-    return F.coalesce(subject.rlike(rf"(?iU)\b{WORD}S?\b"), F.lit(False)) | F.coalesce(
-        body.rlike(rf"(?iU)\b{WORD}\b"), F.lit(False)
-    )
-
-
-def _pairs(text: Column, pattern: str) -> Column:
-    head = F.regexp_extract_all(text, F.lit(pattern), F.lit(1))
-    tail = F.regexp_extract_all(text, F.lit(pattern), F.lit(2))
-    return F.zip_with(head, tail, lambda h, t: F.concat(h, F.lit("-"), t))
+    in_subject = subject.rlike(rf"(?i){LEFT}{WORD}S?{RIGHT}")
+    return F.coalesce(in_subject, F.lit(False)) | F.coalesce(body.rlike(rf"(?i){LEFT}{WORD}{RIGHT}"), F.lit(False))
 
 
 def _dashed(digits: Column) -> Column:
     return F.concat(digits.substr(1, 5), F.lit("-"), digits.substr(6, 3))
 
 
+def _finds(text: Column, pattern: str) -> Column:
+    digits = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
+    return F.transform(digits, lambda d: _dashed(F.regexp_replace(d, r"\P{Nd}+", "")))
+
+
 def explicit_codes(text: Column) -> Column:
     """Finds of the first two patterns, with repeats."""
-    return F.concat(_pairs(text, AFTER_WORD), _pairs(text, WITH_DASH))
+    return F.concat(_finds(text, AFTER_WORD), _finds(text, WITH_DASH))
 
 
 def bare_codes(text: Column, found: Column, cap: int = fv.CODE_CAP) -> Column:
@@ -54,8 +58,6 @@ def bare_codes(text: Column, found: Column, cap: int = fv.CODE_CAP) -> Column:
     near = F.regexp_extract_all(text, F.lit(NEAR), F.lit(1))
     seen = F.zip_with(digits, near, lambda d, n: F.struct(d.alias("digits"), (n != "").alias("near")))
     candidates = F.filter(seen, lambda s: s["near"] | ~s["digits"].substr(1, 2).isin("00", *fv.DATE_PREFIXES))
-    # The cheap test spares texts without eight digits the search for the word around them.
-    candidates = F.when(text.rlike(BARE_TEST), candidates).otherwise(F.array().cast("array<struct<digits:string,near:boolean>>"))
     room = F.lit(cap) - F.size(found)
     kept = F.filter(candidates, lambda s, i: s["near"] | (i < room))
     return F.transform(kept, lambda s: _dashed(s["digits"]))

@@ -1,7 +1,6 @@
 """HTML to visible text, as column expressions."""
 
 import html.entities
-import json
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -12,27 +11,41 @@ from ebbtide.functions.text import strip
 # Names that are valid without a closing semicolon come first in the pattern table.
 _BARE = sorted((n for n in html.entities.html5 if not n.endswith(";")), key=len, reverse=True)
 _NAMED = {n: c for n, c in html.entities.html5.items() if n.removesuffix(";") in html.entities.name2codepoint}
-ENTITY = "&(#[0-9]+;?|#[xX][0-9a-fA-F]+;?|[A-Za-z][A-Za-z0-9]*;|(?:" + "|".join(_BARE) + "))"
+# The start of the text behind an '&'.
+ENTITY = "^(#[0-9]+;?|#[xX][0-9a-fA-F]+;?|[A-Za-z][A-Za-z0-9]*;|(?:" + "|".join(_BARE) + "))"
+UNIT, RECORD = "\x01", "\x02"
 
 
-def _decode(entity: Column, names: Column) -> Column:
-    """One entity without its '&' to the character; unknown ones stay as they are."""
-    digits = F.regexp_extract(entity, r"^#[xX]?([0-9a-fA-F]+)", 1)
-    number = F.when(entity.rlike("^#[xX]"), F.conv(digits, 16, 10)).otherwise(digits).try_cast("bigint")
-    point = F.decode(F.unhex(F.lpad(F.hex(number), 8, "0")), "UTF-32")
-    is_char = number.between(1, 0xD7FF) | number.between(0xE000, 0x10FFFF)
-    return F.coalesce(F.when(is_char, point), names[entity], F.concat(F.lit("&"), entity))
+def _character(entity: Column) -> Column:
+    """Character of an entity without its '&'; NULL for an unknown one."""
+    names = F.str_to_map(
+        F.lit(RECORD.join(f"{n}{UNIT}{c}" for n, c in _NAMED.items())), F.lit(RECORD), F.lit(UNIT)
+    )
+
+    def numbered(digits: Column) -> Column:
+        number = F.when(entity.rlike("^#[xX]"), F.conv(digits, 16, 10)).otherwise(digits).try_cast("bigint")
+        point = F.decode(F.unhex(F.lpad(F.hex(number), 8, "0")), "UTF-32")
+        return F.when(number.between(1, 0xD7FF) | number.between(0xE000, 0x10FFFF), point)
+
+    number = let(F.regexp_extract(entity, r"^#[xX]?([0-9a-fA-F]+)", 1), numbered)
+    return F.when(entity.startswith("#"), number).otherwise(names[entity])
 
 
 def unescape(text: Column) -> Column:
     """Replace the entities of a text; texts without any pass unchanged."""
-    names = F.from_json(F.lit(json.dumps(_NAMED)), "map<string,string>")
+
+    def piece(p: Column) -> Column:
+        """A piece that stood behind an '&'."""
+        return let(
+            F.regexp_extract(p, ENTITY, 1),
+            lambda e: F.coalesce(
+                F.concat(_character(e), p.substr(F.length(e) + 1, F.length(p))), F.concat(F.lit("&"), p)
+            ),
+        )
 
     def of(t: Column) -> Column:
-        found = F.regexp_extract_all(t, F.lit(ENTITY), F.lit(1))
-        decoded = F.concat(F.transform(found, lambda e: _decode(e, names)), F.array(F.lit("")))
-        joined = F.array_join(F.zip_with(F.split(t, ENTITY, -1), decoded, lambda b, d: F.concat(b, d)), "")
-        return F.when(t.contains("&"), joined).otherwise(t)
+        pieces = F.transform(F.split(t, "&", -1), lambda p, i: F.when(i == 0, p).otherwise(piece(p)))
+        return F.when(t.contains("&"), F.array_join(pieces, "")).otherwise(t)
 
     return let(text, of)
 

@@ -19,23 +19,16 @@ def small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
 
 
 def left_join_sparse(left: DataFrame, right: DataFrame, left_key: str, right_key: str, slots: int = 64) -> DataFrame:
-    """Left join on a key that is often NULL on the left.
+    """Left join on a text key that is often NULL on the left.
 
-    NULL matches nothing, so those rows may go anywhere: a second key spreads them
-    over `slots` tasks instead of the single one that hash(NULL) names.
+    NULL matches nothing, so those rows may go anywhere: stand-in keys, which no code
+    begins like, spread them over `slots` tasks instead of the one of hash(NULL).
     """
-    spread = F.when(F.col(left_key).isNull(), F.pmod(F.xxhash64(*left.columns), F.lit(slots))).otherwise(F.lit(0))
-    # A constant here would be folded into the condition and the key would be lost.
-    keyed = F.when(F.col(right_key).isNotNull(), F.lit(0).cast("bigint"))
-    return (
-        left.withColumn("_slot", spread)
-        .join(
-            right.withColumn("_slot_r", keyed),
-            (F.col(left_key) == F.col(right_key)) & (F.col("_slot") == F.col("_slot_r")),
-            "left",
-        )
-        .drop("_slot", "_slot_r")
-    )
+    mark = "\x00"
+    slot = F.pmod(F.xxhash64(*left.columns), F.lit(slots)).cast("string")
+    spread = F.coalesce(F.col(left_key), F.concat(F.lit(mark), slot))
+    codes = right.where(~F.col(right_key).startswith(mark))
+    return left.withColumn("_key", spread).join(codes, F.col("_key") == F.col(right_key), "left").drop("_key")
 
 
 def tag_periods(df: DataFrame, day: str, periods: list[Period]) -> DataFrame:

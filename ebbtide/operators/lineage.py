@@ -1,4 +1,4 @@
-"""Cut the lineage of a small, shared intermediate result."""
+"""Where and how often work is cut: lineage and partitions."""
 
 import tempfile
 
@@ -22,3 +22,13 @@ def cut(df: DataFrame) -> DataFrame:
     """The same rows, written to the shared folder: computed once, safe from lost executors."""
     checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Rows over all cores where the input has fewer partitions than that.
+
+    For costly work per row on small files. Large inputs have more partitions than
+    cores and are left as they are.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df

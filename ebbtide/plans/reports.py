@@ -111,7 +111,7 @@ def _stat_rows(stats: DataFrame) -> DataFrame:
 def stats(rows: DataFrame) -> DataFrame:
     """Value statistics over the positive values."""
     values = clean(rows).where(F.col("value") > 0).groupBy(*BY, "value").agg(F.count("*").alias("n"))
-    return _stat_rows(value_stats(values, BY, "value", "n"))
+    return _stat_rows(value_stats(cut(values), BY, "value", "n"))
 
 
 def report(rows: DataFrame, without: Sequence[tuple[str, str]] = ()) -> DataFrame:

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from ebbtide import schemas
 from ebbtide.functions import dates, decode
+from ebbtide.operators.lineage import spread
 
 AS_OF = date(2001, 8, 1)
 KINDS = {"R": "cancelled", "A": "reactivated"}
@@ -54,9 +55,8 @@ def contract_rows(t: Tables, need: Collection[str], kinds: Collection[str] = tup
         .select("c_custkey", "c_mktsegment", "r_name")
     )
     contracts = t.orders.join(customers, F.col("o_custkey") == F.col("c_custkey"))
-    rows = t.lineitem.where(F.col("l_returnflag").isin(flags)).join(
-        contracts, F.col("l_orderkey") == F.col("o_orderkey")
-    )
+    lines = t.lineitem.where(F.col("l_returnflag").isin(flags))
+    rows = lines.join(contracts, F.col("l_orderkey") == F.col("o_orderkey"))
     if "plan" in need:
         rows = rows.join(t.part, F.col("l_partkey") == F.col("p_partkey"), "left")
     if "seller_name" in need:
@@ -396,7 +396,7 @@ def mail(t: Tables) -> DataFrame:
         five, F.lit("-"), three, F.lit("</b><!-- "), eight, F.lit(" --> &amp;amp; fim</p></html>"),
     )
     return schemas.conform(
-        t.orders.select(
+        spread(t.orders).select(
             F.concat(F.lit("Box "), F.col("o_orderstatus")).alias("folder"),
             key.alias("uid"),
             F.col("o_orderdate").alias("sent"),

@@ -179,6 +179,8 @@ def report_queries() -> dict[str, str]:
         "band_totals": f"WITH {ROWS} SELECT branch, kind, section, ord, label, qty, is_total FROM ({_section('tenure', 'TRUE')})",
         "value_stats": f"WITH {ROWS} {STATS}",
         "report_kpis": f"WITH {ROWS} {KPIS}",
+        "cancellation_report": f"SELECT * FROM ({_report()}) WHERE kind = 'cancelled'",
+        "reactivation_report": f"SELECT * FROM ({_report()}) WHERE kind = 'reactivated'",
         "branch_report": _report(),
     }
 
@@ -580,10 +582,7 @@ SCORES = """scores AS (
     FROM scored WHERE open))"""
 
 
-def lead_queries() -> dict[str, str]:
-    return {
-        "lead_features": f"""WITH {FEATURES}
-  SELECT lead_id, decided, target, open,
+MODEL_COLUMNS = """SELECT lead_id, decided, target, open,
     CASE channel WHEN 'Tráfego Pago' THEN 'trafego_pago' WHEN 'Orgânico' THEN 'organico' WHEN 'nenhum' THEN 'desconhecido'
       WHEN 'Offline' THEN 'offline' ELSE 'outro' END AS channel_norm,
     coalesce(lower(trim(place)), 'desconhecida') AS place_norm,
@@ -594,7 +593,16 @@ def lead_queries() -> dict[str, str]:
     hour, weekday, (weekday >= 5)::INTEGER AS weekend, month(created)::INTEGER AS month, days_in_funnel, revenue,
     (revenue > 0)::INTEGER AS has_revenue, (cust % 3 <> 0)::INTEGER AS has_email, (cust % 4 = 1)::INTEGER AS has_campaign,
     days_to_close, hours_to_close
-  FROM features""",
+  FROM features"""
+
+
+def lead_queries() -> dict[str, str]:
+    return {
+        "lead_features": f"WITH {FEATURES} {MODEL_COLUMNS}",
+        "lead_label_codes": f"""WITH {FEATURES}, model AS ({MODEL_COLUMNS}),
+    labels AS (SELECT DISTINCT unnest(['channel_norm', 'place_norm', 'team_type', 'day_part']) AS feature,
+      unnest([channel_norm, place_norm, team_type, day_part]) AS label FROM model)
+  SELECT feature, label, (row_number() OVER (PARTITION BY feature ORDER BY label) - 1)::INTEGER AS code FROM labels""",
         "lead_stages": f"WITH {LEADS} SELECT stage, count(*) AS n FROM leads GROUP BY stage",
         "lead_balance": f"""WITH {FEATURES}
   SELECT count(*) AS leads, count(*) FILTER (decided) AS decided, count(*) FILTER (decided AND target = 1) AS won,
