@@ -1,0 +1,133 @@
+"""Operators against brute force on small data."""
+
+import random
+import statistics
+from datetime import date
+
+from pyspark.sql import functions as F
+
+from ebbtide.functions.dates import Period
+from ebbtide.operators import counting, joins, latest, stats
+from ebbtide.functions import bands
+
+
+def test_exact_median(spark):
+    rng = random.Random(1)
+    values = {g: [round(rng.lognormvariate(4, 2), 2) for _ in range(n)] for g, n in (("a", 501), ("b", 500), ("c", 1), ("d", 2))}
+    values["e"] = [7.0] * 300 + [8.0] * 300  # one value is a third and more of all rows
+    rows = [(g, v) for g, vs in values.items() for v in vs]
+    counts = spark.createDataFrame(rows, "g string, v double").groupBy("g", "v").agg(F.count("*").alias("n"))
+    got = {r["g"]: r["median"] for r in stats.exact_median(counts, ["g"], "v", "n").collect()}
+    assert got == {g: statistics.median(vs) for g, vs in values.items()}
+
+
+def test_value_stats(spark):
+    df = spark.createDataFrame([(-5.0,), (0.0,), (None,), (10.0,), (20.0,)], "v double")
+    counts = df.groupBy(F.lit("x").alias("g"), "v").agg(F.count("*").alias("n"))
+    (got,) = stats.value_stats(counts, ["g"], "v", "n").collect()
+    assert got.asDict() == {"g": "x", "mean": 15.0, "median": 15.0, "lowest": 10.0, "highest": 20.0, "total": 30.0}
+
+
+def test_auc(spark):
+    rng = random.Random(2)
+    rows = [(round(rng.random(), 2), int(rng.random() < 0.3)) for _ in range(400)] + [(0.5, 0)] * 200
+    pos = [s for s, y in rows if y]
+    neg = [s for s, y in rows if not y]
+    wins = sum((p > n) + 0.5 * (p == n) for p in pos for n in neg)
+    (got,) = stats.rank_sum_auc(spark.createDataFrame(rows, "s double, y int"), "s", "y").collect()
+    assert (got["positives"], got["negatives"]) == (len(pos), len(neg))
+    assert abs(got["auc"] - wins / len(pos) / len(neg)) < 1e-12
+
+
+def test_auc_with_one_class(spark):
+    (got,) = stats.rank_sum_auc(spark.createDataFrame([(0.1, 0)], "s double, y int"), "s", "y").collect()
+    assert got["auc"] is None
+
+
+def test_class_report(spark):
+    rows = [(0.9, 1), (0.5, 1), (0.2, 0), (0.7, 0), (0.1, 0)]
+    got = {r["label"]: r for r in stats.class_report(spark.createDataFrame(rows, "p double, y int"), "p", "y").collect()}
+    assert (got[1]["precision"], got[1]["recall"], got[1]["support"]) == (0.5, 0.5, 2)
+    assert (got[0]["precision"], got[0]["recall"], got[0]["support"]) == (2 / 3, 2 / 3, 3)
+    assert got[0]["accuracy"] == 0.6
+
+
+def test_last_n(spark):
+    rng = random.Random(3)
+    groups = {"hot": rng.sample(range(100_000), 3000), "b": rng.sample(range(500), 40), "c": [5]}
+    rows = [(g, u) for g, us in groups.items() for u in us]
+    df = spark.createDataFrame(rows, "g string, u bigint")
+    for n in (1, 7, 40, 1000, 5000):
+        got = {}
+        for r in latest.last_n(df, "g", "u", n, cell=64).collect():
+            got.setdefault(r["g"], set()).add(r["u"])
+        assert got == {g: set(sorted(us)[-n:]) for g, us in groups.items()}
+
+
+def test_latest_takes_the_highest_id(spark):
+    df = spark.createDataFrame([("m", 5, "20240301"), ("m", 9, "20240110")], "k string, id bigint, d string")
+    (got,) = latest.latest(df, ["k"], ["id"], ["d"]).collect()
+    assert got.asDict() == {"k": "m", "d": "20240110"}
+
+
+def test_periods_may_overlap(spark):
+    periods = [Period(date(2024, 1, 26), date(2024, 2, 25), "a"), Period(date(2024, 2, 1), date(2024, 4, 2), "b")]
+    days = [date(2024, 1, 25), date(2024, 1, 26), date(2024, 2, 1), date(2024, 2, 26), date(2024, 4, 2), date(2024, 4, 3)]
+    df = spark.createDataFrame([(d,) for d in days], "d date")
+    got = sorted((r["d"], r["period"]) for r in joins.tag_periods(df, "d", periods).collect())
+    assert got == sorted((d, p.label) for d in days for p in periods if p.start <= d <= p.end)
+
+
+def test_sparse_join(spark):
+    left = spark.createDataFrame([(1, "a"), (2, None), (3, None), (4, "z")], "i int, k string")
+    right = spark.createDataFrame([("a", 10), ("a", 11), (None, 12)], "rk string, v int")
+    got = joins.left_join_sparse(left, right, "k", "rk").select("i", "k", "v").collect()
+    assert sorted(map(tuple, got), key=str) == [(1, "a", 10), (1, "a", 11), (2, None, None), (3, None, None), (4, "z", None)]
+
+
+def test_sparse_join_spreads_null_keys(spark):
+    left = spark.range(1000).select(F.col("id"), F.lit(None).cast("string").alias("k"))
+    right = spark.range(5).select(F.col("id").cast("string").alias("rk"), F.col("id").alias("v"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        joined = joins.left_join_sparse(left, right, "k", "rk")
+        sizes = [r[1] for r in joined.groupBy(F.spark_partition_id()).count().collect()]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    assert sum(sizes) == 1000 and max(sizes) < 600
+
+
+def test_rollup_tells_null_class_from_total(spark):
+    df = spark.createDataFrame([("x",), ("x",), (None,)], "c string")
+    got = {(r["label"], r["is_total"]): r["qty"] for r in counting.rollup_counts(df, [], {"r": F.col("c")}).collect()}
+    assert got == {("x", False): 2, (None, False): 1, ("TOTAL", True): 3}
+
+
+def test_share_of_counted_rows(spark):
+    df = spark.createDataFrame([("a",), ("a",), ("b",), (None,)], "c string").withColumn("g", F.lit("g"))
+    section = counting.Section("s", "c", "label", total=True)
+    cells = (
+        df.select("g", F.inline(F.array(counting.entry(counting.ALL), counting.entry("s", section.label()))))
+        .groupBy("g", "section", "label")
+        .agg(F.count("*").alias("n"))
+    )
+    got = counting.shares(counting.with_empty_bands(cells, ["g"], [section]), ["g"], [section]).orderBy("ord").collect()
+    assert [(r["label"], r["qty"], r["pct_text"]) for r in got] == [
+        ("a", 2, "66.7%"),
+        ("b", 1, "33.3%"),
+        (" TOTAL GERAL", 3, "100.0%"),
+    ]
+
+
+def test_empty_bands_are_listed(spark):
+    df = spark.createDataFrame([("g", 5)], "g string, age int")
+    section = counting.Section("age", "age", "bands", bands.AGE, total=True)
+    cells = (
+        df.select("g", F.inline(F.array(counting.entry(counting.ALL), counting.entry("age", section.label()))))
+        .groupBy("g", "section", "label")
+        .agg(F.count("*").alias("n"))
+    )
+    got = counting.shares(counting.with_empty_bands(cells, ["g"], [section]), ["g"], [section]).orderBy("ord").collect()
+    assert [r["qty"] for r in got] == [1, 0, 0, 0, 0, 0, 0, 0, 1]
