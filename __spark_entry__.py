@@ -39,10 +39,8 @@ def plain(df: DataFrame) -> DataFrame:
 
     def shown(field: T.StructField):
         c = F.col(field.name)
-        if isinstance(field.dataType, T.DateType):
-            c = F.date_format(c, "yyyy-MM-dd")
-        elif isinstance(field.dataType, (T.TimestampType, T.TimestampNTZType)):
-            c = F.date_format(c, "yyyy-MM-dd HH:mm:ss")
+        if isinstance(field.dataType, (T.DateType, T.TimestampNTZType)):
+            c = c.cast("string")
         elif isinstance(field.dataType, T.DecimalType):
             c = c.cast("double")
         return c.alias(field.name)

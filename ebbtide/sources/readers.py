@@ -7,7 +7,7 @@ from pyspark.sql import types as T
 from ebbtide import schemas
 from ebbtide.functions.numbers import comma_number
 
-DAY_FIRST = ["dd/MM/yyyy HH:mm:ss", "dd/MM/yyyy HH:mm", "dd/MM/yyyy"]
+DAY_FIRST = r"^\s*(\d{1,2}/\d{1,2}/\d{4})(?:\s+([01]?\d|2[0-3]):([0-5]\d)(?::([0-5]\d))?)?\s*$"
 
 
 def parquet(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
@@ -27,8 +27,16 @@ def dimension_csv(spark: SparkSession, path: str, columns: int | None = None, se
 
 
 def day_first(c: Column) -> Column:
-    """Timestamp of a day-first text, with or without a time; bad text gives NULL."""
-    return F.coalesce(*[F.try_to_timestamp(c, F.lit(p)) for p in DAY_FIRST]).cast("timestamp_ntz")
+    """Timestamp of a day-first text, with or without a time; bad text gives NULL.
+
+    Day and time are read apart, so that no time zone shifts them.
+    """
+
+    def part(n: int) -> Column:
+        return F.coalesce(F.regexp_extract(c, DAY_FIRST, n).try_cast("int"), F.lit(0))
+
+    day = F.try_to_date(F.regexp_extract(c, DAY_FIRST, 1), "d/M/yyyy").cast("timestamp_ntz")
+    return day + F.make_dt_interval(hours=part(2), mins=part(3), secs=part(4).cast("decimal(18,6)"))
 
 
 def lead_csv(spark: SparkSession, path: str, names: dict[str, str] | None = None) -> DataFrame:

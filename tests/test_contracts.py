@@ -1,0 +1,167 @@
+"""Blocks, churn and the detail extract on handmade tables."""
+
+from datetime import date
+from decimal import Decimal
+
+import pytest
+
+from ebbtide import schemas
+from ebbtide.functions.dates import Period
+from ebbtide.plans import blocks, churn, detail
+from ebbtide.plans.contracts import DIALECT_A, DIALECT_B
+
+AS_OF = date(2024, 6, 30)
+START, END = date(2024, 1, 1), date(2024, 3, 31)
+KEY = "0001" + "0002" + "000007"
+
+
+def make(spark, schema, *rows):
+    """Rows given by name; other columns are NULL, `deleted` is blank."""
+    names = [f.name for f in schema]
+    full = [tuple({"deleted": "  ", **r}.get(n) for n in names) for r in rows]
+    return spark.createDataFrame(full, schema)
+
+
+def event(row_id, day, key=KEY, member_type="00", reason="R1", **more):
+    base = dict(row_id=row_id, family_key=key, member_type=member_type, event_type="0", event_date=day)
+    return {**base, "reason_code": reason, "user": "U", **more}
+
+
+@pytest.fixture(scope="module")
+def events(spark):
+    return make(
+        spark,
+        schemas.BLOCK_EVENT,
+        event(5, "20240301"),
+        event(9, "20240110"),
+        event(10, "20240115", event_type="1"),
+        event(11, "20240115", deleted="*"),
+        event(12, "20240115", deleted=None),
+        event(13, "20240401"),
+        event(14, "20240331", member_type="01"),
+        event(20, "20240202", key="0001" + "0003" + "000008", reason="R2"),
+    )
+
+
+def test_latest_block(events):
+    got = {(r["family"], r["member_type"]): r["row_id"] for r in blocks.latest_blocks(events, START, END).collect()}
+    assert got == {("000007", "00"): 9, ("000007", "01"): 14, ("000008", "00"): 20}
+
+
+def test_latest_block_by_period(events):
+    periods = [Period(date(2024, 1, 1), date(2024, 2, 29), "a"), Period(date(2024, 3, 1), date(2024, 3, 31), "b")]
+    found = blocks.latest_blocks_by_period(events, periods).where("member_type = '00' and family = '000007'")
+    assert {(r["period"], r["row_id"]) for r in found.collect()} == {("a", 9), ("b", 5)}
+
+
+def member(family="000007", member_type="00", company="0002", **more):
+    base = dict(
+        branch_code="01", org="0001", company=company, family=family, member_type=member_type, card_no=family + member_type,
+        name="N", tax_id="T", phone="P", street="S", district="D", plan_code="0008", seller_code="S1", contract_no="C1",
+        contract_ver="1", subcontract="X1", class_code=" 1 ", birth="19801231", joined="20230131", blocked="        ",
+    )
+    return {**base, **more}
+
+
+@pytest.fixture
+def tables(spark, events):
+    def of(schema, *rows):
+        return make(spark, schema, *rows)
+
+    org = dict(org="0001", company="0002")
+    return dict(
+        members=of(
+            schemas.MEMBER, member(), member(member_type="01", birth=" " * 8, blocked="20240331"),
+            member("000008", company="0003"), member("000009", deleted="*"),
+        ),
+        families=of(
+            schemas.FAMILY, dict(org, family="000007", billing_level="2", customer_code="C7", payment_code="1", plan_code="0001"),
+            dict(org="0001", company="0003", family="000008", billing_level="1", customer_code="C8", payment_code="9", plan_code="0083"),
+        ),
+        sellers=of(schemas.SELLER, dict(code="S1", name="Ann   ")),
+        events=events,
+        reasons=of(schemas.REASON, dict(code="R1", description="money"), dict(code="R2", description="move")),
+        plans=of(schemas.PLAN, dict(code="0008", modality=1)),
+        subcontracts=of(
+            schemas.SUBCONTRACT,
+            dict(org, contract_no="C1", contract_ver="1", subcontract="X1", billing_level="1", customer_code="C9", description="Sub"),
+        ),
+        contracts=of(
+            schemas.CONTRACT, dict(org, contract_no="C1", contract_ver="1", billing_level="1", customer_code="C10", name="Con")
+        ),
+        prices=of(
+            schemas.PRICE,
+            *[
+                dict(org, branch_code="01", family="000007", member_type="00", age_from=a, age_to=b, value=Decimal(v))
+                for a, b, v in ((0, 43, "1.00"), (44, 99, "2.50"), (40, 50, "3.00"))
+            ],
+        ),
+        attendance=spark.createDataFrame([("00000700", 4)], schemas.ATTENDANCE),
+        payment_types=of(schemas.PAYMENT_TYPE, dict(code="1", description="boleto")),
+        receivables=of(
+            schemas.RECEIVABLE,
+            *[
+                dict(org, customer="C7", family="000007", row_id=i, due=due, issued=issued, occurrence=o)
+                for i, due, issued, o in (
+                    (1, date(2024, 2, 1), date(2024, 1, 5), "old"),
+                    (2, date(2024, 3, 1), date(2024, 2, 5), "tie low"),
+                    (3, date(2024, 2, 9), date(2024, 2, 5), "tie high"),
+                    (4, AS_OF, date(2024, 6, 1), "due today"),
+                )
+            ],
+        ),
+        customers=of(schemas.CUSTOMER, dict(code="C9", phone="555")),
+    )
+
+
+def test_extract_with_strict_dates(tables):
+    got = detail.extract(detail.Sources(**tables), START, END, AS_OF, DIALECT_A).collect()
+    first = sorted((r for r in got if r["card_no"] == "00000700"), key=lambda r: r["monthly_value"])
+    # The overlapping price ranges repeat the row; company 0003 and the deleted member are out.
+    assert [r["monthly_value"] for r in first] == [Decimal("2.50"), Decimal("3.00")]
+    assert {r["card_no"] for r in got} == {"00000700", "00000701"}
+    row = first[0]
+    assert (row["customer_code"], row["customer_phone"]) == ("C9", "555")
+    assert (row["contract_description"], row["seller_name"]) == ("Con", "Ann   ")
+    assert (row["tenure_months"], row["age"]) == (17, 44)
+    assert (row["blocked_on"], row["blocked_by"], row["reason"]) == (date(2024, 1, 10), "U", "money")
+    assert (row["attendances"], row["payment_type"], row["last_occurrence"]) == (4, "boleto", "tie high")
+    assert (row["plan"], row["plan_class"]) == ("Modality 1", "1 - Classe 1")
+    second = next(r for r in got if r["card_no"] == "00000701")
+    # A blank is the sentinel date here; the block date ends tenure and age.
+    assert (second["birth"], second["age"], second["tenure_months"]) == (date(1900, 1, 1), 124, 14)
+    assert second["monthly_value"] is None and second["attendances"] is None
+
+
+def test_extract_with_lenient_dates(tables):
+    got = {r["card_no"]: r for r in detail.extract(detail.Sources(**tables), START, END, AS_OF, DIALECT_B).collect()}
+    assert set(got) == {"00000700", "00000701"}  # plan 0083 is excluded by its family
+    assert (got["00000701"]["birth"], got["00000701"]["age"]) == (None, None)
+    assert got["00000700"]["plan_class"] == "1 *"
+
+
+def test_extract_has_no_duplicates(spark, tables):
+    tables["sellers"] = tables["sellers"].union(tables["sellers"])
+    got = detail.extract(detail.Sources(**tables), START, END, AS_OF, DIALECT_A)
+    assert got.count() == 3
+
+
+def test_repeated_customer_repeats_rows(spark, tables):
+    tables["customers"] = tables["customers"].union(tables["customers"])
+    assert detail.extract(detail.Sources(**tables), START, END, AS_OF, DIALECT_A).count() == 6
+
+
+def test_churn(tables):
+    latest = blocks.latest_blocks(tables["events"], START, END)
+    rows = churn.churned(tables["members"], latest, tables["plans"], tables["reasons"], ["money"], AS_OF)
+    got = {(r["report"], r["label"], r["is_total"]): r["qty"] for r in churn.rollups(rows).collect()}
+    assert got == {
+        ("tenure", "2. 7 meses a 1 ano", False): 1,
+        ("tenure", "3. 13 meses a 2 anos", False): 1,
+        ("tenure", "TOTAL", True): 2,
+        ("age", "05. 40 a 49 anos", False): 1,
+        ("age", "08. 70 anos ou mais", False): 1,
+        ("age", "TOTAL", True): 2,
+        ("class", "1 - Classe 1", False): 2,
+        ("class", "TOTAL", True): 2,
+    }
