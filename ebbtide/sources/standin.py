@@ -20,6 +20,23 @@ KINDS = {"R": "cancelled", "A": "reactivated"}
 ORG = "0001"
 
 
+# Columns of the source tables. With a given schema no file is opened to infer one.
+COLUMNS = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, p_retailprice double",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double,"
+    "o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double,"
+    "l_extendedprice double, l_discount double, l_tax double, l_returnflag string, l_linestatus string,"
+    "l_shipdate timestamp_ntz",
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
+    "pages": "page_id bigint, url string, html string",
+}
+
+
 class Tables:
     """Source tables of one folder."""
 
@@ -27,7 +44,11 @@ class Tables:
         self.spark, self.folder = spark, folder
 
     def __getattr__(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        if name not in COLUMNS:
+            raise AttributeError(name)
+        table = self.spark.read.schema(COLUMNS[name]).parquet(f"{self.folder}/{name}.parquet")
+        setattr(self, name, table)
+        return table
 
 
 def _digits(c: Column, width: int) -> Column:
