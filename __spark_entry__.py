@@ -6,13 +6,17 @@ Each query reads the tables of a folder, projects the domain tables from them
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Callable
 from datetime import date
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+sys.path.insert(0, str(Path(__file__).resolve().parent))
+
 from ebbtide.functions import dates
 from ebbtide.functions.dates import monthly_cycles, semesters
 from ebbtide.functions.html import html_text
