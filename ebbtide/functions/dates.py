@@ -37,9 +37,12 @@ def years_crossed(start: Column, end: Column) -> Column:
 
 
 def month_start(c: Column) -> Column:
-    """First day of a month given as ISO text, timestamp text or 'jan/2024'."""
+    """First day of a month given as ISO or timestamp text, with month or day first in
+    figures, or as 'jan/2024'."""
     text = F.lower(F.trim(c.cast("string")))
-    iso = F.trunc(F.coalesce(F.try_to_date(text), F.to_date(F.try_to_timestamp(text))), "MM")
+    known = [F.try_to_date(text), F.to_date(F.try_to_timestamp(text))]
+    known += [F.try_to_date(text, layout) for layout in ("M/yyyy", "M/d/yyyy", "d/M/yyyy")]
+    iso = F.trunc(F.coalesce(*known), "MM")
     number = F.array_position(F.array(*[F.lit(m) for m in fv.MONTHS]), text.substr(1, 3)).cast("int")
     year = F.regexp_extract(text, r"^[^/]*/\s*(\d{1,4})\s*$", 1).try_cast("int")
     named = F.when((number > 0) & (year > 0), F.make_date(year, number, F.lit(1)))

@@ -3,7 +3,6 @@
 from datetime import date
 
 from pyspark.sql import DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ebbtide import fixed_values as fv
@@ -17,9 +16,10 @@ def latest_goals(goals: DataFrame, branch: str | None = None) -> DataFrame:
     if branch is not None:
         goals = goals.where(F.col("branch") == branch)
     dated = goals.withColumn("_month", month_start(F.col("month")))
-    latest = dated.withColumn("_latest", F.max("_month").over(W.partitionBy("branch")))
+    latest = dated.groupBy("branch").agg(F.max("_month").alias("_month"))
     return (
-        latest.where((F.col("_month") == F.col("_latest")) & F.col("team").isNotNull())
+        dated.where(F.col("team").isNotNull())
+        .join(latest, ["branch", "_month"])
         .groupBy("branch", "team")
         .agg(F.sum("goal").alias("goal"))
     )

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from ebbtide import fixed_values as fv
 from ebbtide.functions import bands, decode, text
-from ebbtide.functions.numbers import comma_number, round_even, to_number
+from ebbtide.functions.numbers import comma_number, round_even
 
 CATEGORICAL = ["channel_norm", "place_norm", "team_type", "day_part"]
 NUMERIC = [
@@ -30,7 +30,7 @@ def features(leads: DataFrame) -> DataFrame:
     won = F.coalesce(F.col("stage") == fv.WON_STAGE, F.lit(False))
     lost = text.filled(F.col("loss_reason")) | F.coalesce(F.col("stage").isin(fv.LOST_STAGES), F.lit(False))
     weekday = F.weekday("created")
-    hour = F.hour(F.try_to_timestamp(F.col("created_time"), F.lit("HH:mm:ss")))
+    hour = F.hour(F.try_to_timestamp(F.col("created_time"), F.lit("H:m:s")))
     revenue = F.coalesce(comma_number(F.col("expected_revenue")), F.lit(0.0))
     whole_days = F.extract(F.lit("DAY"), F.col("closed") - F.col("created"))
     return leads.select(
@@ -43,7 +43,7 @@ def features(leads: DataFrame) -> DataFrame:
         weekday.alias("weekday"),
         F.coalesce(weekday >= 5, F.lit(False)).cast("int").alias("weekend"),
         F.month("created").alias("month"),
-        F.coalesce(to_number(F.col("days")), F.lit(0.0)).alias("days_in_funnel"),
+        F.coalesce(comma_number(F.col("days")), F.lit(0.0)).alias("days_in_funnel"),
         revenue.alias("revenue"),
         (revenue > 0).cast("int").alias("has_revenue"),
         text.filled(F.col("email")).cast("int").alias("has_email"),

@@ -80,9 +80,10 @@ def test_strict_date_fails_on_bad_text(column):
 
 
 def test_month_start(column):
-    given = ["jan/2024", "set/2024", "2024-02-15", "2024-02-15 10:00:00", "??", None, "xyz/2024", "JAN/x"]
+    given = ["jan/2024", "set/2024", "2024-02-15", "2024-02-15 10:00:00", "02/2024", "15/02/2024", "02/15/2024"]
+    bad = ["??", None, "xyz/2024", "JAN/x", "13/2024"]
     jan, sep, feb = date(2024, 1, 1), date(2024, 9, 1), date(2024, 2, 1)
-    assert column(given, "string", dates.month_start) == [jan, sep, feb, feb, None, None, None, None]
+    assert column(given + bad, "string", dates.month_start) == [jan, sep] + [feb] * 5 + [None] * 5
 
 
 def test_cycle():
