@@ -69,13 +69,18 @@ def shares(counts: DataFrame, by: Sequence[str], sections: Sequence[Section]) ->
             by_count = by_count | mine
         if s.total:
             totals = totals | mine
-    group = W.partitionBy(*by, "section")
-    ordered = group.orderBy(band_ord.asc_nulls_first(), F.when(by_count, -F.col("n")).otherwise(0), "label")
+    rank = F.when(by_count, -F.col("n")).otherwise(F.coalesce(band_ord, F.lit(0)))
+    ordered = W.partitionBy(*by, "section").orderBy("_rank", "label")
+    group = ordered.rowsBetween(W.unboundedPreceding, W.unboundedFollowing)
     counted = (
         counts.where(F.col("section").isin([s.name for s in sections]) & F.col("label").isNotNull())
-        .withColumn("whole", F.sum("n").over(group))
-        .withColumn("rows", F.count("*").over(group))
-        .withColumn("ord", F.row_number().over(ordered))
+        .withColumn("_rank", rank)
+        .select(
+            "*",
+            F.sum("n").over(group).alias("whole"),
+            F.count("*").over(group).alias("rows"),
+            F.row_number().over(ordered).alias("ord"),
+        )
     )
     pct = percent(F.col("n"), F.col("whole"))
     own = F.struct(
