@@ -24,11 +24,15 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+# Inputs with more partitions are never moved: this bounds what spread() shuffles to
+# a few splits of spark.sql.files.maxPartitionBytes.
+FEW_PARTITIONS = 16
+
+
 def spread(df: DataFrame) -> DataFrame:
-    """Rows over all cores where the input has fewer partitions than that.
+    """Rows over all cores where the input is a handful of partitions.
 
-    For costly work per row on small files. Large inputs have more partitions than
-    cores and are left as they are.
+    For costly work per row on small files; other inputs are left as they are.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    return df.repartition(cores) if df.rdd.getNumPartitions() < min(cores, FEW_PARTITIONS) else df

@@ -11,6 +11,7 @@ from datetime import date, timedelta
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ebbtide import fixed_values as fv
 from ebbtide import schemas
 from ebbtide.functions import dates, decode
 from ebbtide.operators.lineage import spread
@@ -111,11 +112,14 @@ def contract_rows(t: Tables, need: Collection[str], kinds: Collection[str] = tup
 # --- contract tables -----------------------------------------------------------------
 
 
-def _family_of(key: Column) -> dict[str, Column]:
-    """Keys of a member: three customers share a family, 25 contracts the families."""
-    family = F.floor(key / 3).cast("bigint")
-    contract = family % 25
-    return {"org": F.lit(ORG), "company": _digits(contract % 8, 4), "family": _digits(family, 6)}
+def _family(key: Column) -> Column:
+    """Number of a customer's family: three customers share one."""
+    return F.floor(key / 3).cast("bigint")
+
+
+def _family_keys(family: Column) -> dict[str, Column]:
+    """Key columns of a family; all families share 25 contracts of eight companies."""
+    return {"org": F.lit(ORG), "company": _digits(family % 25 % 8, 4), "family": _digits(family, 6)}
 
 
 def _customer_code(key: Column) -> Column:
@@ -124,13 +128,13 @@ def _customer_code(key: Column) -> Column:
 
 def members(t: Tables) -> DataFrame:
     key = F.col("c_custkey")
-    family = F.floor(key / 3).cast("bigint")
+    family = _family(key)
     contract = family % 25
     ymd = F.concat(_digits(key % 12 + 1, 2), _digits(key % 28 + 1, 2))
     return schemas.conform(
         t.customer.select(
             F.lit("01").alias("branch_code"),
-            *[c.alias(n) for n, c in _family_of(key).items()],
+            *[c.alias(n) for n, c in _family_keys(_family(key)).items()],
             _digits(key % 3, 2).alias("member_type"),
             _digits(key, 9).alias("card_no"),
             F.col("c_name").alias("name"),
@@ -162,16 +166,18 @@ def members(t: Tables) -> DataFrame:
 
 
 def families(t: Tables) -> DataFrame:
-    key = F.col("c_custkey")
-    family = F.floor(key / 3).cast("bigint")
+    """One row per family of the customers."""
+    family = F.col("family_no")
     return schemas.conform(
-        t.customer.where(key % 3 == 0).select(
-            *[c.alias(n) for n, c in _family_of(key).items()],
+        t.customer.select(_family(F.col("c_custkey")).alias("family_no"))
+        .distinct()
+        .select(
+            *[c.alias(n) for n, c in _family_keys(family).items()],
             F.when(family % 2 == 0, "1").otherwise("2").alias("billing_level"),
             _customer_code(family).alias("customer_code"),
             (family % 7).cast("string").alias("payment_code"),
             _digits(family % 100, 4).alias("plan_code"),
-            _deleted(key, 87).alias("deleted"),
+            _deleted(family, 29).alias("deleted"),
         ),
         schemas.FAMILY,
     )
@@ -191,7 +197,7 @@ def sellers(t: Tables) -> DataFrame:
 def block_events(t: Tables, start: date, end: date) -> DataFrame:
     """Events of the days in question; the range reaches the scan."""
     key = F.col("o_orderkey")
-    ids = _family_of(F.col("o_custkey"))
+    ids = _family_keys(_family(F.col("o_custkey")))
     day = F.col("o_orderdate")
     in_range = (day >= F.lit(start).cast("timestamp_ntz")) & (day < F.lit(end + timedelta(days=1)).cast("timestamp_ntz"))
     return schemas.conform(
@@ -250,7 +256,7 @@ def subcontracts(t: Tables) -> DataFrame:
 def contracts(t: Tables) -> DataFrame:
     key = F.col("n_nationkey")
     return schemas.conform(
-        t.nation.where(key % 4 != 0).select(
+        t.nation.select(
             F.lit(ORG).alias("org"),
             _digits(key % 8, 4).alias("company"),
             _digits(key, 4).alias("contract_no"),
@@ -258,7 +264,7 @@ def contracts(t: Tables) -> DataFrame:
             F.when(key % 3 == 0, "1").otherwise("2").alias("billing_level"),
             _customer_code(key + 100).alias("customer_code"),
             F.concat(F.lit("Contract "), F.col("n_name")).alias("name"),
-            F.lit(" ").alias("deleted"),
+            _deleted(key, 4).alias("deleted"),
         ),
         schemas.CONTRACT,
     )
@@ -273,7 +279,7 @@ def prices(t: Tables) -> DataFrame:
     return schemas.conform(
         t.customer.select("c_custkey", F.inline(ranges)).select(
             F.lit("01").alias("branch_code"),
-            *[c.alias(n) for n, c in _family_of(key).items()],
+            *[c.alias(n) for n, c in _family_keys(_family(key)).items()],
             _digits(key % 3, 2).alias("member_type"),
             F.col("lo").alias("age_from"),
             F.col("hi").alias("age_to"),
@@ -304,8 +310,8 @@ def receivables(t: Tables) -> DataFrame:
     return schemas.conform(
         t.orders.select(
             F.col("o_orderkey").alias("row_id"),
-            _customer_code(F.floor(key / 3).cast("bigint")).alias("customer"),
-            *[c.alias(n) for n, c in _family_of(key).items()],
+            _customer_code(_family(key)).alias("customer"),
+            *[c.alias(n) for n, c in _family_keys(_family(key)).items()],
             day.alias("due"),
             day.alias("issued"),
             F.col("o_orderpriority").alias("occurrence"),
@@ -316,12 +322,15 @@ def receivables(t: Tables) -> DataFrame:
 
 
 def customers(t: Tables) -> DataFrame:
-    key = F.col("c_custkey")
+    """One billed customer per family."""
+    family = F.col("family_no")
     return schemas.conform(
-        t.customer.where(key % 3 == 0).select(
-            _customer_code(F.floor(key / 3).cast("bigint")).alias("code"),
-            F.concat(F.lit("71-"), key.cast("string")).alias("phone"),
-            _deleted(key, 23).alias("deleted"),
+        t.customer.select(_family(F.col("c_custkey")).alias("family_no"))
+        .distinct()
+        .select(
+            _customer_code(family).alias("code"),
+            F.concat(F.lit("71-"), family.cast("string")).alias("phone"),
+            _deleted(family, 23).alias("deleted"),
         ),
         schemas.CUSTOMER,
     )
@@ -442,12 +451,12 @@ def leads(t: Tables) -> DataFrame:
     key, cust = F.col("o_orderkey"), F.col("o_custkey")
     dear = F.col("o_totalprice") > 300000
     stage = (
-        F.when(dear & (key % 3 == 0), "Ganho")
-        .when(key % 11 == 0, "Ganho")
-        .when(key % 5 == 1, "Perdido")
-        .when(key % 10 == 2, "Desistiu")
-        .when(key % 10 == 3, "Descartado")
-        .otherwise(_one_of(key, "Prospecção", "Contato Pré Vendas", "Negociação", "Em Aprovação", "Sem contato", "Outro"))
+        F.when(dear & (key % 3 == 0), fv.WON_STAGE)
+        .when(key % 11 == 0, fv.WON_STAGE)
+        .when(key % 5 == 1, fv.LOST_STAGES[0])
+        .when(key % 10 == 2, fv.LOST_STAGES[1])
+        .when(key % 10 == 3, fv.LOST_STAGES[2])
+        .otherwise(_one_of(key, *fv.OPEN_STAGES, "Outro"))
     )
     created = F.col("o_orderdate")
     after = F.make_dt_interval(hours=((key % 200 - 20) * 7).cast("int"))
@@ -457,7 +466,7 @@ def leads(t: Tables) -> DataFrame:
             F.concat(F.lit("Contact "), cust.cast("string")).alias("contact"),
             F.concat(F.lit("Seller "), (cust % 17).cast("string")).alias("seller"),
             stage.alias("stage"),
-            _one_of(key, "Tráfego Pago", "Orgânico", "nenhum", "Offline", "Evento", None).alias("channel"),
+            _one_of(key, *fv.CHANNELS, "Evento", None).alias("channel"),
             F.when(cust % 13 != 0, F.concat(F.lit(" Place "), (cust % 25).cast("string"))).alias("place"),
             _one_of(cust, "Pré-Vendas 1", "Suporte", "Televendas", "Vendas Diretas Sul", "Parceiros", None).alias("sales_team"),
             created.alias("created"),

@@ -314,7 +314,6 @@ def _detail(strict: bool) -> str:
     company = "m.company <> '0003' AND p_size % 10 IN (1, 2)" if strict else "m.company IN ('0001', '0002', '0003', '0006', '0007')"
     plan = "TRUE" if strict else "k // 3 % 100 NOT IN (83, 94, 95, 96)"
     until = f"coalesce(nullif({_date('blocked', False)}, DATE '1900-01-01'), {AS_OF})"
-    family = "m.k // 3"
     return f"""WITH {MEMBERS}, {EVENTS}, {LATEST}, {PRICES}, {OCCURRENCES},
   attendance AS (SELECT printf('%09d', user_id) AS card_no, count(*) AS n FROM events GROUP BY user_id),
   people AS (
@@ -322,9 +321,7 @@ def _detail(strict: bool) -> str:
       l.event_day, l.reason_code, l."user", p_size, p_partkey
     FROM members m JOIN latest l USING (org, company, family, member_type)
     JOIN part ON printf('%04d', p_partkey) = m.plan_code AND p_partkey % 37 <> 36
-    -- The family's own row is the member with number 0, unless it is deleted.
-    WHERE NOT gone AND {company} AND {plan} AND (k // 3 * 3) % 87 <> 86
-      AND k // 3 * 3 IN (SELECT c_custkey FROM customer)),
+    WHERE NOT gone AND {company} AND {plan} AND k // 3 % 29 <> 28),
   joined_rows AS (
     SELECT DISTINCT people.card_no,
       CASE WHEN k // 3 % 2 = 0 THEN 'C' || printf('%06d', k // 3)
@@ -344,16 +341,16 @@ def _detail(strict: bool) -> str:
     JOIN supplier ON printf('%06d', s_suppkey) = seller_code AND s_suppkey % 13 <> 12
     JOIN nation why ON printf('%03d', why.n_nationkey) = reason_code
     LEFT JOIN nation sub ON printf('%04d', sub.n_nationkey) = contract_no AND sub.n_nationkey % 3 = subcontract
-    LEFT JOIN nation con ON printf('%04d', con.n_nationkey) = contract_no AND con.n_nationkey % 4 <> 0
+    LEFT JOIN nation con ON printf('%04d', con.n_nationkey) = contract_no AND con.n_nationkey % 4 <> 3
     LEFT JOIN attendance ON attendance.card_no = people.card_no
     LEFT JOIN region pay ON pay.r_regionkey = k // 3 % 7
     LEFT JOIN prices ON prices.org = people.org AND prices.company = people.company
       AND prices.family = people.family AND prices.member_type = people.member_type
       AND date_diff('year', born, {AS_OF}) BETWEEN lo AND hi
     LEFT JOIN occurrences ON occurrences.customer = 'C' || printf('%06d', k // 3) AND occurrences.family = people.family)
-  SELECT j.*, '71-' || c_custkey AS customer_phone
-  FROM joined_rows j LEFT JOIN customer ON c_custkey % 3 = 0 AND c_custkey % 23 <> 22
-    AND 'C' || printf('%06d', c_custkey // 3) = customer_code""".replace(family, "k // 3")
+  SELECT j.*, '71-' || f AS customer_phone
+  FROM joined_rows j LEFT JOIN (SELECT DISTINCT c_custkey // 3 AS f FROM customer) billed
+    ON f % 23 <> 22 AND 'C' || printf('%06d', f) = customer_code"""
 
 
 def detail_queries() -> dict[str, str]:

@@ -10,7 +10,7 @@ from ebbtide.plans import goals
 AS_OF = date(2024, 3, 5)
 
 
-def proposal(seller, lives, ts=datetime(2024, 3, 1), branch=" feira ", status="ok", product="p"):
+def proposal(seller, lives, ts=datetime(2024, 3, 1), branch="  norte ", status="ok", product="p"):
     return (seller, branch, status, product, ts, lives)
 
 
@@ -22,7 +22,7 @@ def proposals(spark):
         proposal("1", 100, datetime(2024, 2, 25, 23)),  # before the cycle
         proposal("1", 100, datetime(2024, 3, 5, 10)),  # later on the last day
         proposal("1", 1, datetime(2024, 3, 5)),
-        proposal("2", 5, branch="FEIRA"),
+        proposal("2", 5, branch="NORTE"),
         proposal("2", 50, status="no"),
         proposal("2", 50, product="q"),
         proposal(None, 7),
@@ -38,7 +38,7 @@ def sellers(spark):
 
 
 def lives(proposals, sellers, **options):
-    found = goals.lives_by_team(proposals, sellers, AS_OF, "ok", "p", "Feira", **options)
+    found = goals.lives_by_team(proposals, sellers, AS_OF, "ok", "p", "Norte", **options)
     return {r["team"]: r["lives"] for r in found.collect()}
 
 
@@ -52,16 +52,16 @@ def test_null_codes_match_if_wanted(proposals, sellers):
 
 def test_latest_goals(spark):
     rows = [
-        ("Feira", "red", "jan/2024", 90.0),
-        ("Feira", "red", "fev/2024", 10.0),
-        ("Feira", "red", "2024-02-20", 2.0),
-        ("Feira", "blue", "??", 5.0),
+        ("Norte", "red", "jan/2024", 90.0),
+        ("Norte", "red", "fev/2024", 10.0),
+        ("Norte", "red", "2024-02-20", 2.0),
+        ("Norte", "blue", "??", 5.0),
         ("Sul", "red", "dez/2023", 4.0),
         ("Sul", None, "dez/2023", 4.0),
     ]
     df = spark.createDataFrame(rows, schemas.GOAL)
     got = {(r["branch"], r["team"]): r["goal"] for r in goals.latest_goals(df).collect()}
-    assert got == {("Feira", "red"): 12.0, ("Sul", "red"): 4.0}
+    assert got == {("Norte", "red"): 12.0, ("Sul", "red"): 4.0}
     assert goals.latest_goals(df, "Sul").count() == 1
 
 
@@ -90,9 +90,9 @@ def test_message(result):
 
 
 def test_diagnosis(proposals, sellers):
-    got = goals.seller_diagnosis(proposals, sellers, AS_OF, "ok", "p", "Feira").collect()
+    got = goals.seller_diagnosis(proposals, sellers, AS_OF, "ok", "p", "Norte").collect()
     one = [r for r in got if r["seller_code"] == "000001"]
     assert [(r["proposals"], r["in_cycle"], r["listings"], r["branch_ok"]) for r in one] == [(5, 3, 1, True)]
     two = {(r["branch"], r["status"], r["product"]): (r["branch_ok"], r["status_ok"], r["product_ok"]) for r in got if r["seller_code"] == "000002"}
-    assert two[" feira ", "no", "p"] == (True, False, True) and two["FEIRA", "ok", "p"] == (True, True, True)
+    assert two["  norte ", "no", "p"] == (True, False, True) and two["NORTE", "ok", "p"] == (True, True, True)
     assert {r["seller_code"]: r["listings"] for r in got}["000009"] == 0

@@ -5,7 +5,6 @@ import re
 from datetime import date, datetime
 
 import pytest
-from pyspark.sql import functions as F
 
 from ebbtide import schemas
 from ebbtide.functions import codes, html

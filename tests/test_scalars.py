@@ -129,7 +129,7 @@ def test_seller_code(column):
 
 def test_strip_and_title(column):
     assert column(["\t a \n", None], "string", text.strip) == ["a", None]
-    given = ["  feira de SANTANA ", "d'ávila x-y", "são paulo"]
+    given = ["  porto de AREIA ", "d'ávila x-y", "são paulo"]
     assert column(given, "string", text.title_case) == [s.strip().title() for s in given]
 
 
