@@ -9,6 +9,7 @@ from __future__ import annotations
 import sys
 from collections.abc import Callable
 from datetime import date
+from importlib.util import find_spec
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
@@ -27,6 +28,13 @@ from ebbtide.sources import standin
 from ebbtide.sources.standin import AS_OF, Tables
 from oracles import sql
 
+# The training-data operators are a part of their own; the rest works without it.
+if find_spec("ebbtide.llm") and find_spec("corpus_pipeline"):
+    import corpus_pipeline
+    from ebbtide.llm import queries as llm
+else:
+    corpus_pipeline = llm = None
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 FIRST_DAY, LAST_DAY = date(1995, 1, 1), date(2001, 8, 1)
@@ -320,7 +328,9 @@ def entry(spark: SparkSession) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
+    extra = {**llm.queries(), "pipeline": corpus_pipeline.run} if llm else {}
     return {
+        **extra,
         "cancel_by_age_band": _section("age"),
         "cancel_by_tenure_band": _section("tenure"),
         "cancel_by_class": _section("class"),
@@ -376,4 +386,7 @@ def queries() -> dict[str, Query]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return sql.all_queries()
+    if not llm:
+        return sql.all_queries()
+    chain = {"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {}
+    return {**sql.all_queries(), **llm.oracle_sql(), **chain}
