@@ -2,6 +2,7 @@
 
 import uuid
 from collections.abc import Callable, Iterable, Iterator
+from pathlib import Path
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -37,9 +38,19 @@ def mapped(df: DataFrame, schema: str, by: str, each: Callable[[pa.RecordBatch],
             if columns is not None:
                 yield pa.RecordBatch.from_arrays([pa.array(columns[f.name], f.type) for f in target], schema=target)
 
+    importable(df.sparkSession)
     return df.mapInArrow(run, schema)
 
 
+def importable(spark: SparkSession) -> None:
+    """Lets Python workers on the driver's machine find this package where the driver found it.
+
+    On a cluster it is installed, or on the PYTHONPATH of the executors.
+    """
+    root = str(Path(__file__).resolve().parents[2])
+    spark.sparkContext.environment.setdefault("PYTHONPATH", root)
+
+
 def pa_schema(spark: SparkSession, schema: str) -> pa.Schema:
     from pyspark.sql.pandas.types import to_arrow_schema
     from pyspark.sql.types import StructType

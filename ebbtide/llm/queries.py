@@ -3,7 +3,25 @@
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from ebbtide.llm import simhash, token_counts
+from ebbtide.llm import line_dedup, secret_scan, simhash, token_counts
+
+# The same results in DuckDB's SQL, by plain counting.
+OP10 = r"""
+WITH lines AS (
+  SELECT rowid AS r, doc_id, string_split(coalesce(text, ''), chr(10)) AS ls FROM (SELECT *, row_number() OVER () AS rowid FROM documents)
+), each AS (
+  SELECT r, doc_id, unnest(ls) AS line, unnest(range(len(ls))) AS n FROM lines
+), keyed AS (
+  SELECT *, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS k FROM each
+), shared AS (
+  SELECT k, min(doc_id) AS holder FROM keyed WHERE length(k) >= 10 GROUP BY k HAVING count(DISTINCT doc_id) > 1
+), marked AS (
+  SELECT keyed.*, shared.k IS NOT NULL AND doc_id <> holder AS gone FROM keyed LEFT JOIN shared USING (k)
+)
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE gone) AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY n) FILTER (WHERE NOT gone), '')) AS kept_sha256
+FROM marked GROUP BY r, doc_id
+"""
 
 
 def documents(spark: SparkSession, folder: str) -> DataFrame:
@@ -18,9 +36,22 @@ def op2_simhash(spark: SparkSession, folder: str) -> DataFrame:
     return simhash.near_duplicates(documents(spark, folder), width=4, radius=4)
 
 
+def op3_secrets(spark: SparkSession, folder: str) -> DataFrame:
+    return secret_scan.secrets(documents(spark, folder), owner="source", repository=("source", "lang"))
+
+
+def op10_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return line_dedup.digests(line_dedup.dedup_corpus(documents(spark, folder), least=10))
+
+
 def queries() -> dict:
-    return {"op1_token_counts": op1_token_counts, "op2_simhash": op2_simhash}
+    return {
+        "op1_token_counts": op1_token_counts,
+        "op2_simhash": op2_simhash,
+        "op3_secrets": op3_secrets,
+        "op10_line_dedup": op10_line_dedup,
+    }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op10_line_dedup": OP10}
