@@ -3,7 +3,7 @@
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from ebbtide.llm import line_dedup, secret_scan, simhash, token_counts
+from ebbtide.llm import line_dedup, secret_scan, simhash, substring_dedup, token_counts
 
 # The same results in DuckDB's SQL, by plain counting.
 OP10 = r"""
@@ -23,6 +23,29 @@ SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE gone) AS n_dropped,
 FROM marked GROUP BY r, doc_id
 """
 
+OP8 = r"""
+WITH texts AS (
+  SELECT row_number() OVER () AS r, doc_id,
+         list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS ws FROM documents
+), windows AS (
+  SELECT r, unnest(range(1, len(ws) - 33)) AS s FROM texts WHERE len(ws) >= 35
+), hashed AS (
+  SELECT r, s, md5(array_to_string(ws[s:s + 34], ' ')) AS w FROM windows JOIN texts USING (r)
+), hits AS (
+  SELECT r, s FROM hashed WHERE w IN (SELECT w FROM hashed GROUP BY w HAVING count(*) > 1)
+), covered AS (
+  SELECT DISTINCT r, unnest(range(s, s + 35)) AS p FROM hits
+), marks AS (
+  SELECT r, count(*) AS n, list(p) AS ps FROM covered GROUP BY r
+), places AS (
+  SELECT r, doc_id, len(ws) AS n_words, unnest(ws) AS word, unnest(range(1, len(ws) + 1)) AS p FROM texts
+), kept AS (
+  SELECT r, string_agg(word, ' ' ORDER BY p) AS kept FROM places ANTI JOIN covered USING (r, p) GROUP BY r
+)
+SELECT doc_id, len(ws) AS n_words, coalesce(n, 0) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+FROM texts LEFT JOIN marks USING (r) LEFT JOIN kept USING (r)
+"""
+
 
 def documents(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/documents.parquet")
@@ -40,6 +63,10 @@ def op3_secrets(spark: SparkSession, folder: str) -> DataFrame:
     return secret_scan.secrets(documents(spark, folder), owner="source", repository=("source", "lang"))
 
 
+def op8_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return substring_dedup.without_repeats(documents(spark, folder), width=35).drop("kept")
+
+
 def op10_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return line_dedup.digests(line_dedup.dedup_corpus(documents(spark, folder), least=10))
 
@@ -49,9 +76,10 @@ def queries() -> dict:
         "op1_token_counts": op1_token_counts,
         "op2_simhash": op2_simhash,
         "op3_secrets": op3_secrets,
+        "op8_substring_dedup": op8_substring_dedup,
         "op10_line_dedup": op10_line_dedup,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op10_line_dedup": OP10}
+    return {"op8_substring_dedup": OP8, "op10_line_dedup": OP10}
