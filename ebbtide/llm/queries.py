@@ -3,7 +3,7 @@
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from ebbtide.llm import line_dedup, secret_scan, simhash, substring_dedup, token_counts
+from ebbtide.llm import line_dedup, mixing, secret_scan, simhash, substring_dedup, token_counts
 
 # The same results in DuckDB's SQL, by plain counting.
 OP10 = r"""
@@ -63,6 +63,10 @@ def op3_secrets(spark: SparkSession, folder: str) -> DataFrame:
     return secret_scan.secrets(documents(spark, folder), owner="source", repository=("source", "lang"))
 
 
+def op7_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    return mixing.mixed(documents(spark, folder), weights=(1, 2, 3), most=3)
+
+
 def op8_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return substring_dedup.without_repeats(documents(spark, folder), width=35).drop("kept")
 
@@ -76,6 +80,7 @@ def queries() -> dict:
         "op1_token_counts": op1_token_counts,
         "op2_simhash": op2_simhash,
         "op3_secrets": op3_secrets,
+        "op7_mixing": op7_mixing,
         "op8_substring_dedup": op8_substring_dedup,
         "op10_line_dedup": op10_line_dedup,
     }
