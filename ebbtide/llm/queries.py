@@ -3,7 +3,7 @@
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from ebbtide.llm import line_dedup, mixing, secret_scan, simhash, substring_dedup, token_counts
+from ebbtide.llm import line_dedup, mixing, quality, secret_scan, simhash, substring_dedup, token_counts
 
 # The same results in DuckDB's SQL, by plain counting.
 OP10 = r"""
@@ -46,6 +46,57 @@ SELECT doc_id, len(ws) AS n_words, coalesce(n, 0) AS n_removed, sha256(coalesce(
 FROM texts LEFT JOIN marks USING (r) LEFT JOIN kept USING (r)
 """
 
+OP5 = r"""
+WITH texts AS (
+  SELECT row_number() OVER () AS r, doc_id, coalesce(lang, '') AS lang, coalesce(text, '') AS text,
+         list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS ws FROM documents
+), windows AS (
+  SELECT r, s, array_to_string(ws[s:s + 7], ' ') AS w FROM (SELECT r, ws, unnest(range(1, len(ws) - 6)) AS s FROM texts WHERE len(ws) >= 8)
+), hits AS (
+  SELECT r, s FROM windows SEMI JOIN (SELECT r, w FROM windows GROUP BY r, w HAVING count(*) > 1) USING (r, w)
+), covered AS (
+  SELECT r, count(DISTINCT p) AS n FROM (SELECT r, unnest(range(s, s + 8)) AS p FROM hits) GROUP BY r
+), lines AS (
+  SELECT r, count(*) - count(DISTINCT line) AS n FROM (SELECT r, unnest(string_split(text, chr(10))) AS line FROM texts)
+  WHERE NOT regexp_full_match(line, '[\x20\x09-\x0D]*') GROUP BY r
+), base AS (
+  SELECT t.r, doc_id, lang, len(ws) AS n_words, length(regexp_replace(text, '[\x20\x09-\x0D]+', '', 'g')) AS word_chars,
+         length(regexp_replace(text, '[^#*$%&|<>]+', '', 'g')) AS n_symbols,
+         coalesce(l.n, 0) AS n_dup_lines, coalesce(c.n, 0) AS n_repeat_words,
+         length(regexp_replace(text, '[^a-z]+', '', 'g')) AS lo, length(regexp_replace(text, '[^A-Z]+', '', 'g')) AS up,
+         length(regexp_replace(text, '[^0-9]+', '', 'g')) AS di, length(regexp_replace(text, '[^!-/:-@\[-`{-~]+', '', 'g')) AS ma
+  FROM texts t LEFT JOIN covered c ON t.r = c.r LEFT JOIN lines l ON t.r = l.r
+), sums AS (
+  SELECT lang, sum(n_words) AS words, sum(word_chars) AS chars, sum(lo) AS lo, sum(up) AS up, sum(di) AS di, sum(ma) AS ma FROM base GROUP BY lang
+), class_pairs AS (
+  SELECT r, unnest([b.lo, b.up, b.di, b.ma, b.word_chars - b.lo - b.up - b.di - b.ma]) / word_chars AS p,
+         unnest([s.lo, s.up, s.di, s.ma, s.chars - s.lo - s.up - s.di - s.ma]) / s.chars AS q
+  FROM base b JOIN sums s USING (lang) WHERE word_chars > 0
+), class_distance AS (
+  SELECT r, sqrt(greatest(0, sum(CASE WHEN p > 0 THEN p * log2(2 * p / (p + q)) ELSE 0 END + CASE WHEN q > 0 THEN q * log2(2 * q / (p + q)) ELSE 0 END) / 2)) AS d
+  FROM class_pairs GROUP BY r
+), words AS (
+  SELECT r, lang, unnest(ws) AS word FROM texts
+), common AS (
+  SELECT lang, word, count(*) / any_value(s.words) AS q FROM words JOIN sums s USING (lang) GROUP BY lang, word HAVING count(*) >= 0.002 * any_value(s.words)
+), own AS (
+  SELECT r, lang, word, count(*) AS n FROM words GROUP BY r, lang, word
+), slots AS (
+  SELECT b.r, c.q, coalesce(o.n, 0) / b.n_words AS p FROM base b JOIN common c USING (lang) LEFT JOIN own o ON o.r = b.r AND o.word = c.word WHERE b.n_words > 0
+  UNION ALL
+  SELECT b.r, 1 - coalesce(k.q, 0), coalesce(u.n, 0) / b.n_words FROM base b LEFT JOIN (SELECT lang, sum(q) AS q FROM common GROUP BY lang) k USING (lang)
+  LEFT JOIN (SELECT r, sum(n) AS n FROM own o ANTI JOIN common c USING (lang, word) GROUP BY r) u ON u.r = b.r WHERE b.n_words > 0
+), word_distance AS (
+  SELECT r, sqrt(greatest(0, sum(CASE WHEN p > 0 THEN p * log2(2 * p / (p + q)) ELSE 0 END + CASE WHEN q > 0 THEN q * log2(2 * q / (p + q)) ELSE 0 END) / 2)) AS d
+  FROM slots GROUP BY r
+)
+SELECT doc_id, b.n_words, b.word_chars, n_symbols, n_dup_lines, n_repeat_words,
+       b.n_words < 20 OR 100 * n_repeat_words > 30 * b.n_words AS base_failed,
+       NOT (b.n_words < 20 OR 100 * n_repeat_words > 30 * b.n_words)
+       AND (b.n_words < 50 OR s.words < 2000 OR coalesce(c.d, 0) <= 0.3 AND coalesce(w.d, 0) <= 0.5) AS kept
+FROM base b JOIN sums s USING (lang) LEFT JOIN class_distance c USING (r) LEFT JOIN word_distance w USING (r)
+"""
+
 
 def documents(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/documents.parquet")
@@ -63,6 +114,11 @@ def op3_secrets(spark: SparkSession, folder: str) -> DataFrame:
     return secret_scan.secrets(documents(spark, folder), owner="source", repository=("source", "lang"))
 
 
+def op5_quality(spark: SparkSession, folder: str) -> DataFrame:
+    rows = quality.judged(documents(spark, folder), class_limit=0.3, word_limit=0.5, least_words=50)
+    return rows.drop("class_distance", "word_distance")
+
+
 def op7_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mixed(documents(spark, folder), weights=(1, 2, 3), most=3)
 
@@ -80,6 +136,7 @@ def queries() -> dict:
         "op1_token_counts": op1_token_counts,
         "op2_simhash": op2_simhash,
         "op3_secrets": op3_secrets,
+        "op5_quality": op5_quality,
         "op7_mixing": op7_mixing,
         "op8_substring_dedup": op8_substring_dedup,
         "op10_line_dedup": op10_line_dedup,
@@ -87,4 +144,4 @@ def queries() -> dict:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op8_substring_dedup": OP8, "op10_line_dedup": OP10}
+    return {"op5_quality": OP5, "op8_substring_dedup": OP8, "op10_line_dedup": OP10}
