@@ -3,7 +3,7 @@
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from ebbtide.llm import line_dedup, mixing, quality, secret_scan, simhash, substring_dedup, token_counts
+from ebbtide.llm import language_id, line_dedup, mixing, quality, secret_scan, simhash, substring_dedup, token_counts
 
 # The same results in DuckDB's SQL, by plain counting.
 OP10 = r"""
@@ -127,6 +127,10 @@ def op8_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return substring_dedup.without_repeats(documents(spark, folder), width=35).drop("kept")
 
 
+def op9_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    return language_id.languages(documents(spark, folder))
+
+
 def op10_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return line_dedup.digests(line_dedup.dedup_corpus(documents(spark, folder), least=10))
 
@@ -139,6 +143,7 @@ def queries() -> dict:
         "op5_quality": op5_quality,
         "op7_mixing": op7_mixing,
         "op8_substring_dedup": op8_substring_dedup,
+        "op9_language_id": op9_language_id,
         "op10_line_dedup": op10_line_dedup,
     }
 
