@@ -3,7 +3,7 @@
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from ebbtide.llm import language_id, line_dedup, mixing, quality, secret_scan, simhash, substring_dedup, token_counts
+from ebbtide.llm import decontaminate, language_id, line_dedup, mixing, quality, secret_scan, simhash, substring_dedup, token_counts
 
 # The same results in DuckDB's SQL, by plain counting.
 OP10 = r"""
@@ -119,6 +119,11 @@ def op5_quality(spark: SparkSession, folder: str) -> DataFrame:
     return rows.drop("class_distance", "word_distance")
 
 
+def op6_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
+    benchmark = spark.read.parquet(f"{folder}/benchmark.parquet")
+    return decontaminate.report(documents(spark, folder), benchmark, size=12, least_cover=0.25)
+
+
 def op7_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mixed(documents(spark, folder), weights=(1, 2, 3), most=3)
 
@@ -141,6 +146,7 @@ def queries() -> dict:
         "op2_simhash": op2_simhash,
         "op3_secrets": op3_secrets,
         "op5_quality": op5_quality,
+        "op6_decontaminate": op6_decontaminate,
         "op7_mixing": op7_mixing,
         "op8_substring_dedup": op8_substring_dedup,
         "op9_language_id": op9_language_id,
