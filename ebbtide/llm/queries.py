@@ -3,7 +3,7 @@
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from ebbtide.llm import decontaminate, language_id, line_dedup, mixing, quality, secret_scan, simhash, substring_dedup, token_counts
+from ebbtide.llm import decontaminate, language_id, line_dedup, main_text, mixing, quality, secret_scan, simhash, substring_dedup, token_counts
 
 # The same results in DuckDB's SQL, by plain counting.
 OP10 = r"""
@@ -114,6 +114,10 @@ def op3_secrets(spark: SparkSession, folder: str) -> DataFrame:
     return secret_scan.secrets(documents(spark, folder), owner="source", repository=("source", "lang"))
 
 
+def op4_main_text(spark: SparkSession, folder: str) -> DataFrame:
+    return main_text.extracted(spark.read.parquet(f"{folder}/pages.parquet"))
+
+
 def op5_quality(spark: SparkSession, folder: str) -> DataFrame:
     rows = quality.judged(documents(spark, folder), class_limit=0.3, word_limit=0.5, least_words=50)
     return rows.drop("class_distance", "word_distance")
@@ -145,6 +149,7 @@ def queries() -> dict:
         "op1_token_counts": op1_token_counts,
         "op2_simhash": op2_simhash,
         "op3_secrets": op3_secrets,
+        "op4_main_text": op4_main_text,
         "op5_quality": op5_quality,
         "op6_decontaminate": op6_decontaminate,
         "op7_mixing": op7_mixing,
