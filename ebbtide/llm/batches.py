@@ -78,3 +78,8 @@ def row_key(id_col: str = "doc_id", text: str = "text") -> list[Column]:
         F.coalesce(F.col(id_col).cast("long"), F.lit(0)).alias("_id"),
         F.xxhash64(F.col(id_col).isNull(), F.col(text)).alias("_row"),
     ]
+
+
+def keyed(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
+    """The row key, and all columns of `docs` in `_all`, where no name of theirs can clash."""
+    return docs.select(*row_key(id_col, text), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_all"))

@@ -14,7 +14,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ebbtide.llm.batches import mapped, row_key, written
+from ebbtide.llm.batches import keyed, mapped, row_key, written
 from ebbtide.llm.cuckoo import mix
 from ebbtide.llm.substring_dedup import Sums
 
@@ -175,15 +175,13 @@ def contaminated(
     Repeated rows have one result, null ids are no hindrance, all columns stay; with an empty
     benchmark nothing is found.
     """
-    key = row_key(id_col, text)
-    rows = docs.select(*key, F.col(text).alias("text"))
+    rows = docs.select(*row_key(id_col, text), F.col(text).alias("text"))
     asked = items.select(F.col(item_id).cast("long").alias("item_id"), F.col(item_text).alias("text"))
     found = matches(rows, asked, size).where(F.col("cover") >= least_cover)
     per_row = written(found.groupBy("_id", "_row").agg(F.sort_array(F.collect_set("item_id")).alias("_item_ids"), F.max("cover").alias("_cover")))
-    joined = docs.select(*docs.columns, *key).join(per_row, ["_id", "_row"], "left")
-    return joined.select(
-        *docs.columns, F.coalesce("_item_ids", F.array().cast("array<bigint>")).alias("_item_ids"), F.coalesce("_cover", F.lit(0.0)).alias("_cover")
-    )
+    joined = keyed(docs, id_col, text).join(per_row, ["_id", "_row"], "left")
+    ids = F.coalesce("_item_ids", F.array().cast("array<bigint>"))
+    return joined.select("_all.*", ids.alias("_item_ids"), F.coalesce("_cover", F.lit(0.0)).alias("_cover"))
 
 
 def report(docs: DataFrame, items: DataFrame, size: int = 12, least_cover: float = 0.25) -> DataFrame:

@@ -16,7 +16,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ebbtide.llm.batches import importable, mapped, row_key, written
+from ebbtide.llm.batches import importable, keyed, mapped, row_key, written
 from ebbtide.llm.cuckoo import Cuckoo
 
 SPACE = b" \t\n\x0b\x0c\r"
@@ -170,17 +170,17 @@ def deduplicated(docs: DataFrame, state: State, lines: DataFrame, id_col: str =
 
     Lines are what \\n separates; a null or empty text is one empty line, and comes out empty.
     """
-    names = dict(zip(["_id", "_row"], row_key(id_col, text)))
-    drops = dropped_lines(state, lines)
-    rows = docs.select(*docs.columns, *names.values()).join(drops, ["_id", "_row"], "left")
-    parts = F.split(F.coalesce(F.col(text), F.lit("")), "\n")
+    rows = keyed(docs, id_col, text).join(dropped_lines(state, lines), ["_id", "_row"], "left")
+    whole = F.coalesce(F.col(f"_all.`{text}`"), F.lit(""))
+    parts = F.split(whole, "\n")
     stay = F.array_except(F.sequence(F.lit(0), F.size(parts) - 1), F.col("_drop"))
     kept = F.array_join(F.transform(stay, lambda i: F.get(parts, i)), "\n")
+    cut = F.when(F.col("_drop").isNull(), whole).otherwise(kept)
     return rows.select(
-        *[F.when(F.col("_drop").isNull(), F.coalesce(F.col(text), F.lit(""))).otherwise(kept).alias(c) if c == text else F.col(c) for c in docs.columns],
+        *[cut.alias(c) if c == text else F.col(f"_all.`{c}`").alias(c) for c in docs.columns],
         F.size(parts).cast("long").alias("_n_lines"),
         F.when(F.col("_drop").isNull(), 0).otherwise(F.size("_drop")).cast("long").alias("_n_dropped"),
-    )
+    )
 
 
 def dedup_corpus(docs: DataFrame, least: int = 10, id_col: str = "doc_id", text: str = "text") -> DataFrame:

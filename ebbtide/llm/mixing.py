@@ -13,7 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ebbtide.llm.batches import written
+from ebbtide.llm.batches import keyed, row_key, written
 from ebbtide.operators.lineage import cut
 
 # ASCII white space, as characters and as a pattern.
@@ -111,7 +111,12 @@ def tilts(docs: DataFrame, goals: DataFrame, most: float) -> DataFrame:
     return state.select("source", "tilt", "scale")
 
 
-def mixed(
+def mixed(docs: DataFrame, *args, **names) -> DataFrame:
+    """`documents_mixed` without its row keys."""
+    return documents_mixed(docs, *args, **names).drop("_id", "_row")
+
+
+def documents_mixed(
     docs: DataFrame,
     weights: Sequence[float] = (1, 2, 3),
     most: int = 3,
@@ -119,7 +124,7 @@ def mixed(
     text: str = "text",
     source: str = "source",
 ) -> DataFrame:
-    """Per row: `doc_id`, `size`, `source_size`, `target` (of its source), `copies`, `taken` = copies * size.
+    """Per row: row key, `doc_id`, `size`, `source_size`, `target` (of its source), `copies`, `taken` = copies * size.
 
     `size` counts words between ASCII white space (null: 0). Targets: see `targets`. Copies are
     0 to `most`. A source with a target of `most` times its size is taken `most` times; a null
@@ -128,7 +133,7 @@ def mixed(
     reruns agree. Further columns are left out; an empty table gives an empty one.
     """
     rows = written(
-        docs.select(F.col(id_col).cast("long").alias("doc_id"), words(F.col(text)).alias("size"), F.col(source).cast("string").alias("source"))
+        docs.select(*row_key(id_col, text), F.col(id_col).cast("long").alias("doc_id"), words(F.col(text)).alias("size"), F.col(source).cast("string").alias("source"))
         .withColumn("row", F.monotonically_increasing_id())
     )
     sizes = rows.groupBy("source").agg(F.sum("size").alias("source_size"))
@@ -144,7 +149,7 @@ def mixed(
     unit = 1 << 40
     part = F.round((F.col("rate") - F.floor("rate")) * unit).cast("long")
     known = known.select(
-        "row", "doc_id", "size", "source_size", "target", F.floor("rate").alias("whole"), part.alias("part"),
+        "row", "_id", "_row", "doc_id", "size", "source_size", "target", F.floor("rate").alias("whole"), part.alias("part"),
         F.to_json(F.struct("source")).alias("group"), F.xxhash64("doc_id").alias("draw"),
     )
     summed = running(known, "group", ["size", "draw", "doc_id"], F.col("part").cast("decimal(38,0)"), "before")
@@ -152,12 +157,21 @@ def mixed(
     upto = F.col("before") + F.col("part") + half
     extra = F.floor(upto / unit) - F.floor((F.col("before") + half) / unit)
     copies = (F.col("whole") + extra).cast("long")
-    rounded = written(summed.select("row", "doc_id", "size", "source_size", "target", "group", "draw", copies.alias("copies")))
+    rounded = written(summed.select("row", "_id", "_row", "doc_id", "size", "source_size", "target", "group", "draw", copies.alias("copies")))
     return settled(rounded, most).select(
-        "doc_id", "size", "source_size", "target", "copies", (F.col("copies") * F.col("size")).alias("taken")
+        "_id", "_row", "doc_id", "size", "source_size", "target", "copies", (F.col("copies") * F.col("size")).alias("taken")
     )
 
 
+def mixed_rows(docs: DataFrame, weights: Sequence[float] = (1, 2, 3), most: int = 3, id_col: str = "doc_id", text: str = "text") -> DataFrame:
+    """The rows of `docs` that the mix takes, with all columns and `_copies`; see `documents_mixed`.
+
+    Repeated rows are alike and have the larger number of their copies.
+    """
+    found = documents_mixed(docs, weights, most, id_col, text).groupBy("_id", "_row").agg(F.max("copies").alias("_copies"))
+    return keyed(docs, id_col, text).join(found.where("_copies > 0"), ["_id", "_row"]).select("_all.*", "_copies")
+
+
 def settled(rounded: DataFrame, most: int) -> DataFrame:
     """`rounded` with a copy more or less of a few documents, so that no larger step comes nearer to a target.
 

@@ -16,7 +16,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ebbtide.llm.batches import mapped, written
+from ebbtide.llm.batches import importable, keyed, mapped, row_key, written
 from ebbtide.llm.components import components
 
 SEED = 42
@@ -45,13 +45,14 @@ def fingerprint(text: bytes, width: int) -> int:
 
 
 def fingerprints(docs: DataFrame, width: int, id_col: str = "doc_id", text: str = "text") -> DataFrame:
-    """Per row: `doc_id` and `fp`, the fingerprint's 64 bits as a long. Null texts have no words."""
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text).cast("binary").alias("text"))
+    """Per row: `_id` and `_row` (see `row_key`), `doc_id` and `fp`, the fingerprint's 64 bits as a long."""
+    rows = docs.select(*row_key(id_col, text), F.col(id_col).cast("long").alias("doc_id"), F.col(text).cast("binary").alias("text"))
 
     def each(part: pa.RecordBatch) -> dict:
-        return {"doc_id": part.column(0), "fp": [fingerprint(t or b"", width) for t in part.column(1).to_pylist()]}
+        columns = dict(zip(["_id", "_row", "doc_id"], part.columns))
+        return columns | {"fp": [fingerprint(t or b"", width) for t in part.column(3).to_pylist()]}
 
-    return mapped(rows, "doc_id long, fp long", "text", each)
+    return mapped(rows, "_id long, _row long, doc_id long, fp long", "text", each)
 
 
 def band(fp: Column, k: int, bands: int) -> Column:
@@ -93,6 +94,7 @@ def near_edges(fps: DataFrame, radius: int, tile: int = 1024) -> DataFrame:
     pairs = a.join(b, ["k", "v"]).where("ta < tb").where(F.col("bottom") - F.col("top") <= radius).select("k", "v", "ta", "tb")
     pairs = pairs.join(large.select("k", "v", F.col("tile").alias("ta"), F.col("fps").alias("left")), ["k", "v", "ta"])
     pairs = pairs.join(large.select("k", "v", F.col("tile").alias("tb"), F.col("fps").alias("right")), ["k", "v", "tb"])
+    importable(fps.sparkSession)
     return whole.unionByName(pairs.select("left", "right")).mapInArrow(partial(_linked, radius=radius), "a long, b long")
 
 
@@ -149,6 +151,21 @@ def _union(label: np.ndarray, i: np.ndarray, j: np.ndarray) -> None:
             label[:] = up
 
 
+def grouped(docs: DataFrame, width: int, radius: int, id_col: str, text: str, tile: int) -> tuple[DataFrame, DataFrame]:
+    """The rows with their fingerprints, and for each fingerprint the `first` row of its component.
+
+    First is the smallest id, rows without an id last. The order of work: fingerprints once,
+    written; distinct ones compared in tiles; components by contraction.
+    """
+    rows = written(fingerprints(docs, width, id_col, text))
+    place = F.struct(F.col("doc_id").isNull().alias("nameless"), "doc_id", "_id", "_row")
+    fps = written(rows.groupBy("fp").agg(F.min(place).alias("own")))
+    roots = components(near_edges(fps, radius, tile)).select(F.col("node").alias("fp"), "root")
+    named = written(fps.join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp")))
+    first = named.groupBy("root").agg(F.min("own").alias("first"))
+    return rows, written(named.select("fp", "root").join(first, "root").select("fp", "first"))
+
+
 def near_duplicates(
     docs: DataFrame, width: int = 4, radius: int = 4, id_col: str = "doc_id", text: str = "text", tile: int = 1024
 ) -> DataFrame:
@@ -160,14 +177,18 @@ def near_duplicates(
     differing bits; `component_id` is the smallest id that is reachable. Ties and repeated
     rows have one fingerprint and so one component. Rows with a null id take part and get their
     component, which is null only if no row of it has an id. Further columns are left out;
-    an empty table gives an empty one. The order of work: fingerprints once, written; distinct
-    ones compared in tiles; components by contraction; one join back, on the fingerprint.
+    an empty table gives an empty one.
     """
-    rows = written(fingerprints(docs, width, id_col, text))
-    fps = written(rows.groupBy("fp").agg(F.min("doc_id").alias("first")))
-    roots = components(near_edges(fps, radius, tile))
-    lowest = fps.join(roots.select(F.col("node").alias("fp"), "root"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
-    lowest = written(lowest)
-    ids = lowest.groupBy("root").agg(F.min("first").alias("component_id"))
-    named = written(lowest.select("fp", "root").join(ids, "root").select("fp", "component_id"))
-    return rows.join(named, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+    rows, named = grouped(docs, width, radius, id_col, text, tile)
+    shown = F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint")
+    return rows.join(named, "fp").select("doc_id", shown, F.col("first.doc_id").alias("component_id"))
+
+
+def one_of_each(
+    docs: DataFrame, width: int = 4, radius: int = 4, id_col: str = "doc_id", text: str = "text", tile: int = 1024
+) -> DataFrame:
+    """The first row of each component of near duplicates, with all its columns; see `near_duplicates`."""
+    _, named = grouped(docs, width, radius, id_col, text, tile)
+    keep = named.select("first._id", "first._row").distinct()
+    rows = keyed(docs, id_col, text).join(keep, ["_id", "_row"], "left_semi")
+    return rows.dropDuplicates(["_id", "_row"]).select("_all.*")
