@@ -176,12 +176,21 @@ def content_paths(page: Page, nodes: list[tuple[int, int, str]]) -> set[int]:
 def article(page: Page, nodes: list[tuple[int, int, str]]) -> int:
     """The element that holds the content."""
     paths = content_paths(page, nodes)
-    chosen = {e for e, _, _ in nodes if page.path[e] in paths}
-    common = page.holders(reduce(page.common, chosen))
+    weight: dict[int, int] = defaultdict(int)
+    for element, _, text in nodes:
+        if page.path[element] in paths:
+            weight[element] += len(text.strip())
+    # An element that is marked up as the article, if it holds most of the content.
     for tag in ("article", "main"):
-        marked = [e for e in common if page.tags[e] == tag]
-        if marked:
-            return marked[-1]
+        held: dict[int, int] = defaultdict(int)
+        for element, n in weight.items():
+            marked = [e for e in page.holders(element) if page.tags[e] == tag]
+            if marked:
+                held[marked[-1]] += n
+        best = max(held, key=held.__getitem__, default=None)
+        if best is not None and 2 * held[best] >= sum(weight.values()):
+            return best
+    common = page.holders(reduce(page.common, weight))
     return next(e for e in common if page.tags[e] not in LEAVES and page.tags[e] not in INLINE)
 
 

@@ -1,0 +1,63 @@
+"""Every operator and every stage on hard rows, on no rows, and with clashing columns."""
+
+import corpus_pipeline
+import public_tokenizers
+import pytest
+from cases import ROWS, edge_rows, no_rows
+from pyspark.sql import functions as F
+
+from ebbtide.llm import decontaminate, language_id, line_dedup, main_text, mixing, quality, secret_scan, simhash, substring_dedup, token_counts
+
+ITEMS = "item_id long, text string"
+
+
+def items(spark):
+    return spark.createDataFrame([(1, "It has two lines, both long enough."), (2, None), (3, "")], ITEMS)
+
+
+OPERATORS = {
+    "tokens": lambda s, d: token_counts.token_counts(d, public_tokenizers.path("word_bpe_49k.json")),
+    "simhash": lambda s, d: simhash.near_duplicates(d),
+    "secrets": lambda s, d: secret_scan.secrets(d),
+    "html": lambda s, d: main_text.extracted(d, "doc_id", "source", "text").withColumnRenamed("page_id", "doc_id"),
+    "quality": lambda s, d: quality.judged(d),
+    "decontaminate": lambda s, d: decontaminate.report(d, items(s)),
+    "mixing": lambda s, d: mixing.mixed(d),
+    "substrings": lambda s, d: substring_dedup.without_repeats(d),
+    "languages": lambda s, d: language_id.languages(d),
+    "lines": lambda s, d: line_dedup.digests(line_dedup.dedup_corpus(d)),
+}
+
+
+@pytest.mark.parametrize("name", OPERATORS)
+def test_operator_bears_hard_rows(spark, name):
+    rows = OPERATORS[name](spark, edge_rows(spark)).collect()
+    assert sorted((r["doc_id"] or 0) for r in rows) == sorted((r[0] or 0) for r in ROWS)
+    twins = [r for r in rows if r["doc_id"] == 7]
+    if name != "mixing":
+        assert twins[0] == twins[1]
+
+
+@pytest.mark.parametrize("name", OPERATORS)
+def test_operator_bears_an_empty_table(spark, name):
+    assert OPERATORS[name](spark, no_rows(spark)).collect() == []
+
+
+@pytest.fixture(scope="module")
+def bench_folder(spark, tmp_path_factory):
+    folder = str(tmp_path_factory.mktemp("stage"))
+    items(spark).write.parquet(f"{folder}/benchmark.parquet")
+    return folder
+
+
+@pytest.mark.parametrize("name, stage", corpus_pipeline.STAGES, ids=[n for n, _ in corpus_pipeline.STAGES])
+def test_stage_bears_hard_rows_and_none(spark, bench_folder, name, stage):
+    docs = edge_rows(spark).withColumn("n_chars", F.length("text").cast("long"))
+    if name == "mixing":
+        docs = docs.drop("copies")
+    found = stage(spark, docs, bench_folder)
+    extra = ["copies"] if name == "mixing" else []
+    assert found.columns == docs.columns + extra
+    assert found.count() <= len(ROWS)
+    none = no_rows(spark).withColumn("n_chars", F.lit(0).cast("long"))
+    assert stage(spark, none, bench_folder).collect() == []
