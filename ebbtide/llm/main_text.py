@@ -1,8 +1,8 @@
 """Main text of web pages by tag-path ratios.
 
-Text nodes are grouped by their path of tags from the root. A path has a text ratio (characters
-by node) and a punctuation ratio (marks by node); both are smoothed along the page and fused,
-and paths above a threshold of the fused ratio hold content. The smallest container of those
+Texts of blocks, the leaves, are grouped by their path of tags from the root. A path has a text
+ratio (characters by leaf) and a punctuation ratio (marks by leaf); both are smoothed along the
+page and fused, and paths above a threshold of the fused ratio hold content. The smallest container of those
 nodes is the article; inside it all text counts but what is marked up as something else.
 """
 
@@ -54,9 +54,9 @@ class Page:
 
     def __init__(self, html: str):
         self.tags, self.parents, self.aside, self.depth = ["#"], [0], [False], [0]
-        # Paths from the root are numbers: of all tags, and of those that are no inline tags.
+        # A number for each path from the root, inline tags left out.
         self.numbers: dict[tuple[int, str], int] = {}
-        self.path, self.outline, self.linked = [0], [0], [False]
+        self.outline, self.linked = [0], [False]
         self.nodes: list[tuple[int, int, str]] = []
         self.block = 0
         self.stack = [0]
@@ -121,7 +121,6 @@ class Page:
         self.parents.append(parent)
         self.aside.append(self.aside[parent] or off)
         self.depth.append(self.depth[parent] + 1)
-        self.path.append(self._number(self.path[parent], tag))
         self.outline.append(self.outline[parent] if tag in INLINE else self._number(self.outline[parent], tag))
         self.linked.append(self.linked[parent] or tag == "a")
         self.stack.append(len(self.tags) - 1)
@@ -155,21 +154,26 @@ class Page:
 
 
 def content_paths(page: Page, nodes: list[tuple[int, int, str]]) -> set[int]:
-    """Paths whose smoothed and fused ratio reaches the threshold."""
-    paths = [page.path[e] for e, _, _ in nodes]
-    total = defaultdict(lambda: np.zeros(3))
-    for path, (_, _, text) in zip(paths, nodes):
-        total[path] += (len(text.strip()), len(PUNCTUATION.findall(text)) + 1, 1)
-    fused = np.ones(len(nodes))
+    """Outlines whose smoothed and fused ratio reaches the threshold; the text of a block is one node."""
+    units: dict[int, list] = {}
+    for element, block, text in nodes:
+        unit = units.setdefault(block, [page.outline[element], 0, 1])
+        unit[1] += len(text.strip())
+        unit[2] += len(PUNCTUATION.findall(text))
+    paths = [u[0] for u in units.values()]
+    total: dict[int, list[int]] = defaultdict(lambda: [0, 0, 0])
+    for path, size, marks in units.values():
+        own = total[path]
+        own[0], own[1], own[2] = own[0] + size, own[1] + marks, own[2] + 1
+    fused = np.ones(len(paths))
     for k in (0, 1):
         ratio = np.array([total[p][k] / total[p][2] for p in paths])
         fused *= np.convolve(np.pad(ratio, 1, mode="edge"), KERNEL, mode="valid")
-    mean: dict[int, list[float]] = defaultdict(list)
+    level: dict[int, float] = defaultdict(float)
     for path, value in zip(paths, fused.tolist()):
-        mean[path].append(value)
-    level = {p: sum(v) / len(v) for p, v in mean.items()}
-    weights = [total[p][0] for p in level]
-    least = THRESHOLD * np.average(list(level.values()), weights=weights if sum(weights) else None)
+        level[path] += value / total[path][2]
+    sizes = [total[p][0] for p in level]
+    least = THRESHOLD * np.average(list(level.values()), weights=sizes)
     return {p for p, v in level.items() if v >= min(least, max(level.values()))}
 
 
@@ -178,7 +182,7 @@ def article(page: Page, nodes: list[tuple[int, int, str]]) -> int:
     paths = content_paths(page, nodes)
     weight: dict[int, int] = defaultdict(int)
     for element, _, text in nodes:
-        if page.path[element] in paths:
+        if page.outline[element] in paths:
             weight[element] += len(text.strip())
     # An element that is marked up as the article, if it holds most of the content.
     for tag in ("article", "main"):
