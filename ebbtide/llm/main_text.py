@@ -184,7 +184,8 @@ def article(page: Page, nodes: list[tuple[int, int, str]]) -> int:
     for element, _, text in nodes:
         if page.outline[element] in paths:
             weight[element] += len(text.strip())
-    # An element that is marked up as the article, if it holds most of the content.
+    # An element that is marked up as the article, if it holds most of the content; the only one
+    # of a page needs a quarter.
     for tag in ("article", "main"):
         held: dict[int, int] = defaultdict(int)
         for element, n in weight.items():
@@ -192,7 +193,7 @@ def article(page: Page, nodes: list[tuple[int, int, str]]) -> int:
             if marked:
                 held[marked[-1]] += n
         best = max(held, key=held.__getitem__, default=None)
-        if best is not None and 2 * held[best] >= sum(weight.values()):
+        if best is not None and (4 if len(held) == 1 else 2) * held[best] >= sum(weight.values()):
             return best
     common = page.holders(reduce(page.common, weight))
     return next(e for e in common if page.tags[e] not in LEAVES and page.tags[e] not in INLINE)
