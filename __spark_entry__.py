@@ -66,10 +66,10 @@ NEEDS = {"age": "age", "tenure": "tenure_months", "class": "plan_class", "seller
 ALL_COLUMNS = ["seller_name", "age", "tenure_months", "monthly_value", "reason", "plan", "plan_class", "payment_type"]
 
 
-def _section(name: str) -> Query:
+def _section(name: str, *kinds: str) -> Query:
     def run(spark: SparkSession, folder: str) -> DataFrame:
         need = [NEEDS.get(name, name)]
-        return reports.section(standin.contract_rows(Tables(spark, folder), need, ["cancelled"]), name)
+        return reports.section(standin.contract_rows(Tables(spark, folder), need, kinds or ["cancelled"]), name)
 
     return run
 
@@ -271,7 +271,7 @@ def lead_label_codes(spark: SparkSession, folder: str) -> DataFrame:
 
 def lead_split(spark: SparkSession, folder: str) -> DataFrame:
     rows = leads.split(_features(spark, folder).where("decided"))
-    return rows.select("lead_id", "target", "is_test", leads.bucket(F.col("lead_id"), 5).alias("fold"))
+    return leads.folded(rows, "fold", F.col("target"), 5).select("lead_id", "target", "is_test", "fold")
 
 
 def _rule_score(rows: DataFrame) -> DataFrame:
@@ -337,7 +337,7 @@ def queries() -> dict[str, Query]:
         "cancel_by_reason": _section("reason"),
         "cancel_by_plan": _section("plan"),
         "cancel_by_payment": _section("payment"),
-        "top_sellers": _section("sellers"),
+        "top_sellers": _section("sellers", "cancelled", "reactivated"),
         "band_totals": band_totals,
         "value_stats": value_stats,
         "report_kpis": report_kpis,

@@ -46,27 +46,45 @@ def explicit_codes(text: Column) -> Column:
     return F.concat(_finds(text, AFTER_WORD), _finds(text, WITH_DASH))
 
 
-def bare_codes(text: Column, found: Column, cap: int = fv.CODE_CAP) -> Column:
-    """Eight digits on their own, beside the codes found already.
+def bare_candidates(text: Column) -> Column:
+    """Eight digits on their own, with a mark for those near the word.
 
     Near the word they always count. Elsewhere they count if they do not begin like
-    a date or with 00, and only while fewer than `cap` codes are listed. Until the
-    list is full every candidate is taken, so the place among the candidates tells
-    how many were listed before.
+    a date or with 00.
     """
     digits = F.regexp_extract_all(text, F.lit(NEAR), F.lit(0))
     near = F.regexp_extract_all(text, F.lit(NEAR), F.lit(1))
     seen = F.zip_with(digits, near, lambda d, n: F.struct(d.alias("digits"), (n != "").alias("near")))
-    candidates = F.filter(seen, lambda s: s["near"] | ~s["digits"].substr(1, 2).isin("00", *fv.DATE_PREFIXES))
+    return F.filter(seen, lambda s: s["near"] | ~s["digits"].substr(1, 2).isin("00", *fv.DATE_PREFIXES))
+
+
+def _within(candidates: Column, found: Column, cap: int) -> Column:
+    """Candidates that are listed: away from the word only while fewer than `cap` codes are.
+
+    Until the list is full every candidate is taken, so the place among the candidates
+    tells how many were listed before.
+    """
     room = F.lit(cap) - F.size(found)
-    kept = F.filter(candidates, lambda s, i: s["near"] | (i < room))
-    return F.transform(kept, lambda s: _dashed(s["digits"]))
+    return F.filter(candidates, lambda s, i: s["near"] | (i < room))
 
 
-def postal_codes(text: Column) -> Column:
-    """Distinct codes in order of appearance, pattern by pattern."""
+def code_lists(text: Column, cap: int = fv.CODE_CAP) -> Column:
+    """`codes`, distinct and in order of appearance, pattern by pattern, and `dropped`: how many
+    numbers of eight digits the cap left out."""
 
     def of(t: Column) -> Column:
-        return let(explicit_codes(t), lambda found: F.array_distinct(F.concat(found, bare_codes(t, found))))
+        return let(explicit_codes(t), lambda found: let(bare_candidates(t), lambda bare: lists(found, bare)))
+
+    def lists(found: Column, bare: Column) -> Column:
+        def listed(kept: Column) -> Column:
+            codes = F.array_distinct(F.concat(found, F.transform(kept, lambda s: _dashed(s["digits"]))))
+            return F.when(codes.isNotNull(), F.struct(codes.alias("codes"), (F.size(bare) - F.size(kept)).alias("dropped")))
+
+        return let(_within(bare, found, cap), listed)
 
     return let(text, of)
+
+
+def postal_codes(text: Column, cap: int = fv.CODE_CAP) -> Column:
+    """Distinct codes in order of appearance; see `code_lists`."""
+    return code_lists(text, cap)["codes"]

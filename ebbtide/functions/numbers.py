@@ -12,7 +12,8 @@ def to_number(c: Column) -> Column:
     The pattern keeps out forms that only the JVM parser accepts ('12d', 'NaN').
     """
     text = c.cast("string")
-    return F.when(text.rlike(NUMBER), text.try_cast("double"))
+    number = text.try_cast("double")
+    return F.when(text.rlike(NUMBER) & (F.abs(number) < F.lit(float("inf"))), number)
 
 
 def comma_number(c: Column) -> Column:
@@ -41,6 +42,18 @@ def percent_text(pct: Column) -> Column:
     return F.concat(pct.cast("string"), F.lit("%"))
 
 
+# Amounts have six decimals; from this size on, a number is no amount.
+NO_AMOUNT = 1e16
+
+
+def amount(c: Column) -> Column:
+    """A number as an amount: six decimals, NULL where it is too large to be one."""
+    return F.when(F.abs(c) < NO_AMOUNT, F.round(c, 6))
+
+
 def money(c: Column) -> Column:
-    """Exact decimal for sums: the result does not depend on the order of rows."""
-    return c.cast("decimal(28,6)")
+    """Exact decimal for sums: the result does not depend on the order of rows.
+
+    NULL for what `amount` leaves out, so that one odd value does not end a job.
+    """
+    return c.try_cast("decimal(28,6)")

@@ -11,6 +11,7 @@ from ebbtide import fixed_values as fv
 from ebbtide.functions.bands import Bands
 from ebbtide.functions.numbers import percent, percent_text
 from ebbtide.functions.text import bar_width
+from ebbtide.operators.joins import join_by
 
 ALL = "*"
 
@@ -40,16 +41,24 @@ def entry(section: str, label: Column | None = None, **measures: Column) -> Colu
 
 
 def with_empty_bands(counts: DataFrame, by: Sequence[str], sections: Sequence[Section]) -> DataFrame:
-    """Add a zero for every band of every group; the ALL row of a group brings them."""
+    """Add a zero for every band of every group; the ALL row of a group brings them.
+
+    Only sections with bands are added up again.
+    """
     zeros = [
         F.struct(F.lit(s.name).alias("section"), F.lit(label).alias("label"), F.lit(0).cast("bigint").alias("n"))
         for s in sections
         if s.bands
         for label in s.bands.labels
     ]
+    if not zeros:
+        return counts
     own = F.struct("section", "label", "n")
-    rows = F.array(own) if not zeros else F.when(F.col("section") == ALL, F.array(own, *zeros)).otherwise(F.array(own))
-    return counts.select(*by, F.inline(rows)).groupBy(*by, "section", "label").agg(F.sum("n").alias("n"))
+    banded = F.col("section").isin([s.name for s in sections if s.bands])
+    rows = F.when(F.col("section") == ALL, F.array(*zeros)).otherwise(F.array(own))
+    filled = counts.where(banded | (F.col("section") == ALL)).select(*by, F.inline(rows))
+    filled = filled.groupBy(*by, "section", "label").agg(F.sum("n").alias("n"))
+    return counts.where(~banded).unionByName(filled)
 
 
 def shares(counts: DataFrame, by: Sequence[str], sections: Sequence[Section]) -> DataFrame:
@@ -111,7 +120,7 @@ def top_labels(counts: DataFrame, by: Sequence[str], section: str, n: int) -> Da
     top = named.withColumn("ord", F.row_number().over(ordered)).where(F.col("ord") <= n)
     pct = percent(F.col("n"), F.col("whole"))
     return (
-        top.join(wholes, list(by))
+        join_by(top, wholes, by)
         .select(
             *by, F.lit(section).alias("section"), "ord", "label", F.col("n").alias("qty"), pct.alias("pct"),
             F.lit(False).alias("is_total"),

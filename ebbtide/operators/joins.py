@@ -1,5 +1,9 @@
 """Joins that Spark's own choice does not cover."""
 
+from collections.abc import Sequence
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -8,22 +12,21 @@ from ebbtide.functions.dates import Period
 BROADCAST_ROWS = 100_000
 
 
-def small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Marked for broadcast if it has at most `rows` rows, else as it is.
-
-    For results of aggregations, whose size the optimizer cannot estimate. Files are
-    left to its own threshold.
-    """
-    counted = df.select(F.lit(1)).limit(rows + 1).count()
-    return F.broadcast(df) if counted <= rows else df
+def join_by(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
+    """Join on columns of the same name, where NULL is a key like any other."""
+    theirs = right.select(*[F.col(k).alias(f"_r_{k}") if k in keys else F.col(k) for k in right.columns])
+    same = [F.col(k).eqNullSafe(F.col(f"_r_{k}")) for k in keys]
+    return left.join(theirs, reduce(and_, same), how).drop(*[f"_r_{k}" for k in keys])
 
 
-def left_join_sparse(left: DataFrame, right: DataFrame, left_key: str, right_key: str, slots: int = 64) -> DataFrame:
+def left_join_sparse(left: DataFrame, right: DataFrame, left_key: str, right_key: str, slots: int | None = None) -> DataFrame:
     """Left join on a text key that is often NULL on the left.
 
     NULL matches nothing, so those rows may go anywhere: stand-in keys, which no code
-    begins like, spread them over `slots` tasks instead of the one of hash(NULL).
+    begins like, spread them over `slots` tasks instead of the one of hash(NULL); four for each
+    shuffle partition unless given.
     """
+    slots = slots or 4 * int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     mark = "\x00"
     slot = F.pmod(F.xxhash64(*left.columns), F.lit(slots)).cast("string")
     spread = F.coalesce(F.col(left_key), F.concat(F.lit(mark), slot))

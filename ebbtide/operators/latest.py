@@ -6,8 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from ebbtide.operators.joins import small
-from ebbtide.operators.lineage import cut
+from ebbtide.operators.joins import join_by
 
 
 def latest(df: DataFrame, keys: Sequence[str], by: Sequence[str], keep: Sequence[str]) -> DataFrame:
@@ -21,27 +20,35 @@ def latest(df: DataFrame, keys: Sequence[str], by: Sequence[str], keep: Sequence
 
 
 def last_n(df: DataFrame, group: str, seq: str, n: int, cell: int = 65_536) -> DataFrame:
-    """Rows with the `n` highest numbers of each group; numbers are unique in a group.
+    """Rows with the `n` highest numbers of each group, NULL being a group of its own.
 
     No group is sorted as a whole. Counts per cell of numbers lead to the one cell in
-    which the n-th highest number lies; a cell holds at most `cell` numbers, and only
-    that cell is ranked. Numbers of 32 bits, as mail servers give, need at most 65,536
-    cells per group.
+    which the n-th highest number lies, and counts per number in that cell to the
+    number itself. Numbers of 32 bits, as mail servers give, need at most 65,536 cells
+    per group. Rows that share that number beyond n are settled by their hash; rows
+    without a number come last.
     """
-    numbers = df.select(group, seq).withColumn("_cell", F.floor(F.col(seq) / cell))
-    cells = numbers.groupBy(group, "_cell").agg(F.count("*").alias("_n"))
+    lowest = F.lit(-(1 << 63)).cast("bigint")
+    order = F.coalesce(F.col(seq).cast("bigint"), lowest)
+    numbers = df.groupBy(group, order.alias("_seq")).agg(F.count("*").alias("_k"))
+    numbers = numbers.withColumn("_cell", F.floor(F.col("_seq") / cell))
+    cells = numbers.groupBy(group, "_cell").agg(F.sum("_k").alias("_n"))
     higher = W.partitionBy(group).orderBy(F.desc("_cell")).rowsBetween(W.unboundedPreceding, -1)
     edges = (
         cells.withColumn("_above", F.coalesce(F.sum("_n").over(higher), F.lit(0)))
         .where((F.col("_above") < n) & (F.col("_above") + F.col("_n") >= n))
         .select(group, "_cell", "_above")
     )
-    ranked = F.row_number().over(W.partitionBy(group, "_cell").orderBy(F.desc(seq)))
-    lowest = (
-        numbers.join(edges, [group, "_cell"])
-        .withColumn("_rank", ranked + F.col("_above"))
-        .where(F.col("_rank") == n)
-        .select(group, F.col(seq).alias("_lowest"))
+    before = W.partitionBy(group, "_cell").orderBy(F.desc("_seq")).rowsBetween(W.unboundedPreceding, -1)
+    last = (
+        join_by(numbers, edges, [group, "_cell"])
+        .withColumn("_above", F.col("_above") + F.coalesce(F.sum("_k").over(before), F.lit(0)))
+        .where((F.col("_above") < n) & (F.col("_above") + F.col("_k") >= n))
+        .select(group, F.col("_seq").alias("_lowest"), (n - F.col("_above")).alias("_room"))
     )
-    kept = df.join(small(cut(lowest)), group, "left")
-    return kept.where(F.col("_lowest").isNull() | (F.col(seq) >= F.col("_lowest"))).drop("_lowest")
+    kept = join_by(df.withColumn("_seq", order), last, [group], "left")
+    kept = kept.where(F.col("_lowest").isNull() | (F.col("_seq") >= F.col("_lowest")))
+    twins = W.partitionBy(group, "_seq").orderBy(F.xxhash64(*df.columns))
+    kept = kept.withColumn("_rank", F.row_number().over(twins))
+    inside = F.col("_lowest").isNull() | (F.col("_seq") > F.col("_lowest")) | (F.col("_rank") <= F.col("_room"))
+    return kept.where(inside).select(*df.columns)

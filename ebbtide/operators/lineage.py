@@ -1,20 +1,20 @@
 """Where and how often work is cut: lineage and partitions."""
 
-import tempfile
-
 from pyspark.sql import DataFrame, SparkSession
 
+# Name of the setting that `spread` follows.
+SPREAD = "spark.ebbtide.spread"
+
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The folder the cluster names; a temporary one only on a local master."""
+    """The folder that the session names in spark.checkpoint.dir.
+
+    Where none is set it is a folder in the warehouse, which all executors share as well.
+    """
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
         folder = spark.conf.get("spark.checkpoint.dir", None)
-        if folder is None:
-            if not context.master.startswith("local"):
-                raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-            folder = tempfile.mkdtemp(prefix="ebbtide-")
-        context.setCheckpointDir(folder)
+        context.setCheckpointDir(folder or f"{spark.conf.get('spark.sql.warehouse.dir')}/_checkpoints")
     return context.getCheckpointDir()
 
 
@@ -24,15 +24,10 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-# Inputs with more partitions are never moved: this bounds what spread() shuffles to
-# a few splits of spark.sql.files.maxPartitionBytes.
-FEW_PARTITIONS = 16
-
-
 def spread(df: DataFrame) -> DataFrame:
-    """Rows over all cores where the input is a handful of partitions.
+    """Rows over as many partitions as the session's spark.ebbtide.spread says; unset, as they are.
 
-    For costly work per row on small files; other inputs are left as they are.
+    For a caller with costly work per row on a single small file.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < min(cores, FEW_PARTITIONS) else df
+    partitions = df.sparkSession.conf.get(SPREAD, None)
+    return df.repartition(int(partitions)) if partitions else df

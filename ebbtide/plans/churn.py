@@ -24,14 +24,12 @@ def churned(
 ) -> DataFrame:
     """One row per blocked member (and period) whose reason can be reversed."""
     listed = alive(reasons).where(F.col("description").isin(list(reversible)))
-    # Reasons and plans are small next to members: they thin the blocks and members first.
+    # Reasons thin the blocks and blocks the members, before their plans are looked up.
     stopped = blocks.join(prefixed(listed, "reason"), "reason_code")
-    known = dialect.wanted_members(members).join(
-        prefixed(dialect.wanted_plans(plans), "plan"), "plan_code"
-    )
+    blocked = dialect.wanted_members(members).join(stopped, MEMBER_KEY)
     joined = dialect.date(F.col("joined"))
     born = dialect.date(F.col("birth"))
-    return known.join(stopped, MEMBER_KEY).select(
+    return blocked.join(prefixed(dialect.wanted_plans(plans), "plan"), "plan_code").select(
         *[c for c in ("period_ord", "period") if c in blocks.columns],
         months_crossed(joined, strict_date(F.col("event_date"))).alias("months"),
         years_crossed(born, F.lit(as_of)).alias("age"),

@@ -95,7 +95,9 @@ def extract(s: Sources, start: date, end: date, as_of: date, dialect: Dialect) -
         .withColumn("birth_date", dialect.date(F.col("birth")))
     )
     rows = with_price(rows, s.prices, as_of)
-    last = prefixed(last_occurrences(s.receivables, as_of), "last")
+    # Of the receivables, only those of families with a block in the period are aggregated.
+    owing = s.receivables.join(blocks.select(*FAMILY_KEY).distinct(), FAMILY_KEY, "left_semi")
+    last = prefixed(last_occurrences(owing, as_of), "last")
     rows = rows.join(last, equal("last", ("fam_customer_code", "customer"), *[(k, k) for k in FAMILY_KEY]), "left")
 
     joined = dialect.date(F.col("joined"))

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from ebbtide import fixed_values as fv
 from ebbtide.functions import bands, decode, text
 from ebbtide.functions.numbers import comma_number, round_even
+from ebbtide.operators.ranking import hash_place
 
 CATEGORICAL = ["channel_norm", "place_norm", "team_type", "day_part"]
 NUMERIC = [
@@ -56,15 +57,22 @@ def features(leads: DataFrame) -> DataFrame:
     )
 
 
-def bucket(key: Column, buckets: int) -> Column:
-    """Repeatable bucket of a key, from its md5 hash."""
-    head = F.conv(F.substring(F.md5(key.cast("string").cast("binary")), 1, 8), 16, 10).cast("bigint")
-    return (head % buckets).cast("int")
+def outcome() -> Column:
+    """Class of a lead: won, lost, or NULL where it is not decided."""
+    return F.when(F.col("decided"), F.col("target"))
 
 
 def split(rows: DataFrame, test_percent: int = 20) -> DataFrame:
-    """Mark the hold-out rows; both classes keep about their share."""
-    return rows.withColumn("is_test", bucket(F.col("lead_id"), 100) < test_percent)
+    """Mark the hold-out rows: of each class the first ones in the order of md5(lead_id), its exact share."""
+    placed = hash_place(rows, outcome(), F.col("lead_id"))
+    test = F.col("_place") * 100 < F.col("_whole") * test_percent
+    return placed.withColumn("is_test", test).drop("_place", "_whole")
+
+
+def folded(rows: DataFrame, name: str, group: Column, folds: int, salt: str = "") -> DataFrame:
+    """Rows with a fold, dealt in turn within each class in the order of md5(salt and lead_id)."""
+    placed = hash_place(rows, group, F.concat(F.lit(salt), F.col("lead_id").cast("string")))
+    return placed.withColumn(name, (F.col("_place") % folds).cast("int")).drop("_place", "_whole")
 
 
 def class_balance(rows: DataFrame) -> DataFrame:

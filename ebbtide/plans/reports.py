@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ebbtide import fixed_values as fv
 from ebbtide.functions import bands, decode, text
-from ebbtide.functions.numbers import floor_at_zero, money, to_number
+from ebbtide.functions.numbers import amount, floor_at_zero, money, to_number
 from ebbtide.operators.counting import ALL, Section, entry, shares, top_labels, with_empty_bands
 from ebbtide.operators.lineage import cut
 from ebbtide.operators.stats import value_stats
@@ -36,13 +36,16 @@ COLUMNS = [*BY, "section", "ord", "label", "qty", "pct", "pct_text", "bar", "amo
 
 
 def clean(rows: DataFrame) -> DataFrame:
-    """Trimmed names, ages from 0, tenure 0 where unknown, numeric values."""
+    """Trimmed names, ages from 0, tenure 0 where unknown, values that are amounts.
+
+    Values that are none are NULL for every figure alike; `rejected` counts them.
+    """
     return rows.select(
         *BY,
         text.strip(F.col("seller_name")).alias("seller"),
         floor_at_zero(F.col("age")).alias("age"),
-        F.coalesce(to_number(F.col("tenure_months")), F.lit(0.0)).alias("tenure"),
-        to_number(F.col("monthly_value")).alias("value"),
+        F.coalesce(amount(to_number(F.col("tenure_months"))), F.lit(0.0)).alias("tenure"),
+        amount(to_number(F.col("monthly_value"))).alias("value"),
         "reason",
         "plan",
         "plan_class",
@@ -50,6 +53,12 @@ def clean(rows: DataFrame) -> DataFrame:
     )
 
 
+def rejected(rows: DataFrame) -> DataFrame:
+    """Values that are filled but no amount, by branch and kind."""
+    given, kept = F.trim("monthly_value") != "", amount(to_number(F.col("monthly_value")))
+    return rows.groupBy(*BY).agg(F.count_if(F.coalesce(given, F.lit(False)) & kept.isNull()).alias("rejected"))
+
+
 def _counts(rows: DataFrame, names: Collection[str]) -> DataFrame:
     """Counts per branch, kind, section and label, with all rows under ALL."""
     entries = F.array(entry(ALL), *[entry(n, SECTIONS[n].label()) for n in names])
@@ -111,7 +120,7 @@ def _stat_rows(stats: DataFrame) -> DataFrame:
 def stats(rows: DataFrame) -> DataFrame:
     """Value statistics over the positive values."""
     values = clean(rows).where(F.col("value") > 0).groupBy(*BY, "value").agg(F.count("*").alias("n"))
-    return _stat_rows(value_stats(cut(values), BY, "value", "n"))
+    return _stat_rows(value_stats(values, BY, "value", "n"))
 
 
 def report(rows: DataFrame, without: Sequence[tuple[str, str]] = ()) -> DataFrame:
@@ -151,7 +160,7 @@ def report(rows: DataFrame, without: Sequence[tuple[str, str]] = ()) -> DataFram
     counts = with_empty_bands(counts, BY, [s for s in SECTIONS.values() if s.bands])
     listed = shares(counts, BY, [s for n, s in SECTIONS.items() if n != "sellers"])
     for branch, name in without:
-        listed = listed.where(~((F.col("branch") == branch) & (F.col("section") == name)))
+        listed = listed.where(~(F.col("branch").eqNullSafe(branch) & (F.col("section") == name)))
     top = top_labels(counts, BY, "sellers", TOP_SELLERS)
 
     numbers = whole.groupBy(*BY).agg(

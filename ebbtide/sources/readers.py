@@ -5,7 +5,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ebbtide import schemas
-from ebbtide.functions.numbers import comma_number
 
 DAY_FIRST = r"^\s*(\d{1,2}/\d{1,2}/\d{4})(?:\s+([01]?\d|2[0-3]):([0-5]\d)(?::([0-5]\d))?)?\s*$"
 
@@ -43,10 +42,15 @@ def lead_csv(spark: SparkSession, path: str, names: dict[str, str] | None = None
     """Leads from a ';' separated Latin-1 file with decimal commas and day-first dates.
 
     Every column is read as text and parsed here. `names` maps the file's column
-    names to those of the lead schema.
+    names to those of the lead schema. Lead ids are whole numbers of up to 64 bits and
+    are read exactly; any other ends the job.
     """
     raw = spark.read.csv(path, header=True, sep=";", encoding="ISO-8859-1")
     for theirs, ours in (names or {}).items():
         raw = raw.withColumnRenamed(theirs, ours)
+    # An id that is no whole number would put a lead into neither part of the split.
+    digits = F.regexp_extract(F.col("lead_id"), r"^\s*([+-]?\d+)(?:[.,]0*)?\s*$", 1)
+    number = digits.try_cast("bigint")
+    bad = F.raise_error(F.concat(F.lit("no lead id: "), F.coalesce("lead_id", F.lit("(empty)")))).cast("bigint")
     dated = {f.name: day_first(F.col(f.name)) for f in schemas.LEAD if isinstance(f.dataType, T.TimestampNTZType)}
-    return schemas.conform(raw.withColumns({**dated, "lead_id": comma_number(F.col("lead_id"))}), schemas.LEAD)
+    return schemas.conform(raw.withColumns({**dated, "lead_id": F.coalesce(number, bad)}), schemas.LEAD)

@@ -1,6 +1,6 @@
 """Results to files."""
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -10,13 +10,29 @@ def write_parts(df: DataFrame, path: str, by: str) -> None:
     df.write.mode("overwrite").partitionBy(by).parquet(path)
 
 
+def plain_number(c: Column) -> Column:
+    """The shortest decimal text of a double, without an exponent up to 38 digits before the point.
+
+    Of numbers closer to 0 than 1e-20, digits behind the 37th are left out.
+    """
+    text = c.cast("string")
+    size = F.abs(c)
+    wide = F.when(size >= 1e19, text.try_cast("decimal(38,0)").cast("string"))
+    wide = wide.when(size >= 1e-3, text.try_cast("decimal(38,18)").cast("string"))
+    wide = wide.otherwise(text.try_cast("decimal(38,37)").cast("string"))
+    # Zeros at the end go, but for one behind the point.
+    short = F.regexp_replace(F.regexp_replace(wide, r"^(-?\d+)$", "$1.0"), r"(\.\d+?)0+$", "$1")
+    return F.when(text.contains("E"), F.coalesce(short, text)).otherwise(text)
+
+
 def write_csv(df: DataFrame, path: str, sep: str = ";", decimal_comma: bool = True) -> None:
-    """CSV with a header; fractions with a decimal comma if wanted."""
+    """CSV with a header; fractions in plain notation, with a decimal comma if wanted."""
 
     def shown(field: T.StructField):
         c = F.col(field.name)
-        if decimal_comma and isinstance(field.dataType, T.FractionalType):
-            c = F.translate(c.cast("string"), ".", ",")
+        if isinstance(field.dataType, T.FractionalType):
+            c = plain_number(c) if isinstance(field.dataType, (T.DoubleType, T.FloatType)) else c.cast("string")
+            c = F.translate(c, ".", ",") if decimal_comma else c
         return c.alias(field.name)
 
     df.select(*[shown(f) for f in df.schema]).write.mode("overwrite").csv(path, header=True, sep=sep)

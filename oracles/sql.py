@@ -57,7 +57,7 @@ def _banded(name: str, column: str, bands: list[tuple], where: str) -> str:
     counted = f"""SELECT g.branch, g.kind, b.ord, b.label, count(c.branch) AS qty
     FROM (SELECT DISTINCT branch, kind FROM clean WHERE {where}) g
     CROSS JOIN {_values(bands)} b(ord, label, lo, hi)
-    LEFT JOIN clean c ON c.branch = g.branch AND c.kind = g.kind AND c.{column} >= b.lo AND c.{column} < b.hi
+    LEFT JOIN clean c ON c.branch IS NOT DISTINCT FROM g.branch AND c.kind = g.kind AND c.{column} >= b.lo AND c.{column} < b.hi
     GROUP BY ALL"""
     return _with_total(name, counted, len(bands))
 
@@ -151,7 +151,7 @@ def _report() -> str:
         f"SELECT {columns} FROM ({_section(n, w)})"
         for n, w in (("age", both), ("tenure", both), ("sellers", both), ("plan", both), ("payment", both), ("reason", mine))
     ]
-    parts.append(f"SELECT {columns} FROM ({_section('class', mine)}) WHERE branch <> 'AFRICA'")
+    parts.append(f"SELECT {columns} FROM ({_section('class', mine)}) WHERE branch IS DISTINCT FROM 'AFRICA'")
     empty = "NULL::BIGINT AS qty, NULL::DOUBLE AS pct, NULL AS pct_text, NULL::DOUBLE AS bar"
     parts.append(f"SELECT branch, kind, 'value' AS section, ord, label, {empty}, amount, amount_text, FALSE FROM ({STATS})")
     parts.append(
@@ -175,7 +175,7 @@ def report_queries() -> dict[str, str]:
         "cancel_by_reason": of("reason"),
         "cancel_by_plan": of("plan"),
         "cancel_by_payment": of("payment"),
-        "top_sellers": of("sellers"),
+        "top_sellers": f"WITH {ROWS} {_section('sellers', 'TRUE')}",
         "band_totals": f"WITH {ROWS} SELECT branch, kind, section, ord, label, qty, is_total FROM ({_section('tenure', 'TRUE')})",
         "value_stats": f"WITH {ROWS} {STATS}",
         "report_kpis": f"WITH {ROWS} {KPIS}",
@@ -497,19 +497,22 @@ bare AS (
 candidates AS (
   SELECT *, listed + row_number() OVER (PARTITION BY uid ORDER BY pos) - 1 AS before
   FROM bare WHERE near OR digits[1:2] NOT IN ('00', '19', '20', '21')),
+over AS (
+  SELECT uid, count(*) AS dropped FROM candidates WHERE NOT near AND before >= 20 GROUP BY uid),
 accepted AS (
   SELECT uid, list(digits ORDER BY pos) AS more FROM candidates WHERE near OR before < 20 GROUP BY uid),
 coded AS (
-  SELECT e.*, CASE WHEN gate THEN list_concat(hits, coalesce(more, [])) ELSE [] END AS every
-  FROM explicit e LEFT JOIN accepted USING (uid))"""
+  SELECT e.*, CASE WHEN gate THEN list_concat(hits, coalesce(more, [])) ELSE [] END AS every, coalesce(dropped, 0) AS dropped
+  FROM explicit e LEFT JOIN accepted USING (uid) LEFT JOIN over USING (uid))"""
 
 
-def _codes(source: str, codes: str) -> str:
+def _codes(source: str, codes: str, dropped: str = "0") -> str:
     # The first place of each code keeps the order of appearance.
     unique = f"list_filter({codes}, lambda x, i: list_position({codes}, x) = i)"
     dashed = f"list_transform({unique}, lambda x: x[1:5] || '-' || x[6:8])"
     return f"""SELECT folder, uid, strftime(sent, '%Y-%m-%d %H:%M:%S') AS sent, sender, substr(subject, 1, 100) AS subject,
-    body, array_to_string({dashed}, ', ') AS codes, len({unique})::INTEGER AS quantity
+    body, array_to_string({dashed}, ', ') AS codes, len({unique})::INTEGER AS quantity,
+    {dropped}::INTEGER AS dropped
   FROM {source} WHERE gate AND len({codes}) > 0"""
 
 
@@ -527,10 +530,10 @@ def mail_queries() -> dict[str, str]:
   FROM mail WHERE sent >= TIMESTAMP '1996-01-01'
   QUALIFY row_number() OVER (PARTITION BY folder ORDER BY uid DESC) <= 500""",
         "mail_codes_explicit": f"WITH {MAIL}, {FOUND} " + _codes("explicit", "hits"),
-        "mail_codes_full": f"WITH {MAIL}, {FOUND}, {BARE} " + _codes("coded", "every"),
+        "mail_codes_full": f"WITH {MAIL}, {FOUND}, {BARE} " + _codes("coded", "every", "dropped"),
         "mail_totals": f"""WITH {MAIL}, {FOUND}, {BARE}
   SELECT folder, count(*) FILTER (len(every) > 0) AS with_codes, count(*) FILTER (len(every) = 0) AS without_codes,
-    sum(len(list_distinct(every)))::BIGINT AS codes FROM coded GROUP BY folder""",
+    sum(len(list_distinct(every)))::BIGINT AS codes, sum(dropped)::BIGINT AS dropped FROM coded GROUP BY folder""",
         "html_text": rf"SELECT page_id, trim(regexp_replace({text}, '\s+', ' ', 'g')) AS text FROM pages",
     }
 
@@ -545,7 +548,7 @@ LEADS = """leads AS (
       ELSE (['Prospecção', 'Contato Pré Vendas', 'Negociação', 'Em Aprovação', 'Sem contato', 'Outro'])[o_orderkey % 6 + 1]
       END AS stage,
     (['Tráfego Pago', 'Orgânico', 'nenhum', 'Offline', 'Evento', NULL])[o_orderkey % 6 + 1] AS channel,
-    CASE WHEN o_custkey % 13 <> 0 THEN ' Place ' || (o_custkey % 25) END AS place,
+    CASE WHEN o_custkey % 13 <> 0 THEN ' Place ' || (o_custkey % 25) END AS pos,
     (['Pré-Vendas 1', 'Suporte', 'Televendas', 'Vendas Diretas Sul', 'Parceiros', NULL])[o_custkey % 6 + 1] AS sales_team,
     CASE WHEN o_orderkey % 9 = 4 THEN 'price' WHEN o_orderkey % 9 = 5 THEN '' END AS loss_reason,
     CASE WHEN o_orderkey % 8 = 0 THEN NULL WHEN o_orderkey % 8 = 1 THEN '1.234,56'
@@ -608,8 +611,9 @@ def lead_queries() -> dict[str, str]:
     (count(*) FILTER (decided AND target = 0))::DOUBLE / count(*) FILTER (decided AND target = 1) AS weight
   FROM features""",
         "lead_split": f"""WITH {FEATURES}, hashed AS (
-    SELECT *, ('0x' || substr(md5(lead_id::VARCHAR), 1, 8))::BIGINT AS h FROM features WHERE decided)
-  SELECT lead_id, target, h % 100 < 20 AS is_test, (h % 5)::INTEGER AS fold FROM hashed""",
+    SELECT *, row_number() OVER (PARTITION BY target ORDER BY md5(lead_id::VARCHAR)) - 1 AS pos,
+      count(*) OVER (PARTITION BY target) AS n FROM features WHERE decided)
+  SELECT lead_id, target, pos < n * 0.2 AS is_test, (pos % 5)::INTEGER AS fold FROM hashed""",
         "auc_rank_sum": f"""WITH {SCORED}, ranked AS (
     SELECT target, rank() OVER (ORDER BY p) + (count(*) OVER (PARTITION BY p) - 1) / 2.0 AS r FROM scored WHERE decided)
   SELECT count(*) FILTER (target = 1) AS positives, count(*) FILTER (target = 0) AS negatives,

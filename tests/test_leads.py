@@ -1,5 +1,6 @@
 """Lead features and scoring."""
 
+import hashlib
 from datetime import datetime
 
 import pytest
@@ -61,12 +62,20 @@ def test_one_class_only_warns(spark):
         assert scoring.check_classes(leads.features(make(spark, dict(stage="Ganho")))) == 1.0
 
 
-def test_split_is_repeatable(spark):
-    rows = spark.range(5000).withColumnRenamed("id", "lead_id")
-    share = leads.split(rows).where("is_test").count() / 5000
-    assert 0.17 < share < 0.23
-    first = {r[0] for r in leads.split(rows.repartition(7)).where("is_test").collect()}
-    assert first == {r[0] for r in leads.split(rows).where("is_test").collect()}
+def test_split_is_exact_in_each_class_and_repeatable(spark):
+    won = F.col("lead_id") % 31 == 0
+    rows = spark.range(5000).select(F.col("id").alias("lead_id"), (F.col("id") % 7 != 0).alias("decided"), won.cast("int").alias("target"))
+    first = {r["lead_id"]: r for r in leads.folded(leads.split(rows), "fold", leads.outcome(), 5).collect()}
+    again = {r["lead_id"]: r for r in leads.folded(leads.split(rows.repartition(7)), "fold", leads.outcome(), 5).collect()}
+    assert first == again and len(first) == 5000
+    for group in ((True, 1), (True, 0), (False, None)):
+        own = [r for r in first.values() if r["decided"] == group[0] and group[1] in (None, r["target"])]
+        assert sum(r["is_test"] for r in own) == -(-len(own) * 20 // 100)
+        sizes = [sum(r["fold"] == f for r in own) for f in range(5)]
+        assert max(sizes) - min(sizes) <= 1
+    by_hash = sorted((hashlib.md5(str(i).encode()).hexdigest(), i) for i, r in first.items() if r["decided"] and r["target"])
+    test = {i for _, i in by_hash[: sum(first[i]["is_test"] for _, i in by_hash)]}
+    assert test == {i for _, i in by_hash if first[i]["is_test"]}
 
 
 def test_score_lookup(spark):

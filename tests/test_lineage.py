@@ -2,8 +2,6 @@
 
 from types import SimpleNamespace
 
-import pytest
-
 from ebbtide.operators import lineage
 
 
@@ -33,16 +31,20 @@ def test_folder_set_before_is_kept():
     assert lineage.checkpoint_dir(s) == "hdfs:///first"
 
 
-def test_no_folder_on_a_cluster_is_an_error():
-    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
-        lineage.checkpoint_dir(session("spark://host:7077"))
+def test_a_session_without_a_folder_uses_the_shared_warehouse():
+    s = session("spark://host:7077", **{"spark.sql.warehouse.dir": "hdfs:///warehouse"})
+    assert lineage.checkpoint_dir(s) == "hdfs:///warehouse/_checkpoints"
 
 
 def test_cut_keeps_the_rows(spark):
     assert sorted(r[0] for r in lineage.cut(spark.range(5)).collect()) == [0, 1, 2, 3, 4]
 
 
-def test_spread_leaves_many_partitions_alone(spark):
-    many = spark.range(0, 100, 1, 16)
-    assert lineage.spread(many) is many
-    assert lineage.spread(many.coalesce(1)).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
+def test_rows_are_spread_only_where_the_session_says_so(spark):
+    one = spark.range(100).coalesce(1)
+    assert lineage.spread(one) is one
+    spark.conf.set(lineage.SPREAD, "3")
+    try:
+        assert lineage.spread(one).rdd.getNumPartitions() == 3
+    finally:
+        spark.conf.unset(lineage.SPREAD)

@@ -44,7 +44,9 @@ def test_hot_plan_is_split(spark, no_broadcast):
     hot = F.when(key % 3 == 0, F.lit(0)).otherwise(key % 1000)
     ids = dict(org=F.lit("0001"), company=F.lit("0001"), family=text(key, 6), member_type=F.lit("00"))
     members = filled(
-        spark, schemas.MEMBER, ROWS, **ids, plan_code=text(hot, 4), class_code=F.lit("1"), birth=F.lit("19800101"),
+        spark, schemas.MEMBER, ROWS, **ids, plan_code=text(hot, 4), class_code=F.lit("1"),
+        # What is left of the rows behind the first join has to fill the partitions.
+        birth=F.date_format(F.date_add(F.lit("1950-01-01"), (F.pmod(F.xxhash64(key), F.lit(20000))).cast("int")), "yyyyMMdd"),
         joined=F.concat(F.lit("2000"), text(key % 12 + 1, 2), F.lit("01")), name=F.sha2(key.cast("string"), 256),
     )
     events = filled(
