@@ -144,7 +144,7 @@ def matches(docs: DataFrame, items: DataFrame, size: int) -> DataFrame:
     known = written(benchmark_windows(items, size))
     # Items of one template are one class, named by the smallest id, so that a benchmark of one
     # template with many values does not multiply the pairs.
-    classes = known.groupBy("w0", "w1", "length").agg(F.min("item_id").alias("class"))
+    classes = written(known.groupBy("w0", "w1", "length").agg(F.min("item_id").alias("class")))
     own = known.join(classes, ["w0", "w1", "length"]).where("item_id = class")
     own = written(own.select("item_id", "length", "a", "b", F.col("start").alias("item_start"), "size", "literal", F.col("slots").alias("item_slots")))
     sizes = sorted(r["size"] for r in own.select("size").distinct().collect())

@@ -137,7 +137,8 @@ def secrets(
     seen = scanned.where(F.size("found") > 0).select("row", "owner", "repository", F.explode("found").alias("c"))
     seen = seen.select("row", "owner", "repository", "c.*")
     by_owner = seen.select("hash", "owner", "repository").distinct().groupBy("hash", "owner").agg(F.count("*").alias("n"))
-    spread = by_owner.groupBy("hash").agg(F.count("*").alias("owners"), F.sum("n").alias("repositories"))
+    # Written, so that the join deals both sides anew and Spark can split a hot value.
+    spread = written(by_owner.groupBy("hash").agg(F.count("*").alias("owners"), F.sum("n").alias("repositories")))
     judged = seen.join(spread, "hash").withColumn("copied", F.col("owners") >= copied_owners)
     stays = (F.col("kind") < 3) | ~F.col("copied")
     kinds = F.array(*[F.lit(k) for k in KINDS])
