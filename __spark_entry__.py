@@ -42,8 +42,6 @@ CYCLES = monthly_cycles(date(1995, 1, 1), 80)
 REVERSIBLE = [f"NATION_{n}" for n in (1, 3, 4, 7, 9, 12, 18, 22)]
 GOAL_FILTERS = {"status": "O", "product": "1-URGENT"}
 MAIL_SINCE, MAIL_LAST = date(1996, 1, 1), 500
-# A short run; the library's default is the full number of rounds.
-QUICK = scoring.Settings(rounds=5, folds=3)
 
 
 def plain(df: DataFrame) -> DataFrame:
@@ -302,21 +300,33 @@ def lead_score_lookup(spark: SparkSession, folder: str) -> DataFrame:
     return leads.with_scores(rows.select("lead_id"), scored)
 
 
+_TRAINED: dict[tuple[str, str], scoring.Trained] = {}
+
+
+def _trained(spark: SparkSession, folder: str) -> scoring.Trained:
+    """The model of a folder's leads, at the library's settings; trained once in an application."""
+    key = (spark.sparkContext.applicationId, folder)
+    if key not in _TRAINED:
+        _TRAINED.clear()
+        _TRAINED[key] = scoring.train(_features(spark, folder))
+    return _TRAINED[key]
+
+
 def lead_scores(spark: SparkSession, folder: str) -> DataFrame:
-    return plain(scoring.scores(_features(spark, folder), QUICK))
+    return plain(scoring.scores(_features(spark, folder), trained=_trained(spark, folder)))
 
 
 def lead_importance(spark: SparkSession, folder: str) -> DataFrame:
-    return scoring.importance(_features(spark, folder), QUICK)
+    return scoring.importance(_features(spark, folder), trained=_trained(spark, folder))
 
 
 def lead_hold_out(spark: SparkSession, folder: str) -> DataFrame:
-    auc, by_class = scoring.hold_out(_features(spark, folder), QUICK)
+    auc, by_class = scoring.hold_out(_features(spark, folder), trained=_trained(spark, folder))
     return by_class.unionByName(auc, allowMissingColumns=True)
 
 
 def lead_cross_validation(spark: SparkSession, folder: str) -> DataFrame:
-    return scoring.cross_validate(_features(spark, folder), QUICK)
+    return scoring.cross_validate(_features(spark, folder))
 
 
 # --- contract ------------------------------------------------------------------------
