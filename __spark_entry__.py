@@ -21,6 +21,7 @@ sys.path.insert(0, str(Path(__file__).resolve().parent))
 from ebbtide.functions import dates
 from ebbtide.functions.dates import monthly_cycles, semesters
 from ebbtide.functions.html import html_text
+from ebbtide.functions.numbers import round_even
 from ebbtide.operators import stats
 from ebbtide.operators.lineage import spread
 from ebbtide.plans import blocks, churn, contracts, detail, goals, leads, mail, reports, scoring
@@ -208,6 +209,13 @@ def goals_by_team_filtered(spark: SparkSession, folder: str) -> DataFrame:
     return _goals_by_team(Tables(spark, folder), **GOAL_FILTERS)
 
 
+def goals_idle_teams(spark: SparkSession, folder: str) -> DataFrame:
+    """Attainment of one product, with the teams that sold none of it."""
+    t = Tables(spark, folder)
+    lives = goals.lives_by_team(standin.proposals(t), standin.seller_teams(t), AS_OF, product="1-URGENT", null_safe=True)
+    return goals.attainment(lives, goals.latest_goals(standin.goals(t)), keep_idle_teams=True)
+
+
 def goal_message(spark: SparkSession, folder: str) -> DataFrame:
     return goals.message(_goals_by_team(Tables(spark, folder)))
 
@@ -325,6 +333,25 @@ def lead_hold_out(spark: SparkSession, folder: str) -> DataFrame:
     return by_class.unionByName(auc, allowMissingColumns=True)
 
 
+def lead_model_checks(spark: SparkSession, folder: str) -> DataFrame:
+    return scoring.checks(_trained(spark, folder))
+
+
+def _six(df: DataFrame, *columns: str) -> DataFrame:
+    return df.withColumns({c: round_even(F.col(c), 6) for c in columns})
+
+
+def lead_fold_auc(spark: SparkSession, folder: str) -> DataFrame:
+    rows = _rule_score(_features(spark, folder).where("decided"))
+    return _six(scoring.fold_auc(rows, "p", "target"), "auc_mean", "auc_sd")
+
+
+def lead_calibration(spark: SparkSession, folder: str) -> DataFrame:
+    """The isotonic map of the fixed rule, on a grid coarse enough for its minimum-maximum form."""
+    rows = _rule_score(_features(spark, folder).where("decided"))
+    return _six(scoring.calibration(rows, "p", "target", 40), "raw", "calibrated")
+
+
 def lead_cross_validation(spark: SparkSession, folder: str) -> DataFrame:
     return scoring.cross_validate(_features(spark, folder))
 
@@ -371,6 +398,7 @@ def queries() -> dict[str, Query]:
         "lives_by_team": lives_by_team,
         "goals_by_team": goals_by_team,
         "goals_by_team_filtered": goals_by_team_filtered,
+        "goals_idle_teams": goals_idle_teams,
         "goal_message": goal_message,
         "seller_diagnosis": seller_diagnosis,
         "mail_last_n": mail_last_n,
@@ -388,9 +416,12 @@ def queries() -> dict[str, Query]:
         "score_bands": score_bands,
         "score_band_counts": score_band_counts,
         "lead_score_lookup": lead_score_lookup,
+        "lead_fold_auc": lead_fold_auc,
+        "lead_calibration": lead_calibration,
         "lead_scores": lead_scores,
         "lead_importance": lead_importance,
         "lead_hold_out": lead_hold_out,
+        "lead_model_checks": lead_model_checks,
         "lead_cross_validation": lead_cross_validation,
     }
 

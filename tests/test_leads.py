@@ -95,6 +95,16 @@ def rows(spark, folder):
 QUICK = scoring.Settings(rounds=4, folds=3)
 
 
+def test_what_holds_for_any_model(rows):
+    trained = scoring.train(rows, QUICK)
+    found = scoring.checks(trained, QUICK).collect()
+    assert len(found) == 9 and all(r["ok"] for r in found), found
+    exact = scoring.Settings(rounds=2, folds=2, grid=None)
+    assert all(r["ok"] for r in scoring.checks(scoring.train(rows, exact), exact).collect())
+    shared = scoring.scores(rows, QUICK, trained).select("lead_id", "probability")
+    assert sorted(shared.collect()) == sorted(scoring.scores(rows, QUICK).select("lead_id", "probability").collect())
+
+
 def test_scores_cover_the_open_leads(rows):
     got = scoring.scores(rows, QUICK)
     assert got.count() == rows.where("open").count()

@@ -11,6 +11,8 @@ EXTRA = {*entry.llm.queries(), "pipeline"} if entry.llm else set()
 QUERIES = {n: q for n, q in entry.queries().items() if n not in EXTRA}
 ORACLE = {n: q for n, q in entry.oracle_sql().items() if n not in EXTRA}
 TRAINED = {"lead_scores", "lead_importance", "lead_hold_out", "lead_cross_validation"}
+# Has SQL, but trains at full length; test_leads.py holds it for a short run.
+LONG = {"lead_model_checks"}
 
 
 @pytest.fixture(scope="module")
@@ -25,14 +27,14 @@ def test_every_query_has_sql_but_the_trained_ones():
     assert set(QUERIES) - set(ORACLE) == TRAINED
 
 
-@pytest.mark.parametrize("name", sorted(ORACLE))
+@pytest.mark.parametrize("name", sorted(set(ORACLE) - LONG))
 def test_same_as_sql(spark, folder, con, name):
     df = QUERIES[name](spark, folder)
     cur = con.execute(ORACLE[name])
     assert compare(df.columns, [tuple(r) for r in df.collect()], [d[0] for d in cur.description], cur.fetchall()) == ""
 
 
-@pytest.mark.parametrize("name", sorted(set(QUERIES) - TRAINED))
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - TRAINED - LONG))
 def test_plan_stays_in_the_jvm_without_cross_joins(spark, folder, name):
     plan = QUERIES[name](spark, folder)._jdf.queryExecution().executedPlan().toString()
     for node in ("Python", "CartesianProduct", "BroadcastNestedLoopJoin"):
