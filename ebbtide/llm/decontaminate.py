@@ -185,9 +185,7 @@ def contaminated(
 
 
 def report(docs: DataFrame, items: DataFrame, size: int = 12, least_cover: float = 0.25) -> DataFrame:
-    """Per row: `doc_id`, `contaminated`, `item_ids`, `cover`; see `contaminated`."""
-    rows = contaminated(docs.select("doc_id", "text"), items, size, least_cover)
-    return rows.select(
-        F.col("doc_id").cast("long").alias("doc_id"), (F.size("_item_ids") > 0).alias("contaminated"),
-        F.col("_item_ids").alias("item_ids"), F.col("_cover").alias("cover"),
-    )
+    """One row per contaminated row: `doc_id`, `items` (ids, comma-joined), `cover`; see `contaminated`."""
+    rows = contaminated(docs.select("doc_id", "text"), items, size, least_cover).where(F.size("_item_ids") > 0)
+    named = F.array_join(F.col("_item_ids").cast("array<string>"), ",").alias("items")
+    return rows.select(F.col("doc_id").cast("long").alias("doc_id"), named, F.col("_cover").alias("cover"))

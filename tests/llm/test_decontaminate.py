@@ -21,8 +21,11 @@ PLAIN = "nothing here has to do with any of the questions that were asked in the
 
 def leaks(spark, texts, items=((1, QUESTION), (2, SHORT), (3, None), (4, "")), **options):
     rows = [(i, t, "en", "s") for i, t in enumerate(texts)]
-    found = decontaminate.report(table(spark, rows), table(spark, list(items), "item_id long, text string"), **options)
-    return {r["doc_id"]: r["item_ids"] for r in found.collect()}
+    docs, asked = table(spark, rows), table(spark, list(items), "item_id long, text string")
+    found = {r["doc_id"]: r["_item_ids"] for r in decontaminate.contaminated(docs, asked, **options).collect()}
+    listed = {r["doc_id"]: r["items"] for r in decontaminate.report(docs, asked, **options).collect()}
+    assert listed == {i: ",".join(map(str, ids)) for i, ids in found.items() if ids}
+    return found
 
 
 def test_whole_partial_and_asked_again(spark):
@@ -43,7 +46,7 @@ def test_against_windows_by_hand(spark, folder):
     assert any(true.values())
     texts = table(spark, [(i, t, "en", "s") for i, t in docs])
     found = decontaminate.report(texts, table(spark, items, "item_id long, text string")).collect()
-    assert {r["doc_id"]: r["item_ids"] for r in found} == true
+    assert {r["doc_id"]: r["items"] for r in found} == {i: ",".join(map(str, v)) for i, v in true.items() if v}
 
 
 def test_items_of_one_template_are_one_class(spark):

@@ -21,7 +21,7 @@ OPERATORS = {
     "secrets": lambda s, d: secret_scan.secrets(d),
     "html": lambda s, d: main_text.extracted(d, "doc_id", "source", "text").withColumnRenamed("page_id", "doc_id"),
     "quality": lambda s, d: quality.judged(d),
-    "decontaminate": lambda s, d: decontaminate.report(d, items(s)),
+    "decontaminate": lambda s, d: decontaminate.contaminated(d, items(s)),
     "mixing": lambda s, d: mixing.mixed(d),
     "substrings": lambda s, d: substring_dedup.without_repeats(d),
     "languages": lambda s, d: language_id.languages(d),
