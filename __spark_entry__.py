@@ -30,7 +30,8 @@ from ebbtide.sources.standin import AS_OF, Tables
 from oracles import sql
 
 # The training-data operators are a part of their own; the rest works without it.
-if find_spec("ebbtide.llm") and find_spec("corpus_pipeline"):
+found = find_spec("ebbtide.llm")
+if found and found.origin and find_spec("corpus_pipeline"):
     import corpus_pipeline
     from ebbtide.llm import queries as llm
 else:
