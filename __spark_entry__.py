@@ -7,6 +7,7 @@ Each query reads the tables of a folder, projects the domain tables from them
 from __future__ import annotations
 
 import sys
+import uuid
 from collections.abc import Callable
 from datetime import date
 from importlib.util import find_spec
@@ -21,11 +22,11 @@ sys.path.insert(0, str(Path(__file__).resolve().parent))
 from ebbtide.functions import dates
 from ebbtide.functions.dates import monthly_cycles, semesters
 from ebbtide.functions.html import html_text
-from ebbtide.functions.numbers import round_even
+from ebbtide.functions.numbers import comma_number, round_even
 from ebbtide.operators import stats
-from ebbtide.operators.lineage import spread
+from ebbtide.operators.lineage import checkpoint_dir, spread
 from ebbtide.plans import blocks, churn, contracts, detail, goals, leads, mail, reports, scoring
-from ebbtide.sources import standin
+from ebbtide.sources import readers, standin, writers
 from ebbtide.sources.standin import AS_OF, Tables
 from oracles import sql
 
@@ -39,7 +40,7 @@ else:
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-FIRST_DAY, LAST_DAY = date(1995, 1, 1), date(2001, 8, 1)
+FIRST_DAY, LAST_DAY = dates.parse_bound("19950101"), dates.parse_bound("01/08/2001")
 CYCLES = monthly_cycles(date(1995, 1, 1), 80)
 REVERSIBLE = [f"NATION_{n}" for n in (1, 3, 4, 7, 9, 12, 18, 22)]
 GOAL_FILTERS = {"status": "O", "product": "1-URGENT"}
@@ -207,7 +208,7 @@ def goals_by_team(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def goals_by_team_filtered(spark: SparkSession, folder: str) -> DataFrame:
-    return _goals_by_team(Tables(spark, folder), **GOAL_FILTERS)
+    return _goals_by_team(Tables(spark, folder), status=GOAL_FILTERS["status"])
 
 
 def goals_idle_teams(spark: SparkSession, folder: str) -> DataFrame:
@@ -357,6 +358,47 @@ def lead_cross_validation(spark: SparkSession, folder: str) -> DataFrame:
     return scoring.cross_validate(_features(spark, folder))
 
 
+# --- files ---------------------------------------------------------------------------
+
+
+def _scratch(spark: SparkSession, name: str) -> str:
+    return f"{checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def score_export(spark: SparkSession, folder: str) -> DataFrame:
+    """Scores written as CSV with decimal commas, and read again."""
+    path = _scratch(spark, "scores")
+    scored = leads.score_table(_rule_score(_features(spark, folder)).where("open"), "p")
+    writers.write_csv(writers.ranked(scored.select("lead_id", "score", "probability")), path)
+    sheet = readers.dimension_csv(spark, path, sep=";")
+    return sheet.select(F.col("lead_id").cast("bigint").alias("lead_id"), *[comma_number(F.col(c)).alias(c) for c in ("score", "probability")])
+
+
+def lead_csv_features(spark: SparkSession, folder: str) -> DataFrame:
+    """Features of leads that came from a Latin-1 file with day-first dates."""
+    path = _scratch(spark, "leads")
+    rows = standin.leads(Tables(spark, folder))
+    shown = {f.name: F.date_format(f.name, "dd/MM/yyyy HH:mm:ss") for f in rows.schema if isinstance(f.dataType, T.TimestampNTZType)}
+    spaces = {"ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+    rows.withColumns(shown).write.csv(path, header=True, sep=";", encoding="ISO-8859-1", **spaces)
+    flags = ["decided", "target", "open"]
+    return leads.features(readers.lead_csv(spark, path)).select("lead_id", *flags, *leads.CATEGORICAL, *leads.NUMERIC)
+
+
+def report_parts(spark: SparkSession, folder: str) -> DataFrame:
+    """One part of a report that was written with a folder for each section."""
+    path = _scratch(spark, "report")
+    writers.write_parts(_report("cancelled", "reactivated")(spark, folder), path, "section")
+    return spark.read.parquet(path).where("section = 'kpi'")
+
+
+def sheet_columns(spark: SparkSession, folder: str) -> DataFrame:
+    """The first columns of a dimension that came as CSV."""
+    path = _scratch(spark, "sheet")
+    Tables(spark, folder).supplier.select("s_suppkey", "s_name", "s_nationkey").write.csv(path, header=True)
+    return readers.dimension_csv(spark, path, columns=2)
+
+
 # --- contract ------------------------------------------------------------------------
 
 
@@ -417,6 +459,10 @@ def queries() -> dict[str, Query]:
         "score_bands": score_bands,
         "score_band_counts": score_band_counts,
         "lead_score_lookup": lead_score_lookup,
+        "score_export": score_export,
+        "lead_csv_features": lead_csv_features,
+        "report_parts": report_parts,
+        "sheet_columns": sheet_columns,
         "lead_fold_auc": lead_fold_auc,
         "lead_calibration": lead_calibration,
         "lead_scores": lead_scores,

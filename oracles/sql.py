@@ -182,6 +182,8 @@ def report_queries() -> dict[str, str]:
         "cancellation_report": f"SELECT * FROM ({_report()}) WHERE kind = 'cancelled'",
         "reactivation_report": f"SELECT * FROM ({_report()}) WHERE kind = 'reactivated'",
         "branch_report": _report(),
+        "report_parts": f"SELECT * FROM ({_report()}) WHERE section = 'kpi'",
+        "sheet_columns": "SELECT s_suppkey::VARCHAR AS s_suppkey, s_name FROM supplier",
     }
 
 
@@ -433,7 +435,7 @@ MESSAGE = """SELECT branch, ord::INTEGER AS ord, team, lives::VARCHAR AS lives_t
 
 def goal_queries() -> dict[str, str]:
     every = f"WITH {GOALS}, {PROPOSALS}, {TEAMS}, {_lives('TRUE')}, {RESULT} "
-    some = "status = 'O' AND product = '1-URGENT'"
+    some = "status = 'O'"
     return {
         "goals_latest_month": f"WITH {GOALS} SELECT branch, team, goal FROM goals",
         "lives_by_team": f"{every} SELECT branch, team, lives FROM lives",
@@ -603,6 +605,8 @@ MODEL_COLUMNS = """SELECT lead_id, decided, target, open,
 def lead_queries() -> dict[str, str]:
     return {
         "lead_features": f"WITH {FEATURES} {MODEL_COLUMNS}",
+        "lead_csv_features": f"WITH {FEATURES} {MODEL_COLUMNS}",
+        "score_export": f"WITH {SCORED}, {SCORES} SELECT lead_id, score, probability FROM scores",
         "lead_label_codes": f"""WITH {FEATURES}, model AS ({MODEL_COLUMNS}),
     labels AS (SELECT DISTINCT unnest(['channel_norm', 'place_norm', 'team_type', 'day_part']) AS feature,
       unnest([channel_norm, place_norm, team_type, day_part]) AS label FROM model)
