@@ -6,6 +6,7 @@ in all sequences at once; what is left of a sequence when no pair has a rank is
 """
 
 import json
+import unicodedata
 from functools import partial
 
 import numpy as np
@@ -137,8 +138,6 @@ class Counter:
 
 def normal(text: str) -> str:
     """The vocabulary's normal form; white space is dropped by the split."""
-    import unicodedata
-
     if text.isascii():
         return text.lower()
     # One letter at a time: str.lower() alone would write a sigma at a word's end differently.
