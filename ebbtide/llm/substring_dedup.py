@@ -162,7 +162,8 @@ def repeated_spans(docs: DataFrame, texts: DataFrame, width: int) -> DataFrame:
     """Row key, first word and number of words of spans that repeated windows cover."""
     all_paths = written(text_paths(docs, width))
     buckets = all_paths.groupBy("bucket").agg(F.count("*").alias("c"), F.min("path").alias("lo"), F.max("path").alias("hi"))
-    seen = buckets.where("c > 1").select("bucket", (F.col("lo") != F.col("hi")).alias("branches"))
+    # Written, as is `shared` below: Spark splits a hot key of a join only if both sides are dealt for it.
+    seen = written(buckets.where("c > 1").select("bucket", (F.col("lo") != F.col("hi")).alias("branches")))
     met = written(all_paths.join(seen, "bucket"))
     covered = F.col("n") + F.lit(width - 1)
     whole = met.where("not branches").select("_id", "_row", "start", covered.alias("words"))
@@ -172,7 +173,7 @@ def repeated_spans(docs: DataFrame, texts: DataFrame, width: int) -> DataFrame:
     twice = distinct.where("c > 1").select("bucket", "path")
     also = branching.join(twice, ["bucket", "path"]).select("_id", "_row", "start", covered.alias("words"))
     windows = written(edges(texts, distinct.select("first.*"), width))
-    shared = windows.groupBy("w0", "w1").agg(F.count("*").alias("c")).where("c > 1").select("w0", "w1")
+    shared = written(windows.groupBy("w0", "w1").agg(F.count("*").alias("c")).where("c > 1").select("w0", "w1"))
     parts = windows.join(shared, ["w0", "w1"]).select("_id", "_row", "start", F.lit(width).alias("words"))
     return whole.unionByName(also).unionByName(parts)
 
