@@ -14,7 +14,9 @@ from ebbtide.llm.batches import row_key, written
 # ASCII white space, and what is not in a class of characters, as patterns.
 SPACE, SPACES = " \t\n\x0b\x0c\r", r"[\x20\x09-\x0D]+"
 NO_SYMBOL = r"[^#*$%&|<>]+"
-CLASSES = {"lower": "[^a-z]+", "upper": "[^A-Z]+", "digit": "[^0-9]+", "mark": r"[^!-/:-@\[-`{-~]+"}
+LOWER = "[a-z]+"
+CLASSES = {"upper": "[^A-Z]+", "digit": "[^0-9]+", "mark": r"\P{Punct}+"}
+KINDS = ["lower", *CLASSES]
 REPEAT = 8
 
 
@@ -62,15 +64,21 @@ def features(docs: DataFrame) -> DataFrame:
     """Counts of each row's whole text; the text itself is left behind."""
     text = F.coalesce("text", F.lit(""))
     lines = F.filter(F.split(text, "\n"), lambda x: F.length(F.btrim(x, F.lit(SPACE))) > 0)
-    rows = docs.select("_id", "_row", "doc_id", "lang", text.alias("text"), word_list(text).alias("_w"), lines.alias("_l"))
+    # Most characters are lower-case letters; the other classes are looked for in what is left without them.
+    rest = F.regexp_replace(text, LOWER, "")
+    rows = docs.select(
+        "_id", "_row", "doc_id", "lang", F.length(text).alias("_n"), rest.alias("_t"), word_list(text).alias("_w"), lines.alias("_l")
+    )
     rows = rows.select(
         "_id", "_row", "doc_id", "lang", "_w",
         F.size("_w").cast("long").alias("n_words"),
-        characters(F.col("text"), SPACES).alias("word_chars"),
-        characters(F.col("text"), NO_SYMBOL).alias("n_symbols"),
+        (F.col("_n") - F.length("_t")).cast("long").alias("_lower"),
+        characters(F.col("_t"), SPACES).alias("_spaceless"),
+        characters(F.col("_t"), NO_SYMBOL).alias("n_symbols"),
         (F.size("_l") - F.size(F.array_distinct("_l"))).cast("long").alias("n_dup_lines"),
-        *[characters(F.col("text"), others).alias(f"_{c}") for c, others in CLASSES.items()],
+        *[characters(F.col("_t"), others).alias(f"_{c}") for c, others in CLASSES.items()],
     )
+    rows = rows.withColumn("word_chars", F.col("_lower") + F.col("_spaceless")).drop("_spaceless")
     return repeated_words(rows, "_w").drop("_w")
 
 
@@ -90,19 +98,19 @@ def divergence(pairs: Column) -> Column:
 def class_distance(rows: DataFrame) -> DataFrame:
     """`rows` with `class_distance` and `_reference` (words of the language's documents)."""
     sums = rows.groupBy("lang").agg(
-        F.sum("word_chars").alias("_chars"), F.sum("n_words").alias("_reference"), *[F.sum(f"_{c}").alias(f"_all_{c}") for c in CLASSES]
+        F.sum("word_chars").alias("_chars"), F.sum("n_words").alias("_reference"), *[F.sum(f"_{c}").alias(f"_all_{c}") for c in KINDS]
     )
     joined = rows.join(written(sums), "lang")
 
     def share(prefix: str, total: str, c: str) -> Column:
         return F.col(f"{prefix}{c}") / F.col(total)
 
-    pairs = [F.struct(share("_", "word_chars", c).alias("p"), share("_all_", "_chars", c).alias("q")) for c in CLASSES]
+    pairs = [F.struct(share("_", "word_chars", c).alias("p"), share("_all_", "_chars", c).alias("q")) for c in KINDS]
     rest = [1 - sum(x[k] for x in pairs) for k in ("p", "q")]
     # Shares that add up to 1 can leave a little less than nothing.
     pairs.append(F.struct(F.greatest(rest[0], F.lit(0.0)).alias("p"), F.greatest(rest[1], F.lit(0.0)).alias("q")))
     distance = F.sqrt(F.greatest(divergence(F.array(*pairs)), F.lit(0.0)))
-    return joined.withColumn("class_distance", F.when(F.col("word_chars") > 0, distance)).drop("_chars", *[f"_all_{c}" for c in CLASSES])
+    return joined.withColumn("class_distance", F.when(F.col("word_chars") > 0, distance)).drop("_chars", *[f"_all_{c}" for c in KINDS])
 
 
 def common_words(words: DataFrame, sizes: DataFrame, least_share: float) -> DataFrame:
