@@ -64,7 +64,7 @@ def line_keys(docs: DataFrame, least: int, id_col: str = "doc_id", text: str = "
     return mapped(rows, LINES, "text", each)
 
 
-def empty(spark: SparkSession, shard_keys: int = 1 << 16) -> State:
+def empty(spark: SparkSession, shard_keys: int = 1 << 13) -> State:
     """A state without documents."""
     return State(
         spark.createDataFrame([], "h1 long, h2 long, doc_id long"),
