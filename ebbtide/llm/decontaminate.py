@@ -7,11 +7,12 @@ in the slots have to correspond one to one.
 """
 
 import re
+from collections import defaultdict
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ebbtide.llm.batches import keyed, mapped, row_key, written
@@ -29,7 +30,7 @@ LITERAL, NUMBER, NAME, UNIT = range(4)
 PLACEHOLDERS = mix(np.arange(1, 5, dtype=np.uint64))
 # The prefilter has so many bits however large the benchmark is; the join behind it is exact.
 FILTER_BITS, CACHE_SIZE = 1 << 24, 200_000
-WINDOWS = "a long, b long, start int, size int, literal int, slots array<struct<at:int,value:string>>"
+WINDOWS = "a long, b long, start int, size int, exact int, slots array<string>"
 
 
 class Tokens(dict):
@@ -58,25 +59,54 @@ class Template:
 
     def __init__(self, tokens: list[str], cache: Tokens):
         self.tokens = tokens
-        words, self.kinds = cache.of(tokens)
-        shaped = np.where(self.kinds == LITERAL, words, PLACEHOLDERS[self.kinds])
-        self.sums = [(Sums(shaped, half), Sums(words, half)) for half in (0, 1)]
+        self.words, self.kinds = cache.of(tokens)
+        # The words again, numbers and names told apart from others; a unit hangs on the word before.
+        self.cased = self.words ^ (self.kinds % UNIT).astype(np.uint64)
+        self.shaped = np.where(self.kinds == LITERAL, self.words, PLACEHOLDERS[self.kinds])
         self.literals = np.r_[0, np.cumsum(self.kinds == LITERAL)]
+        self.sums: dict[tuple[str, int], Sums] = {}
+
+    def hashes(self, of: str, half: int, start: np.ndarray, size: int) -> np.ndarray:
+        """One half of the hashes of windows of the template (`shaped`) or of the words (`words`, `cased`: with their kinds)."""
+        if (of, half) not in self.sums:
+            self.sums[of, half] = Sums(getattr(self, of), half)
+        return self.sums[of, half](start, start + size)
+
+    def starts(self, size: int) -> tuple[np.ndarray, np.ndarray]:
+        """Where windows start, and whether they are mostly slots."""
+        start = np.arange(max(0, len(self.tokens) - size + 1))
+        return start, (self.literals[start + size] - self.literals[start]) * 2 < size
 
     def windows(self, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """Start, two hash halves and whether the words themselves were hashed."""
-        start = np.arange(max(0, len(self.tokens) - size + 1))
-        literal = (self.literals[start + size] - self.literals[start]) * 2 < size
-        halves = [np.where(literal, ~w(start, start + size), t(start, start + size)) for t, w in self.sums]
+        start, literal = self.starts(size)
+        halves = [np.where(literal, ~self.hashes("words", h, start, size), self.hashes("shaped", h, start, size)) for h in (0, 1)]
         return start, *halves, literal
 
-    def slots(self, start: int, size: int) -> list[dict]:
-        """Places in the text and values of a window's slots."""
-        return [{"at": i, "value": self.tokens[i].lower()} for i in range(start, start + size) if self.kinds[i] != LITERAL]
+    def slots(self, start: int, size: int) -> list[str]:
+        """Values of a window's slots."""
+        return [self.tokens[i].lower() for i in range(start, start + size) if self.kinds[i] != LITERAL]
+
+    def keys(self) -> tuple[int, int]:
+        """Of the whole text: its template with its words; its template with which of its slots are equal.
+
+        Whether slot values correspond one to one hangs on the second alone.
+        """
+        n, none = len(self.tokens), np.array([0])
+        shape = b"".join(self.hashes("shaped", h, none, n).tobytes() for h in (0, 1)) + n.to_bytes(8, "little")
+        words = b"".join(self.hashes("words", h, none, n).tobytes() for h in (0, 1))
+        first: dict[str, int] = {}
+        equal = np.array([first.setdefault(v, len(first)) for v in self.slots(0, n)], np.int64).tobytes()
+        signed = lambda x: x - (1 << 64) if x >> 63 else x
+        return signed(xxhash.xxh3_64_intdigest(shape + words)), signed(xxhash.xxh3_64_intdigest(shape + equal))
 
 
 def benchmark_windows(items: DataFrame, size: int) -> DataFrame:
-    """Item, its length, and its windows; an item shorter than a window is one by itself."""
+    """Keys of items and of their classes, and their windows; an item shorter than a window is one by itself.
+
+    A window is listed by its template (or by its words, if it is mostly slots), and once more
+    by its words (`exact`).
+    """
     cache = Tokens()
 
     def each(part: pa.RecordBatch) -> dict:
@@ -87,14 +117,17 @@ def benchmark_windows(items: DataFrame, size: int) -> DataFrame:
             if not n:
                 continue
             own = min(size, n)
-            whole = [int(s(np.array([0]), np.array([n])).view(np.int64)[0]) for s, _ in template.sums]
-            start, a, b, literal = template.windows(own)
-            for s, x, y, z in zip(start.tolist(), a.view(np.int64).tolist(), b.view(np.int64).tolist(), literal.tolist()):
-                rows.append((item, n, *whole, x, y, s, own, int(z), template.slots(s, own)))
-        names = ["item_id", "length", "w0", "w1", "a", "b", "start", "size", "literal", "slots"]
+            keys = template.keys()
+            start, a, b, _ = template.windows(own)
+            exact = [template.hashes("cased", h, start, own) for h in (0, 1)]
+            for s in start.tolist():
+                values = template.slots(s, own)
+                rows.append((item, *keys, n, a[s].astype(np.int64), b[s].astype(np.int64), s, own, 0, values))
+                rows.append((item, *keys, n, exact[0][s].astype(np.int64), exact[1][s].astype(np.int64), s, own, 1, values))
+        names = ["item_id", "item", "class", "length", "a", "b", "start", "size", "exact", "slots"]
         return dict(zip(names, zip(*rows))) if rows else dict.fromkeys(names, [])
 
-    return mapped(items, "item_id long, length int, w0 long, w1 long, " + WINDOWS, "text", each)
+    return mapped(items, "item_id long, item long, class long, length int, " + WINDOWS, "text", each)
 
 
 def prefilter(windows: DataFrame) -> np.ndarray:
@@ -119,59 +152,114 @@ def document_windows(docs: DataFrame, sizes: list[int], table: np.ndarray) -> Da
         for i, text in enumerate(part.column(2).to_pylist()):
             template = Template(TOKEN.findall(text or ""), cache)
             for size in sizes:
-                start, a, b, literal = template.windows(size)
-                place = a.view(np.int64) % FILTER_BITS
-                for s in np.flatnonzero((bits[place >> 6] >> (place & 63).astype(np.uint64)) & np.uint64(1)).tolist():
-                    owner.append(i)
-                    found.append((int(a[s].view(np.int64)), int(b[s].view(np.int64)), s, size, int(literal[s]), template.slots(s, size)))
+                start, literal = template.starts(size)
+                words = template.hashes("words", 0, start, size)
+                halves = np.where(literal, ~words, template.hashes("shaped", 0, start, size)), template.hashes("cased", 0, start, size)
+                for exact, own in enumerate(halves):
+                    place = own.view(np.int64) % FILTER_BITS
+                    at = np.flatnonzero((bits[place >> 6] >> (place & 63).astype(np.uint64)) & np.uint64(1))
+                    if not len(at):
+                        continue
+                    if exact:
+                        other = template.hashes("cased", 1, at, size)
+                    else:
+                        other = np.where(literal[at], ~template.hashes("words", 1, at, size), template.hashes("shaped", 1, at, size))
+                    owner += [i] * len(at)
+                    for s, x, y in zip(at.tolist(), own[at].view(np.int64).tolist(), other.view(np.int64).tolist()):
+                        found.append((x, y, s, size, exact, None if exact else template.slots(s, size)))
         if not found:
             return None
         rows = pa.array(owner, pa.int32())
         columns = {"_id": part.column(0).take(rows), "_row": part.column(1).take(rows)}
-        return columns | dict(zip(["a", "b", "start", "size", "literal", "slots"], zip(*found)))
+        return columns | dict(zip(["a", "b", "start", "size", "exact", "slots"], zip(*found)))
 
     return mapped(docs.select("_id", "_row", "text"), "_id long, _row long, " + WINDOWS, "text", each)
 
 
-def one_to_one(pairs: Column) -> Column:
-    """Whether distinct pairs `x`, `y` give each value one partner, both ways."""
-    n = F.size(F.array_distinct(pairs))
-    return (F.size(F.array_distinct(F.transform(pairs, lambda p: p["x"]))) == n) & (F.size(F.array_distinct(F.transform(pairs, lambda p: p["y"]))) == n)
+def one_to_one(pairs: set[tuple[str, str]]) -> bool:
+    """Whether distinct pairs give each value one partner, both ways."""
+    return len({x for x, _ in pairs}) == len(pairs) == len({y for _, y in pairs})
+
+
+def consistent(windows: dict[tuple[int, int], set[tuple[str, str]]]) -> list[tuple[int, int]]:
+    """Start and size of windows of one alignment, if their slot values correspond one to one."""
+    fit = {w: pairs for w, pairs in windows.items() if one_to_one(pairs)}
+    return list(fit) if one_to_one(set().union(*fit.values())) else []
+
+
+def covers(rep: int, length: int, hits: list[dict]) -> dict[int, float]:
+    """Cover of items of one class, the representative and those with windows of their own, by a document.
+
+    A hit without an item is one for all items of the class.
+    """
+    equal: dict[int | None, set] = defaultdict(set)
+    shaped: dict[int, dict] = defaultdict(dict)
+    for h in hits:
+        if h["y"] is None or not h["y"]:
+            equal[h["item"]].add((h["shift"], h["at"], h["size"]))
+        else:
+            shaped[h["shift"]][h["at"], h["size"]] = set(zip(h["x"], h["y"]))
+    found = {}
+    for item in {rep, *equal} - {None}:
+        same = equal[None] | equal[item] if item in equal else equal[None]
+        best = 0
+        for shift in {s for s, _, _ in same} | set(shaped):
+            covered = np.zeros(length, bool)
+            own = {(at, n) for s, at, n in same if s == shift}
+            differ = {w: pairs for w, pairs in shaped.get(shift, {}).items() if w not in own}
+            whole = consistent(differ)
+            for at, n in own.union(whole):
+                covered[at : at + n] = True
+            best = max(best, int(covered.sum()))
+        found[item] = best / length
+    return found
 
 
 def matches(docs: DataFrame, items: DataFrame, size: int) -> DataFrame:
-    """`_id`, `_row`, `item_id`, `cover`: alignments with consistent slots, best cover by document and item."""
+    """`_id`, `_row`, `item_id`, `cover`: best cover by document and item."""
     known = written(benchmark_windows(items, size))
-    # Items of one template are one class, named by the smallest id, so that a benchmark of one
-    # template with many values does not multiply the pairs.
-    classes = written(known.groupBy("w0", "w1", "length").agg(F.min("item_id").alias("class")))
-    own = known.join(classes, ["w0", "w1", "length"]).where("item_id = class")
-    own = written(own.select("item_id", "length", "a", "b", F.col("start").alias("item_start"), "size", "literal", F.col("slots").alias("item_slots")))
+    # Items with the same words are one; without an id, it is a negative number from its words.
+    single = known.groupBy("item", "class").agg(F.coalesce(F.min("item_id"), F.expr("first(item) | shiftleft(1L, 63)")).alias("item_id"))
+    # Items of one template whose slots are equal in the same places are one class. Their slot
+    # checks have one result, so one of them, that with the smallest id, stands for all, and a
+    # benchmark of one template with many values does not multiply the pairs. Windows with slots
+    # are looked for by their words too, those of every item.
+    reps = single.groupBy("class").agg(F.min_by("item", F.struct("item_id", "item")).alias("rep"))
+    names = written(single.join(reps, "class"))
+    slotted = (F.col("exact") == 1) & (F.size("slots") > 0)
+    own = known.dropDuplicates(["item", "start", "size", "exact"]).join(names.select("item", "rep"), "item").where(slotted | (F.col("item") == F.col("rep")))
+    each_item = F.when(slotted, F.col("item")).alias("item")
+    own = written(own.select(each_item, "rep", "length", "a", "b", F.col("start").alias("at"), "size", "exact", F.col("slots").alias("x")))
     sizes = sorted(r["size"] for r in own.select("size").distinct().collect())
     hits = document_windows(docs, sizes, prefilter(own))
-    met = hits.join(own, ["a", "b", "size", "literal"])
-    by_place = lambda x, y: F.struct(x["value"].alias("x"), y["value"].alias("y"))
-    pairs = F.zip_with("item_slots", "slots", by_place)
-    aligned = F.col("start") - F.col("item_start")
-    group = met.withColumn("pairs", pairs).where(one_to_one(F.col("pairs"))).groupBy("_id", "_row", "item_id", "length", aligned.alias("shift"))
-    place = F.struct(F.col("item_start").alias("at"), "size")
-    lines = group.agg(F.array_sort(F.collect_set(place)).alias("places"), F.flatten(F.collect_list("pairs")).alias("pairs"))
-    ends = F.transform("places", lambda p, i: F.least(p["size"], F.coalesce(F.get("places", i + 1)["at"] - p["at"], p["size"])))
-    cover = F.aggregate(ends, F.lit(0), lambda s, x: s + x) / F.col("length")
-    best = lines.where(one_to_one(F.col("pairs"))).withColumn("cover", cover)
-    return best.groupBy("_id", "_row", "item_id").agg(F.max("cover").alias("cover"))
+    met = hits.join(own, ["a", "b", "size", "exact"])
+    values = F.when(F.col("exact") == 0, F.col("x")).alias("x"), F.col("slots").alias("y")
+    hit = F.struct("item", (F.col("start") - F.col("at")).alias("shift"), "at", "size", *values)
+    groups = met.groupBy("_id", "_row", "rep", "length").agg(F.collect_set(hit).alias("hits"))
+
+    def each(part: pa.RecordBatch) -> dict:
+        rows = []
+        for r in part.to_pylist():
+            rows += [(r["_id"], r["_row"], item, cover) for item, cover in covers(r["rep"], r["length"], r["hits"]).items()]
+        return dict(zip(["_id", "_row", "item", "cover"], zip(*rows)))
+
+    rated = mapped(groups.withColumn("by", F.lit(None).cast("binary")), "_id long, _row long, item long, cover double", "by", each)
+    return rated.join(names.select("item", "item_id"), "item").groupBy("_id", "_row", "item_id").agg(F.max("cover").alias("cover"))
 
 
 def contaminated(
     docs: DataFrame, items: DataFrame, size: int = 12, least_cover: float = 0.25, id_col: str = "doc_id", text: str = "text",
     item_id: str = "item_id", item_text: str = "text",
 ) -> DataFrame:
-    """`docs` with `_item_ids` (sorted, of item classes) and `_cover` (the best share of an item found).
-
-    An item counts as found if windows of `size` template tokens, on one alignment and with slot
-    values that correspond one to one, cover `least_cover` of it. A window with mostly slots is
-    compared by its words. Items of one template are reported by the smallest id of them; items
-    shorter than a window are looked for whole. Null and empty texts and items have no window.
+    """`docs` with `_item_ids` (sorted) and `_cover` (the best share of an item found).
+
+    An item counts as found if windows of `size` tokens cover `least_cover` of it on one
+    alignment: windows with its words, and windows with its template whose slot values correspond
+    one to one. A window with mostly slots is compared by its words. An item found with other
+    values alone is reported by the smallest id of its class, the items that differ from it in
+    slot values only; so are items with the same words. An item without an id is reported by a
+    negative number. Items shorter than a window are looked for whole. Null and empty texts and
+    items have no window.
     Repeated rows have one result, null ids are no hindrance, all columns stay; with an empty
     benchmark nothing is found.
     """

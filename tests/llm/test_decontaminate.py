@@ -53,6 +53,15 @@ def test_items_of_one_template_are_one_class(spark):
     assert leaks(spark, [AGAIN], [(7, QUESTION), (5, AGAIN), (9, QUESTION)]) == {0: [5]}
 
 
+def test_items_of_one_template_with_other_values_are_found(spark):
+    ask = "there are {0} red apples and {1} green pears in the box and then {0} of them are eaten while {1} are left"
+    items = [(1, ask.format(3, 3)), (2, ask.format(5, 7)), (None, ask.format(6, 8).replace("red", "ripe").replace("left", "sold"))]
+    found = leaks(spark, [ask.format(5, 7), ask.format(9, 4), ask.format(9, 9), items[2][1]], items, least_cover=0.9)
+    assert found[0] == [2] and found[1] == [2] and found[2] == [1] and len(found[3]) == 1 and found[3][0] < 0
+    slots = "Ann Bob {} Cid {} Dan Eve {} Fay Gus {} Hal"
+    assert leaks(spark, [slots.format(5, 6, 7, 8)], [(1, slots.format(1, 2, 3, 4)), (2, slots.format(5, 6, 7, 8))]) == {0: [2]}
+
+
 def test_no_benchmark(spark):
     assert leaks(spark, [QUESTION], []) == {0: []}
 
