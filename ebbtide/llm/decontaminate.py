@@ -57,17 +57,17 @@ class Tokens(dict):
 class Template:
     """Hashes of a text's windows: of its template, or of its words where a window has few literal ones."""
 
-    def __init__(self, tokens: list[str], cache: Tokens):
+    def __init__(self, tokens: list[str], cache: Tokens, any_case: bool = False):
         self.tokens = tokens
         self.words, self.kinds = cache.of(tokens)
-        # The words again, numbers and names told apart from others; a unit hangs on the word before.
-        self.cased = self.words ^ (self.kinds % UNIT).astype(np.uint64)
+        # The words again; unless in any case, numbers and names told apart (a unit hangs on the word before).
+        self.exact = self.words if any_case else self.words ^ (self.kinds % UNIT).astype(np.uint64)
         self.shaped = np.where(self.kinds == LITERAL, self.words, PLACEHOLDERS[self.kinds])
         self.literals = np.r_[0, np.cumsum(self.kinds == LITERAL)]
         self.sums: dict[tuple[str, int], Sums] = {}
 
     def hashes(self, of: str, half: int, start: np.ndarray, size: int) -> np.ndarray:
-        """One half of the hashes of windows of the template (`shaped`) or of the words (`words`, `cased`: with their kinds)."""
+        """One half of the hashes of windows of the template (`shaped`) or of the words (`words`, `exact`)."""
         if (of, half) not in self.sums:
             self.sums[of, half] = Sums(getattr(self, of), half)
         return self.sums[of, half](start, start + size)
@@ -101,7 +101,7 @@ class Template:
         return signed(xxhash.xxh3_64_intdigest(shape + words)), signed(xxhash.xxh3_64_intdigest(shape + equal))
 
 
-def benchmark_windows(items: DataFrame, size: int) -> DataFrame:
+def benchmark_windows(items: DataFrame, size: int, any_case: bool = False) -> DataFrame:
     """Keys of items and of their classes, and their windows; an item shorter than a window is one by itself.
 
     A window is listed by its template (or by its words, if it is mostly slots), and once more
@@ -112,14 +112,14 @@ def benchmark_windows(items: DataFrame, size: int) -> DataFrame:
     def each(part: pa.RecordBatch) -> dict:
         rows = []
         for item, text in zip(part.column(0).to_pylist(), part.column(1).to_pylist()):
-            template = Template(TOKEN.findall(text or ""), cache)
+            template = Template(TOKEN.findall(text or ""), cache, any_case)
             n = len(template.tokens)
             if not n:
                 continue
             own = min(size, n)
             keys = template.keys()
             start, a, b, _ = template.windows(own)
-            exact = [template.hashes("cased", h, start, own) for h in (0, 1)]
+            exact = [template.hashes("exact", h, start, own) for h in (0, 1)]
             for s in start.tolist():
                 values = template.slots(s, own)
                 rows.append((item, *keys, n, a[s].astype(np.int64), b[s].astype(np.int64), s, own, 0, values))
@@ -141,7 +141,7 @@ def prefilter(windows: DataFrame) -> np.ndarray:
     return table
 
 
-def document_windows(docs: DataFrame, sizes: list[int], table: np.ndarray) -> DataFrame:
+def document_windows(docs: DataFrame, sizes: list[int], table: np.ndarray, any_case: bool = False) -> DataFrame:
     """Windows of documents that the prefilter lets through, with their slots."""
     cache = Tokens()
     shared = docs.sparkSession.sparkContext.broadcast(table)
@@ -150,18 +150,18 @@ def document_windows(docs: DataFrame, sizes: list[int], table: np.ndarray) -> Da
         owner, found = [], []
         bits = shared.value
         for i, text in enumerate(part.column(2).to_pylist()):
-            template = Template(TOKEN.findall(text or ""), cache)
+            template = Template(TOKEN.findall(text or ""), cache, any_case)
             for size in sizes:
                 start, literal = template.starts(size)
                 words = template.hashes("words", 0, start, size)
-                halves = np.where(literal, ~words, template.hashes("shaped", 0, start, size)), template.hashes("cased", 0, start, size)
+                halves = np.where(literal, ~words, template.hashes("shaped", 0, start, size)), template.hashes("exact", 0, start, size)
                 for exact, own in enumerate(halves):
                     place = own.view(np.int64) % FILTER_BITS
                     at = np.flatnonzero((bits[place >> 6] >> (place & 63).astype(np.uint64)) & np.uint64(1))
                     if not len(at):
                         continue
                     if exact:
-                        other = template.hashes("cased", 1, at, size)
+                        other = template.hashes("exact", 1, at, size)
                     else:
                         other = np.where(literal[at], ~template.hashes("words", 1, at, size), template.hashes("shaped", 1, at, size))
                     owner += [i] * len(at)
@@ -215,9 +215,9 @@ def covers(rep: int, length: int, hits: list[dict]) -> dict[int, float]:
     return found
 
 
-def matches(docs: DataFrame, items: DataFrame, size: int) -> DataFrame:
+def matches(docs: DataFrame, items: DataFrame, size: int, any_case: bool = False) -> DataFrame:
     """`_id`, `_row`, `item_id`, `cover`: best cover by document and item."""
-    known = written(benchmark_windows(items, size))
+    known = written(benchmark_windows(items, size, any_case))
     # Items with the same words are one; without an id, it is a negative number from its words.
     single = known.groupBy("item", "class").agg(F.coalesce(F.min("item_id"), F.expr("first(item) | shiftleft(1L, 63)")).alias("item_id"))
     # Items of one template whose slots are equal in the same places are one class. Their slot
@@ -231,7 +231,7 @@ def matches(docs: DataFrame, items: DataFrame, size: int) -> DataFrame:
     each_item = F.when(slotted, F.col("item")).alias("item")
     own = written(own.select(each_item, "rep", "length", "a", "b", F.col("start").alias("at"), "size", "exact", F.col("slots").alias("x")))
     sizes = sorted(r["size"] for r in own.select("size").distinct().collect())
-    hits = document_windows(docs, sizes, prefilter(own))
+    hits = document_windows(docs, sizes, prefilter(own), any_case)
     met = hits.join(own, ["a", "b", "size", "exact"])
     values = F.when(F.col("exact") == 0, F.col("x")).alias("x"), F.col("slots").alias("y")
     hit = F.struct("item", (F.col("start") - F.col("at")).alias("shift"), "at", "size", *values)
@@ -249,7 +249,7 @@ def matches(docs: DataFrame, items: DataFrame, size: int) -> DataFrame:
 
 def contaminated(
     docs: DataFrame, items: DataFrame, size: int = 12, least_cover: float = 0.25, id_col: str = "doc_id", text: str = "text",
-    item_id: str = "item_id", item_text: str = "text",
+    item_id: str = "item_id", item_text: str = "text", any_case: bool = False,
 ) -> DataFrame:
     """`docs` with `_item_ids` (sorted) and `_cover` (the best share of an item found).
 
@@ -258,22 +258,23 @@ def contaminated(
     one to one. A window with mostly slots is compared by its words. An item found with other
     values alone is reported by the smallest id of its class, the items that differ from it in
     slot values only; so are items with the same words. An item without an id is reported by a
-    negative number. Items shorter than a window are looked for whole. Null and empty texts and
+    negative number. With `any_case`, windows with the item's words count in whatever letter case;
+    else capitals have to stand where they do in the item. Items shorter than a window are looked for whole. Null and empty texts and
     items have no window.
     Repeated rows have one result, null ids are no hindrance, all columns stay; with an empty
     benchmark nothing is found.
     """
     rows = docs.select(*row_key(id_col, text), F.col(text).alias("text"))
     asked = items.select(F.col(item_id).cast("long").alias("item_id"), F.col(item_text).alias("text"))
-    found = matches(rows, asked, size).where(F.col("cover") >= least_cover)
+    found = matches(rows, asked, size, any_case).where(F.col("cover") >= least_cover)
     per_row = written(found.groupBy("_id", "_row").agg(F.sort_array(F.collect_set("item_id")).alias("_item_ids"), F.max("cover").alias("_cover")))
     joined = keyed(docs, id_col, text).join(per_row, ["_id", "_row"], "left")
     ids = F.coalesce("_item_ids", F.array().cast("array<bigint>"))
     return joined.select("_all.*", ids.alias("_item_ids"), F.coalesce("_cover", F.lit(0.0)).alias("_cover"))
 
 
-def report(docs: DataFrame, items: DataFrame, size: int = 12, least_cover: float = 0.25) -> DataFrame:
+def report(docs: DataFrame, items: DataFrame, size: int = 12, least_cover: float = 0.25, any_case: bool = False) -> DataFrame:
     """One row per contaminated row: `doc_id`, `items` (ids, comma-joined), `cover`; see `contaminated`."""
-    rows = contaminated(docs.select("doc_id", "text"), items, size, least_cover).where(F.size("_item_ids") > 0)
+    rows = contaminated(docs.select("doc_id", "text"), items, size, least_cover, any_case=any_case).where(F.size("_item_ids") > 0)
     named = F.array_join(F.col("_item_ids").cast("array<string>"), ",").alias("items")
     return rows.select(F.col("doc_id").cast("long").alias("doc_id"), named, F.col("_cover").alias("cover"))

@@ -3,7 +3,7 @@
 import numpy as np
 from cases import table
 
-from ebbtide.llm import decontaminate
+from ebbtide.llm import decontaminate, queries
 from ebbtide.llm.decontaminate import TOKEN, Template, Tokens
 
 QUESTION = (
@@ -62,6 +62,14 @@ def test_items_of_one_template_with_other_values_are_found(spark):
     assert leaks(spark, [slots.format(5, 6, 7, 8)], [(1, slots.format(1, 2, 3, 4)), (2, slots.format(5, 6, 7, 8))]) == {0: [2]}
 
 
+def test_words_in_any_case(spark, tmp_path):
+    texts = [QUESTION.upper(), QUESTION.lower(), AGAIN, AGAIN.upper(), SHORT.title(), PLAIN]
+    assert leaks(spark, texts, any_case=True) == {0: [1], 1: [1], 2: [1], 3: [], 4: [2], 5: []}
+    table(spark, [(i, t, "en", "s") for i, t in enumerate(texts)]).write.parquet(f"{tmp_path}/documents.parquet")
+    table(spark, [(1, QUESTION), (2, SHORT)], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    assert sorted(r["doc_id"] for r in queries.op6_decontaminate(spark, str(tmp_path)).collect()) == [0, 1, 2, 4]
+
+
 def test_no_benchmark(spark):
     assert leaks(spark, [QUESTION], []) == {0: []}
 
