@@ -37,7 +37,7 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, folder: str) -> D
 def drop_benchmark(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     """Documents that hold a benchmark item, also with other values, go."""
     items = spark.read.parquet(f"{folder}/benchmark.parquet")
-    found = decontaminate.contaminated(docs, items, size=12, least_cover=0.25, any_case=True)
+    found = decontaminate.contaminated(docs, items, size=12, least_cover=0.25, any_case=True, partial=True)
     return found.where(F.size("_item_ids") == 0).select(*docs.columns)
 
 

@@ -7,7 +7,7 @@ in the slots have to correspond one to one.
 """
 
 import re
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 import numpy as np
 import pyarrow as pa
@@ -181,13 +181,52 @@ def one_to_one(pairs: set[tuple[str, str]]) -> bool:
     return len({x for x, _ in pairs}) == len(pairs) == len({y for _, y in pairs})
 
 
-def consistent(windows: dict[tuple[int, int], set[tuple[str, str]]]) -> list[tuple[int, int]]:
-    """Start and size of windows of one alignment, if their slot values correspond one to one."""
-    fit = {w: pairs for w, pairs in windows.items() if one_to_one(pairs)}
-    return list(fit) if one_to_one(set().union(*fit.values())) else []
+def consistent(windows: dict[tuple[int, int], set[tuple[str, str]]], partial: bool) -> set[tuple[int, int]]:
+    """Start and size of windows of one alignment whose slot values correspond one to one.
 
-
-def covers(rep: int, length: int, hits: list[dict]) -> dict[int, float]:
+    All of them or none; if `partial`, the larger of two parts: those whose pairs of values most
+    windows have, and the longest run of windows.
+    """
+    fit = {w: windows[w] for w in sorted(windows) if one_to_one(windows[w])}
+    if one_to_one(set().union(*fit.values())):
+        return set(fit)
+    if not partial:
+        return set()
+    forth: dict[str, str] = {}
+    back: dict[str, str] = {}
+    counts = Counter(pair for pairs in fit.values() for pair in sorted(pairs))
+    for (x, y), _ in counts.most_common():
+        if x not in forth and y not in back:
+            forth[x], back[y] = y, x
+    voted = {w for w, pairs in fit.items() if all(forth.get(x) == y for x, y in pairs)}
+    return max(voted, longest_run(fit), key=lambda part: len({i for at, n in part for i in range(at, at + n)}))
+
+
+def longest_run(windows: dict[tuple[int, int], set[tuple[str, str]]]) -> set[tuple[int, int]]:
+    """The most consecutive windows whose pairs are one to one together; each one's own are."""
+    order, held = list(windows), Counter()
+    xs, ys = Counter(), Counter()
+    left, best = 0, (0, 0)
+    for right, w in enumerate(order):
+        for x, y in windows[w]:
+            held[x, y] += 1
+            if held[x, y] == 1:
+                xs[x] += 1
+                ys[y] += 1
+        # Only pairs of this window can clash with earlier ones.
+        while any(xs[x] > 1 or ys[y] > 1 for x, y in windows[w]):
+            for x, y in windows[order[left]]:
+                held[x, y] -= 1
+                if not held[x, y]:
+                    xs[x] -= 1
+                    ys[y] -= 1
+            left += 1
+        if right + 1 - left > best[1] - best[0]:
+            best = left, right + 1
+    return set(order[slice(*best)])
+
+
+def covers(rep: int, length: int, hits: list[dict], partial: bool) -> dict[int, float]:
     """Cover of items of one class, the representative and those with windows of their own, by a document.
 
     A hit without an item is one for all items of the class.
@@ -202,21 +241,18 @@ def covers(rep: int, length: int, hits: list[dict]) -> dict[int, float]:
     found = {}
     for item in {rep, *equal} - {None}:
         same = equal[None] | equal[item] if item in equal else equal[None]
-        best = 0
-        for shift in {s for s, _, _ in same} | set(shaped):
-            covered = np.zeros(length, bool)
-            own = {(at, n) for s, at, n in same if s == shift}
-            differ = {w: pairs for w, pairs in shaped.get(shift, {}).items() if w not in own}
-            whole = consistent(differ)
-            for at, n in own.union(whole):
+        covered = np.zeros(length, bool)
+        for _, at, n in same:
+            covered[at : at + n] = True
+        for shift, windows in shaped.items():
+            for at, n in consistent({w: pairs for w, pairs in windows.items() if (shift, *w) not in same}, partial):
                 covered[at : at + n] = True
-            best = max(best, int(covered.sum()))
-        found[item] = best / length
+        found[item] = int(covered.sum()) / length
     return found
 
 
-def matches(docs: DataFrame, items: DataFrame, size: int, any_case: bool = False) -> DataFrame:
-    """`_id`, `_row`, `item_id`, `cover`: best cover by document and item."""
+def matches(docs: DataFrame, items: DataFrame, size: int, any_case: bool = False, partial: bool = False) -> DataFrame:
+    """`_id`, `_row`, `item_id`, `cover`: cover by document and item, over all alignments."""
     known = written(benchmark_windows(items, size, any_case))
     # Items with the same words are one; without an id, it is a negative number from its words.
     single = known.groupBy("item", "class").agg(F.coalesce(F.min("item_id"), F.expr("first(item) | shiftleft(1L, 63)")).alias("item_id"))
@@ -240,7 +276,7 @@ def matches(docs: DataFrame, items: DataFrame, size: int, any_case: bool = False
     def each(part: pa.RecordBatch) -> dict:
         rows = []
         for r in part.to_pylist():
-            rows += [(r["_id"], r["_row"], item, cover) for item, cover in covers(r["rep"], r["length"], r["hits"]).items()]
+            rows += [(r["_id"], r["_row"], item, cover) for item, cover in covers(r["rep"], r["length"], r["hits"], partial).items()]
         return dict(zip(["_id", "_row", "item", "cover"], zip(*rows)))
 
     rated = mapped(groups.withColumn("by", F.lit(None).cast("binary")), "_id long, _row long, item long, cover double", "by", each)
@@ -249,13 +285,14 @@ def matches(docs: DataFrame, items: DataFrame, size: int, any_case: bool = False
 
 def contaminated(
     docs: DataFrame, items: DataFrame, size: int = 12, least_cover: float = 0.25, id_col: str = "doc_id", text: str = "text",
-    item_id: str = "item_id", item_text: str = "text", any_case: bool = False,
+    item_id: str = "item_id", item_text: str = "text", any_case: bool = False, partial: bool = False,
 ) -> DataFrame:
     """`docs` with `_item_ids` (sorted) and `_cover` (the best share of an item found).
 
-    An item counts as found if windows of `size` tokens cover `least_cover` of it on one
-    alignment: windows with its words, and windows with its template whose slot values correspond
-    one to one. A window with mostly slots is compared by its words. An item found with other
+    An item counts as found if windows of `size` tokens cover `least_cover` of it over all
+    alignments: windows with its words always, and windows with its template and other values if
+    these correspond one to one in all such windows of their alignment; with `partial`, the part
+    of those windows counts in which they do. A window with mostly slots is compared by its words. An item found with other
     values alone is reported by the smallest id of its class, the items that differ from it in
     slot values only; so are items with the same words. An item without an id is reported by a
     negative number. With `any_case`, windows with the item's words count in whatever letter case;
@@ -266,15 +303,15 @@ def contaminated(
     """
     rows = docs.select(*row_key(id_col, text), F.col(text).alias("text"))
     asked = items.select(F.col(item_id).cast("long").alias("item_id"), F.col(item_text).alias("text"))
-    found = matches(rows, asked, size, any_case).where(F.col("cover") >= least_cover)
+    found = matches(rows, asked, size, any_case, partial).where(F.col("cover") >= least_cover)
     per_row = written(found.groupBy("_id", "_row").agg(F.sort_array(F.collect_set("item_id")).alias("_item_ids"), F.max("cover").alias("_cover")))
     joined = keyed(docs, id_col, text).join(per_row, ["_id", "_row"], "left")
     ids = F.coalesce("_item_ids", F.array().cast("array<bigint>"))
     return joined.select("_all.*", ids.alias("_item_ids"), F.coalesce("_cover", F.lit(0.0)).alias("_cover"))
 
 
-def report(docs: DataFrame, items: DataFrame, size: int = 12, least_cover: float = 0.25, any_case: bool = False) -> DataFrame:
+def report(docs: DataFrame, items: DataFrame, size: int = 12, least_cover: float = 0.25, any_case: bool = False, partial: bool = False) -> DataFrame:
     """One row per contaminated row: `doc_id`, `items` (ids, comma-joined), `cover`; see `contaminated`."""
-    rows = contaminated(docs.select("doc_id", "text"), items, size, least_cover, any_case=any_case).where(F.size("_item_ids") > 0)
+    rows = contaminated(docs.select("doc_id", "text"), items, size, least_cover, any_case=any_case, partial=partial).where(F.size("_item_ids") > 0)
     named = F.array_join(F.col("_item_ids").cast("array<string>"), ",").alias("items")
     return rows.select(F.col("doc_id").cast("long").alias("doc_id"), named, F.col("_cover").alias("cover"))

@@ -125,7 +125,7 @@ def op5_quality(spark: SparkSession, folder: str) -> DataFrame:
 
 def op6_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
     benchmark = spark.read.parquet(f"{folder}/benchmark.parquet")
-    return decontaminate.report(documents(spark, folder), benchmark, size=12, least_cover=0.25, any_case=True)
+    return decontaminate.report(documents(spark, folder), benchmark, size=12, least_cover=0.25, any_case=True, partial=True)
 
 
 def op7_mixing(spark: SparkSession, folder: str) -> DataFrame:

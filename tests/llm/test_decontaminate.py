@@ -4,7 +4,7 @@ import numpy as np
 from cases import table
 
 from ebbtide.llm import decontaminate, queries
-from ebbtide.llm.decontaminate import TOKEN, Template, Tokens
+from ebbtide.llm.decontaminate import TOKEN, Template, Tokens, consistent, longest_run
 
 QUESTION = (
     "Yesterday Maria bought 12 apples for 3 dollars at the small market near the river and then gave 5 apples to her friend Tom "
@@ -70,6 +70,26 @@ def test_words_in_any_case(spark, tmp_path):
     assert sorted(r["doc_id"] for r in queries.op6_decontaminate(spark, str(tmp_path)).collect()) == [0, 1, 2, 4]
 
 
+def test_verbatim_parts_and_all_alignments_count(spark):
+    words = [f"{a}{b}" for a in ("ba", "ce", "di", "fo", "gu", "ha", "je") for b in ("lor", "min", "nes", "pat", "rov", "sub", "tik", "wun", "xar", "zol")]
+    item = " ".join(words[:70])
+    inserted = " ".join(w + " and so" * (i % 14 == 13) for i, w in enumerate(words))
+    numbered = " ".join("3" if i in (5, 60) else w for i, w in enumerate(words))
+    changed = " ".join("4" if i == 60 else "3" if i == 5 else w for i, w in enumerate(words))
+    options = {"items": [(1, item), (2, numbered)], "least_cover": 0.8}
+    assert leaks(spark, [inserted, changed], **options) == {0: [1], 1: [2]}
+    assert leaks(spark, [WRONG, AGAIN, PLAIN], partial=True) == {0: [1], 1: [1], 2: []}
+
+
+def test_largest_consistent_part():
+    pairs = [{("a", "b")}, {("a", "c"), ("d", "e")}, {("d", "e")}, {("d", "e"), ("f", "g")}, {("a", "b"), ("a", "c")}]
+    windows = {(i, 2): p for i, p in enumerate(pairs)}
+    assert consistent(windows, False) == set()
+    assert consistent(windows, True) == {(0, 2), (2, 2), (3, 2)}
+    assert longest_run({w: windows[w] for w in list(windows)[:4]}) == {(1, 2), (2, 2), (3, 2)}
+    assert consistent({w: windows[w] for w in list(windows)[1:4]}, False) == {(1, 2), (2, 2), (3, 2)}
+
+
 def test_no_benchmark(spark):
     assert leaks(spark, [QUESTION], []) == {0: []}
 
