@@ -25,6 +25,10 @@ MARKUP = re.compile(
 MARKS = re.compile(r"(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style noscript template iframe svg math textarea title xmp noframes canvas object audio video".split())
+# Of these, what holds text alone, with the pattern of its end tag; in the others tags are tags.
+RAW_ENDS = {
+    tag: re.compile(rf"</{tag}(?=[\s/>])[^>]*+(?:>|\Z)", re.I) for tag in "script style noscript iframe textarea title xmp noframes".split()
+}
 INLINE = frozenset(
     "a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark q s samp small span strike strong sub sup "
     "td th time tt u var wbr".split()
@@ -60,25 +64,31 @@ class Page:
         self.nodes: list[tuple[int, int, str]] = []
         self.block = 0
         self.stack = [0]
-        at, skip = 0, None
-        for m in MARKUP.finditer(html):
-            if skip is not None:
-                if not (m[1] and m[2].lower() == skip):
-                    continue
-                skip, at = None, m.end()
-                self.block += self.tags[-1] not in INLINE
-                continue
-            self._text(html[at : m.start()])
+        at, skip, m = 0, None, MARKUP.search(html)
+        while m:
+            if skip is None:
+                self._text(html[at : m.start()])
             at = m.end()
-            if m[2] is None:
-                continue
-            tag = m[2].lower()
-            if m[1]:
+            tag = m[2].lower() if m[2] else None
+            closed = tag is not None and m[3].endswith("/")
+            if tag in RAW_ENDS and not m[1] and not (closed and skip in ("svg", "math")):
+                # Without an end tag it is the rest of the page.
+                end = RAW_ENDS[tag].search(html, at)
+                if end is None:
+                    return
+                at = end.end()
+                self.block += self.tags[-1] not in INLINE
+            elif skip is not None:
+                if m[1] and tag == skip:
+                    skip = None
+                    self.block += self.tags[-1] not in INLINE
+            elif tag and m[1]:
                 self._end(tag)
             elif tag in RAW:
-                skip = None if m[3].endswith("/") and tag in ("svg", "math") else tag
-            else:
+                skip = None if closed and tag in ("svg", "math") else tag
+            elif tag:
                 self._start(tag, m[3])
+            m = MARKUP.search(html, at)
         if skip is None:
             self._text(html[at:])
 

@@ -44,7 +44,23 @@ def test_small_pages(html, text):
     assert main_text(html) == text
 
 
+@pytest.mark.parametrize(
+    "raw",
+    [
+        "<script>for(i=0;i<n;i++){x();}</script>",
+        "<SCRIPT>s = '<!--' + \"</p>\"; if (a<b) t('</scripts>')</Script >",
+        "<style>a<b</style>",
+        "<title>if a<b</title>",
+        "<svg><title/><style>a<b</style><!-- </svg> --><text>no</text></svg>",
+        "<template><script>a<b</script><p title='</template>'>no</p></template>",
+    ],
+)
+def test_text_after_raw_elements_stays(raw):
+    assert main_text(f"<p>One, two.</p>{raw}<p>Three, four.</p>") == "One, two.\nThree, four."
+
+
 def test_long_and_deep_pages_end():
     assert main_text("<p>hello, world.</p>" * 20_000).count("\n") == 19_999
     assert main_text("<div>" * 2_000 + "x") == "x"
     assert main_text("<a" * 100_000) == ""
+    assert main_text("x, y" + "<script>a<b" * 100_000) == "x, y"
