@@ -20,8 +20,6 @@ from ebbtide.operators.lineage import cut
 SPACE, SPACES = " \t\n\x0b\x0c\r", r"[\x20\x09-\x0D]+"
 # At most so many Newton steps, and words off target, as a share of it, that end them.
 STEPS, CLOSE = 60, 1e-6
-# Documents of each power of two in size that may settle what rounding leaves over, by source.
-SETTLING = 4
 
 
 def words(text: Column) -> Column:
@@ -173,25 +171,33 @@ def mixed_rows(docs: DataFrame, weights: Sequence[float] = (1, 2, 3), most: int
 
 
 def settled(rounded: DataFrame, most: int) -> DataFrame:
-    """`rounded` with a copy more or less of a few documents, so that no larger step comes nearer to a target.
+    """`rounded` with copies more or less, so that no further copy comes nearer to a target.
 
-    Of each source, SETTLING documents for each power of two in size are looked at, the largest first.
+    What rounding left over is used up by single copies of all documents of a source: one copy
+    of each first, the largest documents first. How many of each size are taken is found on the
+    histogram of sizes; which ones, by running sums.
     """
     off = rounded.groupBy("group").agg((F.first("target") - F.sum(F.col("copies") * F.col("size"))).alias("off"))
-    fits = (F.col("size") > 0) & (F.col("size") <= F.abs("off"))
-    movable = F.when(F.col("off") > 0, F.col("copies") < most).otherwise(F.col("copies") > 0)
-    near = rounded.select("row", "size", "group", "draw", "copies").join(written(off), "group").where(fits & movable)
-    near = near.withColumn("power", F.floor(F.log2("size")))
-    order = Window.partitionBy("group", "power").orderBy(F.col("size").desc(), "draw", "row")
-    few = near.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= SETTLING)
-    lists = few.groupBy("group").agg(F.first("off").alias("off"), F.sort_array(F.collect_list(F.struct("size", "row")), asc=False).alias("own"))
-    start = F.struct(F.abs("off").alias("rest"), F.array().cast("array<long>").alias("rows"))
-
-    def take(state: Column, doc: Column) -> Column:
-        fit = doc["size"] <= state["rest"]
-        rest = F.when(fit, state["rest"] - doc["size"]).otherwise(state["rest"])
-        return F.struct(rest.alias("rest"), F.when(fit, F.array_append(state["rows"], doc["row"])).otherwise(state["rows"]).alias("rows"))
-
-    taken = lists.select(F.signum("off").cast("long").alias("change"), F.aggregate("own", start, take).alias("end"))
-    changes = written(taken.select("change", F.explode("end.rows").alias("row")))
+    room = F.when(F.col("off") > 0, most - F.col("copies")).otherwise(F.col("copies"))
+    near = rounded.select("row", "size", "group", "draw", "copies").join(written(off), "group")
+    near = near.where((F.col("size") > 0) & (F.col("size") <= F.abs("off")) & (room > 0))
+    steps = near.withColumn("layer", F.explode(F.sequence(F.lit(1).cast("long"), room)))
+    cells = steps.groupBy("group", "layer", "size").agg(F.count("*").alias("n"), F.first("off").alias("off"))
+    own = F.sort_array(F.collect_list(F.struct("layer", (-F.col("size")).alias("down"), "n")))
+    lists = cells.groupBy("group").agg(F.first("off").alias("off"), own.alias("own"))
+    start = F.struct(F.abs("off").alias("rest"), F.array().cast("array<struct<layer:long,size:long,n:long,k:long>>").alias("cells"))
+
+    def take(state: Column, cell: Column) -> Column:
+        size = -cell["down"]
+        k = F.least(cell["n"], F.floor(state["rest"] / size))
+        one = F.struct(cell["layer"].alias("layer"), size.alias("size"), cell["n"].alias("n"), k.alias("k"))
+        return F.struct((state["rest"] - k * size).alias("rest"), F.when(k > 0, F.array_append(state["cells"], one)).otherwise(state["cells"]).alias("cells"))
+
+    taken = lists.select("group", F.signum("off").cast("long").alias("change"), F.aggregate("own", start, take).alias("end"))
+    taken = written(taken.select("group", "change", F.inline("end.cells")))
+    moved = steps.select("row", "draw", "group", "layer", "size").join(taken, ["group", "layer", "size"])
+    some = moved.where("k < n").withColumn("cell", F.concat_ws(" ", "layer", "size", "group"))
+    first = running(some, "cell", ["draw", "row"], F.lit(1), "place").where("place < k")
+    both = moved.where("k = n").select("row", "change").unionByName(first.select("row", "change"))
+    changes = written(both.groupBy("row").agg(F.sum("change").alias("change")))
     return rounded.join(changes, "row", "left").withColumn("copies", F.col("copies") + F.coalesce("change", F.lit(0)))

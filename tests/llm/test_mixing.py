@@ -81,6 +81,27 @@ def test_extremes(spark):
     assert all(r["taken"] <= 3 * r["size"] for r in found.values())
 
 
+def test_one_long_document_among_short_ones(spark):
+    words = lambda n: "w " * n
+    rows = [(0, words(10_000), "en", "a"), *[(i, words(100), "en", "a") for i in range(1, 201)], *[(i, words(90), "en", "b") for i in range(201, 701)]]
+    found = mixing.mixed(table(spark, rows)).collect()
+    for low, high, target in ((0, 200, 25_000), (201, 700, 50_000)):
+        own = [r for r in found if low <= r["doc_id"] <= high]
+        assert own[0]["target"] == pytest.approx(target) and abs(sum(r["taken"] for r in own) - target) < 100
+    assert all(0 <= r["copies"] <= 3 for r in found)
+
+
+def test_settling_takes_all_sizes(spark):
+    sizes = [700] * 3 + [60] * 50 + [7] * 100 + [1] * 5
+    schema = "row long, _id long, doc_id long, _row long, target double, group string, draw long, copies long, size long"
+    for target in (20_000, 14_321, 300, 0):
+        rows = [(i, 0, i, 1, float(target), "g", i * 7919 % 101, 1, n) for i, n in enumerate(sizes)]
+        found = mixing.settled(table(spark, rows, schema), 3).collect()
+        assert all(0 <= r["copies"] <= 3 for r in found) and len(found) == len(rows)
+        # 300 comes to 301: all documents of one word are given up by then.
+        assert abs(sum(r["copies"] * r["size"] for r in found) - min(target, 3 * sum(sizes))) <= 1
+
+
 def test_one_source_of_equal_documents(spark):
     rows = [(i, "five words are in here", "en", "only") for i in range(500)]
     found = mixing.mixed(table(spark, rows)).collect()
