@@ -3,7 +3,9 @@
 Texts of blocks, the leaves, are grouped by their path of tags from the root. A path has a text
 ratio (characters by leaf) and a punctuation ratio (marks by leaf); both are smoothed along the
 page and fused, and paths above a threshold of the fused ratio hold content. The smallest container of those
-nodes is the article; inside it all text counts but what is marked up as something else.
+nodes is the article; inside it all text counts but elements for something else (`ASIDE`), and
+what class, id or role mark as aside or what is a list of links, if its paths hold no content
+inside the article either.
 """
 
 import re
@@ -46,6 +48,9 @@ ASIDE_MARKS = frozenset(
     "replies disqus respond related recommended share sharing social newsletter subscribe subscription signup login pagination pager "
     "toolbar widget widgets skip contentinfo complementary search".split()
 )
+# Headings are no widgets; words after these say how a page is laid out, as in no-sidebar.
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+LAYOUT = frozenset("no not has have with without".split())
 PAGE_HEAD = frozenset({"header", "masthead", "banner"})
 PUNCTUATION = re.compile(r"[.,;:!?…。，、；：！？]")
 # The share of the mean fused ratio that a path needs, and the smoothing weights along the page.
@@ -53,11 +58,23 @@ THRESHOLD, KERNEL = 0.5, np.array([0.25, 0.5, 0.25])
 LINKS = 0.8
 
 
+def marks_of(attributes: str) -> set[str]:
+    """Words of an element's class, id and role names."""
+    found = set()
+    for m in MARKS.finditer(attributes):
+        for name in (m[1] or m[2] or m[3] or "").lower().split():
+            words = re.split(r"[^a-z0-9]+", name)
+            found.update(w for before, w in zip(["", *words], words) if before not in LAYOUT)
+    return found
+
+
 class Page:
     """Elements (tag, parent, whether aside) and text nodes (element, block, text) of a page."""
 
     def __init__(self, html: str):
         self.tags, self.parents, self.aside, self.depth = ["#"], [0], [False], [0]
+        # The nearest element, itself or above, whose attributes alone say that it is aside.
+        self.marked = [0]
         # A number for each path from the root, inline tags left out.
         self.numbers: dict[tuple[int, str], int] = {}
         self.outline, self.linked = [0], [False]
@@ -123,13 +140,15 @@ class Page:
         elif tag in ("td", "th"):
             self._text(" ")
         parent = self.stack[-1]
-        marks = {w for m in MARKS.finditer(attributes) for w in re.split(r"[^a-z0-9]+", (m[1] or m[2] or m[3] or "").lower())} if attributes.strip() else set()
+        marks = marks_of(attributes) if attributes.strip() else set()
+        mark = bool(marks & ASIDE_MARKS) and tag not in ("html", "body", "article", "main") and tag not in HEADINGS
         inside = any(self.tags[e] == "article" for e in self.stack)
-        off = tag in ASIDE or bool(marks & ASIDE_MARKS) and tag not in ("html", "body", "article", "main")
+        off = tag in ASIDE
         off = off or not inside and (tag == "header" or bool(marks & PAGE_HEAD) and tag not in ("html", "body", "main"))
         self.tags.append(tag)
         self.parents.append(parent)
         self.aside.append(self.aside[parent] or off)
+        self.marked.append(len(self.tags) - 1 if mark else self.marked[parent])
         self.depth.append(self.depth[parent] + 1)
         self.outline.append(self.outline[parent] if tag in INLINE else self._number(self.outline[parent], tag))
         self.linked.append(self.linked[parent] or tag == "a")
@@ -212,19 +231,30 @@ def article(page: Page, nodes: list[tuple[int, int, str]]) -> int:
 def main_text(html: str | None) -> str:
     page = Page(html or "")
     nodes = [n for n in page.nodes if not page.aside[n[0]]]
-    if not any(t.strip() for _, _, t in nodes):
+    plain = [n for n in nodes if n[2].strip() and not page.marked[n[0]]]
+    if not plain:
         return ""
-    root = article(page, [n for n in nodes if n[2].strip()])
+    root = article(page, plain)
     inside = {root}
     for element in range(1, len(page.tags)):
         if page.parents[element] in inside:
             inside.add(element)
+    nodes = [n for n in nodes if n[0] in inside]
+    paths = content_paths(page, [n for n in nodes if n[2].strip()])
+    # Of what attributes mark as aside, that stays whose text is mostly on content paths and not nearly all links.
+    held: dict[int, list[int]] = defaultdict(lambda: [0, 0, 0])
+    for element, _, text in nodes:
+        own = held[page.marked[element]]
+        own[0] += len(text.strip()) * (page.outline[element] in paths)
+        own[1] += len(text.strip())
+        own[2] += len(text.strip()) * page.linked[element]
+    stays = {m for m, (good, n, a) in held.items() if m not in inside or m == root or 2 * good >= n and a <= LINKS * n}
     linked: dict[int, list[int]] = defaultdict(lambda: [0, 0, 0])
     lists: dict[int, bool] = {}
     blocks: dict[int, list[str]] = {}
     kinds: dict[int, int] = {}
     for element, block, text in nodes:
-        if element in inside:
+        if page.marked[element] in stays:
             kind = page.outline[element]
             if kind not in lists:
                 lists[kind] = next(page.tags[e] for e in page.holders(element) if page.tags[e] not in INLINE) in ("li", "div")
@@ -234,8 +264,8 @@ def main_text(html: str | None) -> str:
             linked[kind][0] += size * page.linked[element]
             linked[kind][1] += size
             linked[kind][2] += 1
-    # Lists of links that no markup names: a path of several nodes, nearly all of it links.
-    menus = {k for k, (a, n, count) in linked.items() if count >= 3 and lists[k] and a > LINKS * n}
+    # Lists of links that no markup names: a path of several nodes, nearly all of it links, that is no content path.
+    menus = {k for k, (a, n, count) in linked.items() if count >= 3 and lists[k] and a > LINKS * n and k not in paths}
     lines = (" ".join("".join(b).split()) for i, b in blocks.items() if kinds[i] not in menus)
     return "\n".join(line for line in lines if line)
 

@@ -59,6 +59,27 @@ def test_text_after_raw_elements_stays(raw):
     assert main_text(f"<p>One, two.</p>{raw}<p>Three, four.</p>") == "One, two.\nThree, four."
 
 
+BODY = "<p>One sentence, long enough, is here. And again, another one; yes.</p>"
+REFERENCES = "".join(f"<li><a href=r{i}>A. Writer, B. Other: A title, and more. A journal, vol. {i}, 2001.</a>" for i in range(5))
+
+
+@pytest.mark.parametrize(
+    "inner, more",
+    [
+        ("<section id='related-work'><p>Others, before us, did this. They did it well, too.</p></section>", "Others, before us, did this. They did it well, too."),
+        ("<h2 id='search'>Search</h2>", "Search"),
+        ("<div class='content no-sidebar'><p>More, of the same.</p></div>", "More, of the same."),
+        (f"<ol>{REFERENCES}</ol>", "\n".join(f"A. Writer, B. Other: A title, and more. A journal, vol. {i}, 2001." for i in range(5))),
+        ("<div class='share'><a href=a>Mail</a> <a href=b>Print</a></div>", None),
+        ("<ul><li><a href=a>One</a><li><a href=b>Two</a><li><a href=c>Three</a></ul>", None),
+        ("<aside>Else, and more. Yes, else.</aside>", None),
+    ],
+)
+def test_marks_and_links_inside_the_article(inner, more):
+    text = "One sentence, long enough, is here. And again, another one; yes."
+    assert main_text(f"<body><article>{BODY}{inner}{BODY}</article></body>") == "\n".join([text, *([more] if more else []), text])
+
+
 def test_long_and_deep_pages_end():
     assert main_text("<p>hello, world.</p>" * 20_000).count("\n") == 19_999
     assert main_text("<div>" * 2_000 + "x") == "x"
