@@ -3,7 +3,21 @@
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from ebbtide.llm import decontaminate, language_id, line_dedup, main_text, mixing, quality, secret_scan, simhash, substring_dedup, token_counts
+from ebbtide.llm import (
+    decontaminate,
+    language_id,
+    line_dedup,
+    main_text,
+    mixing,
+    quality,
+    secret_scan,
+    simhash,
+    spelling,
+    substring_dedup,
+    token_alignment,
+    token_counts,
+    token_files,
+)
 
 # The same results in DuckDB's SQL, by plain counting.
 OP10 = r"""
@@ -144,6 +158,19 @@ def op10_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return line_dedup.digests(line_dedup.dedup_corpus(documents(spark, folder), least=10))
 
 
+def op11_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    files = [public_tokenizers.path(name) for name in ("byte_bpe_50k.json", "piece_bpe_32k.model")]
+    return token_alignment.alignment(documents(spark, folder), *files)
+
+
+def op12_spelling(spark: SparkSession, folder: str) -> DataFrame:
+    return spelling.variants(documents(spark, folder), modulus=199, least_length=6, least=5, ratio=5)
+
+
+def op13_token_files(spark: SparkSession, folder: str) -> DataFrame:
+    return token_files.token_files(documents(spark, folder), public_tokenizers.path("word_bpe_49k.json"), end=2)
+
+
 def queries() -> dict:
     return {
         "op1_token_counts": op1_token_counts,
@@ -156,6 +183,9 @@ def queries() -> dict:
         "op8_substring_dedup": op8_substring_dedup,
         "op9_language_id": op9_language_id,
         "op10_line_dedup": op10_line_dedup,
+        "op11_alignment": op11_alignment,
+        "op12_spelling": op12_spelling,
+        "op13_token_files": op13_token_files,
     }
 
 

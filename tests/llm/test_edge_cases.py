@@ -6,7 +6,20 @@ import pytest
 from cases import ROWS, edge_rows, no_rows
 from pyspark.sql import functions as F
 
-from ebbtide.llm import decontaminate, language_id, line_dedup, main_text, mixing, quality, secret_scan, simhash, substring_dedup, token_counts
+from ebbtide.llm import (
+    decontaminate,
+    language_id,
+    line_dedup,
+    main_text,
+    mixing,
+    quality,
+    secret_scan,
+    simhash,
+    substring_dedup,
+    token_alignment,
+    token_counts,
+    token_files,
+)
 
 ITEMS = "item_id long, text string"
 
@@ -26,6 +39,8 @@ OPERATORS = {
     "substrings": lambda s, d: substring_dedup.without_repeats(d),
     "languages": lambda s, d: language_id.languages(d),
     "lines": lambda s, d: line_dedup.digests(line_dedup.dedup_corpus(d)),
+    "alignment": lambda s, d: token_alignment.alignment(d, *map(public_tokenizers.path, ("byte_bpe_50k.json", "piece_bpe_32k.model"))),
+    "token files": lambda s, d: token_files.token_files(d, public_tokenizers.path("word_bpe_49k.json"), 2),
 }
 
 
@@ -34,7 +49,9 @@ def test_operator_bears_hard_rows(spark, name):
     rows = OPERATORS[name](spark, edge_rows(spark)).collect()
     assert sorted((r["doc_id"] or 0) for r in rows) == sorted((r[0] or 0) for r in ROWS)
     twins = [r for r in rows if r["doc_id"] == 7]
-    if name != "mixing":
+    if name == "token files":
+        assert (twins[0]["n_tokens"], twins[0]["ids_crc32"]) == (twins[1]["n_tokens"], twins[1]["ids_crc32"])
+    elif name != "mixing":
         assert twins[0] == twins[1]
 
 
