@@ -25,6 +25,7 @@ from ebbtide.functions.html import html_text
 from ebbtide.functions.numbers import comma_number, round_even
 from ebbtide.operators import stats
 from ebbtide.operators.lineage import checkpoint_dir, spread
+from ebbtide.operators.permutation import permuted
 from ebbtide.plans import blocks, churn, contracts, detail, goals, leads, mail, reports, scoring
 from ebbtide.sources import readers, standin, writers
 from ebbtide.sources.standin import AS_OF, Tables
@@ -278,8 +279,8 @@ def lead_label_codes(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def lead_split(spark: SparkSession, folder: str) -> DataFrame:
-    rows = leads.split(_features(spark, folder).where("decided"))
-    return leads.folded(rows, "fold", F.col("target"), 5).select("lead_id", "target", "is_test", "fold")
+    rows = _features(spark, folder).where("decided").select("lead_id", "decided", "target")
+    return leads.dealt(rows, 5).select("lead_id", "target", "is_test", "fold")
 
 
 def _rule_score(rows: DataFrame) -> DataFrame:
@@ -323,15 +324,19 @@ def _trained(spark: SparkSession, folder: str) -> scoring.Trained:
 
 
 def lead_scores(spark: SparkSession, folder: str) -> DataFrame:
-    return plain(scoring.scores(_features(spark, folder), trained=_trained(spark, folder)))
+    return plain(scoring.scores(_features(spark, folder), _trained(spark, folder).model))
 
 
 def lead_importance(spark: SparkSession, folder: str) -> DataFrame:
-    return scoring.importance(_features(spark, folder), trained=_trained(spark, folder))
+    return scoring.importance(_trained(spark, folder).model)
+
+
+def lead_permutation_importance(spark: SparkSession, folder: str) -> DataFrame:
+    return scoring.permutation_importance(_trained(spark, folder))
 
 
 def lead_hold_out(spark: SparkSession, folder: str) -> DataFrame:
-    auc, by_class = scoring.hold_out(_features(spark, folder), trained=_trained(spark, folder))
+    auc, by_class = scoring.hold_out(_trained(spark, folder))
     return by_class.unionByName(auc, allowMissingColumns=True)
 
 
@@ -339,6 +344,19 @@ def lead_model_checks(spark: SparkSession, folder: str) -> DataFrame:
     return scoring.checks(_trained(spark, folder))
 
 
+def lead_cross_validation(spark: SparkSession, folder: str) -> DataFrame:
+    return scoring.cross_validate(_trained(spark, folder))
+
+
+def lead_saved_model(spark: SparkSession, folder: str) -> DataFrame:
+    """Open leads, and how many of them a model that was saved and loaded scores as before."""
+    path, model = _scratch(spark, "model"), _trained(spark, folder).model
+    scoring.save(model, path)
+    both = [scoring.scores(_features(spark, folder), m).select("lead_id", "probability") for m in (model, scoring.load(spark, path))]
+    met = both[0].join(both[1].withColumnRenamed("probability", "again"), "lead_id", "left")
+    return met.agg(F.count("*").alias("leads"), F.count_if(F.col("probability") == F.col("again")).alias("alike"))
+
+
 def _six(df: DataFrame, *columns: str) -> DataFrame:
     return df.withColumns({c: round_even(F.col(c), 6) for c in columns})
 
@@ -349,13 +367,20 @@ def lead_fold_auc(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def lead_calibration(spark: SparkSession, folder: str) -> DataFrame:
-    """The isotonic map of the fixed rule, on a grid coarse enough for its minimum-maximum form."""
+    """The isotonic map of the fixed rule."""
     rows = _rule_score(_features(spark, folder).where("decided"))
-    return _six(scoring.calibration(rows, "p", "target", 40), "raw", "calibrated")
+    return _six(scoring.calibration(rows, "p", "target"), "raw", "calibrated")
 
 
-def lead_cross_validation(spark: SparkSession, folder: str) -> DataFrame:
-    return scoring.cross_validate(_features(spark, folder))
+def lead_rule_importance(spark: SparkSession, folder: str) -> DataFrame:
+    """What the AUC of the fixed rule loses when one of its numbers is exchanged between leads."""
+    names = ["revenue", "days_in_funnel"]
+    rows = _features(spark, folder).where("decided").select("lead_id", "target", F.array(*names).alias("x"))
+
+    def scored(df: DataFrame) -> DataFrame:
+        return _rule_score(df.withColumns({n: F.get("x", F.lit(i)) for i, n in enumerate(names)}))
+
+    return _six(scoring.auc_drops(scored(rows), scored(permuted(rows, "lead_id", "x", names)), "p", "target"), "auc", "auc_drop")
 
 
 # --- files ---------------------------------------------------------------------------
@@ -465,11 +490,14 @@ def queries() -> dict[str, Query]:
         "sheet_columns": sheet_columns,
         "lead_fold_auc": lead_fold_auc,
         "lead_calibration": lead_calibration,
+        "lead_rule_importance": lead_rule_importance,
         "lead_scores": lead_scores,
         "lead_importance": lead_importance,
+        "lead_permutation_importance": lead_permutation_importance,
         "lead_hold_out": lead_hold_out,
         "lead_model_checks": lead_model_checks,
         "lead_cross_validation": lead_cross_validation,
+        "lead_saved_model": lead_saved_model,
     }
 
 

