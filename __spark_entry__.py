@@ -19,6 +19,7 @@ from pyspark.sql import types as T
 
 sys.path.insert(0, str(Path(__file__).resolve().parent))
 
+from ebbtide import schemas
 from ebbtide.functions import dates
 from ebbtide.functions.dates import monthly_cycles, semesters
 from ebbtide.functions.html import html_text
@@ -45,6 +46,7 @@ FIRST_DAY, LAST_DAY = dates.parse_bound("19950101"), dates.parse_bound("01/08/20
 CYCLES = monthly_cycles(date(1995, 1, 1), 80)
 REVERSIBLE = [f"NATION_{n}" for n in (1, 3, 4, 7, 9, 12, 18, 22)]
 GOAL_FILTERS = {"status": "O", "product": "1-URGENT"}
+SKETCHED = date(1996, 1, 1), date(2000, 12, 31)
 MAIL_SINCE, MAIL_LAST = date(1996, 1, 1), 500
 
 
@@ -85,6 +87,16 @@ def value_stats(spark: SparkSession, folder: str) -> DataFrame:
     return reports.stats(standin.contract_rows(Tables(spark, folder), ["monthly_value"]))
 
 
+def value_stats_by_sketch(spark: SparkSession, folder: str) -> DataFrame:
+    """Statistics of a period from sketches by branch, kind and day that were written before."""
+    path = _scratch(spark, "sketches")
+    day = F.col("o_orderdate").cast("date").alias("day")
+    rows = standin.contract_rows(Tables(spark, folder), ["monthly_value"], standin.KINDS.values(), day)
+    reports.value_sketches(rows, ["branch", "kind", "day"]).write.parquet(path)
+    period = spark.read.parquet(path).where(F.col("day").between(*SKETCHED))
+    return _six(reports.approximate_stats(period), "amount")
+
+
 def report_kpis(spark: SparkSession, folder: str) -> DataFrame:
     return reports.kpis(standin.contract_rows(Tables(spark, folder), ["age", "tenure_months", "monthly_value"]))
 
@@ -417,6 +429,21 @@ def report_parts(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.parquet(path).where("section = 'kpi'")
 
 
+def report_rerun(spark: SparkSession, folder: str) -> DataFrame:
+    """Two parts of a report, one of them written again with another section; both are read."""
+    path = _scratch(spark, "rerun")
+    writers.write_parts(_section("tenure", "cancelled", "reactivated")(spark, folder), path, "kind")
+    writers.write_parts(_section("payment")(spark, folder), path, "kind")
+    return spark.read.parquet(path)
+
+
+def branch_part(spark: SparkSession, folder: str) -> DataFrame:
+    """KPIs of one branch from a table of contract rows that is kept in a folder for each branch."""
+    path = _scratch(spark, "branches")
+    writers.write_parts(standin.contract_rows(Tables(spark, folder), ["age", "tenure_months", "monthly_value"]), path, "branch")
+    return reports.kpis(readers.parquet(spark, path, schemas.CONTRACT_ROW).where(F.col("branch") == "ASIA"))
+
+
 def sheet_columns(spark: SparkSession, folder: str) -> DataFrame:
     """The first columns of a dimension that came as CSV."""
     path = _scratch(spark, "sheet")
@@ -445,6 +472,7 @@ def queries() -> dict[str, Query]:
         "top_sellers": _section("sellers", "cancelled", "reactivated"),
         "band_totals": band_totals,
         "value_stats": value_stats,
+        "value_stats_by_sketch": value_stats_by_sketch,
         "report_kpis": report_kpis,
         "cancellation_report": _report("cancelled"),
         "reactivation_report": _report("reactivated"),
@@ -487,6 +515,8 @@ def queries() -> dict[str, Query]:
         "score_export": score_export,
         "lead_csv_features": lead_csv_features,
         "report_parts": report_parts,
+        "report_rerun": report_rerun,
+        "branch_part": branch_part,
         "sheet_columns": sheet_columns,
         "lead_fold_auc": lead_fold_auc,
         "lead_calibration": lead_calibration,

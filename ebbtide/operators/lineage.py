@@ -1,5 +1,7 @@
 """Where and how often work is cut: lineage and partitions."""
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 
 # Name of the setting that `spread` follows.
@@ -9,12 +11,17 @@ SPREAD = "spark.ebbtide.spread"
 def checkpoint_dir(spark: SparkSession) -> str:
     """The folder that the session names in spark.checkpoint.dir.
 
-    Where none is set it is a folder in the warehouse, which all executors share as well.
+    Where none is set it is a folder in the warehouse, if all executors share that: on one machine,
+    or where it is no local folder. Otherwise there is no place for it, which is an error.
     """
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
         folder = spark.conf.get("spark.checkpoint.dir", None)
-        context.setCheckpointDir(folder or f"{spark.conf.get('spark.sql.warehouse.dir')}/_checkpoints")
+        warehouse = spark.conf.get("spark.sql.warehouse.dir", "")
+        local_folder = "://" not in warehouse or warehouse.startswith("file:")
+        if folder is None and local_folder and not re.match(r"local(\[|$)", context.master):
+            raise ValueError("set spark.checkpoint.dir: the warehouse is a local folder, which executors do not share")
+        context.setCheckpointDir(folder or f"{warehouse}/_checkpoints")
     return context.getCheckpointDir()
 
 

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from ebbtide.functions import decode
 from ebbtide.functions.dates import months_crossed, or_today, years_crossed
+from ebbtide.operators.intervals import left_join_holding
 from ebbtide.operators.joins import left_join_sparse
 from ebbtide.operators.latest import latest
 from ebbtide.plans.blocks import MEMBER_KEY, latest_blocks
@@ -47,15 +48,11 @@ def last_occurrences(receivables: DataFrame, as_of: date) -> DataFrame:
 def with_price(rows: DataFrame, prices: DataFrame, as_of: date) -> DataFrame:
     """Left join of the price whose age range holds the age on the day.
 
-    The keys are equal columns, the range is tested on the matches. Overlapping
-    ranges repeat the row, a NULL birth date matches nothing.
+    Overlapping ranges repeat the row, a NULL birth date matches nothing.
     """
     price = alive(prices).select(*PRICE_KEY, "age_from", "age_to", F.col("value").alias("monthly_value"))
-    rows, price = rows.alias("r"), price.alias("p")
-    condition = years_crossed(F.col("r.birth_date"), F.lit(as_of)).between(F.col("p.age_from"), F.col("p.age_to"))
-    for key in PRICE_KEY:
-        condition = condition & (F.col(f"r.{key}") == F.col(f"p.{key}"))
-    return rows.join(price, condition, "left").select("r.*", "p.monthly_value")
+    age = years_crossed(F.col("birth_date"), F.lit(as_of))
+    return left_join_holding(rows, price, PRICE_KEY, age, "age_from", "age_to", ["monthly_value"])
 
 
 def extract(s: Sources, start: date, end: date, as_of: date, dialect: Dialect) -> DataFrame:

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ebbtide import fixed_values as fv
 from ebbtide.functions import bands, decode, text
 from ebbtide.functions.numbers import amount, floor_at_zero, money, to_number
+from ebbtide.operators import sketch
 from ebbtide.operators.counting import ALL, Section, entry, shares, top_labels, with_empty_bands
 from ebbtide.operators.lineage import cut
 from ebbtide.operators.stats import value_stats
@@ -123,6 +124,16 @@ def stats(rows: DataFrame) -> DataFrame:
     return _stat_rows(value_stats(values, BY, "value", "n"))
 
 
+def value_sketches(rows: DataFrame, by: Sequence[str], error: float = 0.01) -> DataFrame:
+    """Sketches of the values of each group, for example by branch, kind and day."""
+    return sketch.sketches(rows.withColumn("value", amount(to_number(F.col("monthly_value")))), by, "value", error)
+
+
+def approximate_stats(parts: DataFrame, error: float = 0.01) -> DataFrame:
+    """Value statistics of the merged sketches; the median is within `error` of the exact one."""
+    return _stat_rows(sketch.statistics(sketch.merged(parts, BY), BY, error))
+
+
 def report(rows: DataFrame, without: Sequence[tuple[str, str]] = ()) -> DataFrame:
     """All sections of all branches and kinds as one long table.
 

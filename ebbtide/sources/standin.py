@@ -63,12 +63,12 @@ def _deleted(key: Column, every: int) -> Column:
 # --- cancellation and reactivation rows ---------------------------------------------
 
 
-def contract_rows(t: Tables, need: Collection[str], kinds: Collection[str] = tuple(KINDS.values())) -> DataFrame:
+def contract_rows(t: Tables, need: Collection[str], kinds: Collection[str] = tuple(KINDS.values()), *more: Column) -> DataFrame:
     """One row per line item that was returned ('cancelled') or accepted ('reactivated').
 
     Only the columns in `need` are built, beside branch and kind, and only their
     lookup tables are joined: all lookups are left joins on unique keys, so the rows
-    are the same either way.
+    are the same either way. `more` adds columns of the joined tables.
     """
     flags = [f for f, k in KINDS.items() if k in kinds]
     customers = (
@@ -105,7 +105,8 @@ def contract_rows(t: Tables, need: Collection[str], kinds: Collection[str] = tup
         *[
             (made[f.name] if f.name in {"branch", "kind", *need} else F.lit(None)).cast(f.dataType).alias(f.name)
             for f in schemas.CONTRACT_ROW
-        ]
+        ],
+        *more,
     )
 
 

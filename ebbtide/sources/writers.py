@@ -1,13 +1,27 @@
 """Results to files."""
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
-def write_parts(df: DataFrame, path: str, by: str) -> None:
-    """One folder per report or period of a long result."""
-    df.write.mode("overwrite").partitionBy(by).parquet(path)
+def write_parts(df: DataFrame, path: str, by: str | Sequence[str]) -> None:
+    """One folder per report, branch or period of a long result.
+
+    Parts that the rows belong to are replaced, the others stay: a job can be run again for one of them.
+    """
+    names = [by] if isinstance(by, str) else by
+    df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*names).parquet(path)
+
+
+def write_bucketed(df: DataFrame, table: str, path: str, keys: Sequence[str], buckets: int) -> None:
+    """A table dealt and sorted by its join keys once, so that joins and groups on them need no shuffle.
+
+    Tables that are joined take the same number of buckets; a bucket should fit a task.
+    """
+    df.write.mode("overwrite").option("path", path).bucketBy(buckets, *keys).sortBy(*keys).saveAsTable(table)
 
 
 def plain_number(c: Column) -> Column:

@@ -131,6 +131,24 @@ STATS = f"""SELECT branch, kind, ord, label, amount, printf('R$ %.2f', {TWO.form
         count(*) OVER (PARTITION BY branch, kind) AS cnt FROM clean WHERE value > 0)
     GROUP BY branch, kind))"""
 
+# Values counted in cells whose ends are 1.01 / 0.99 apart; a cell stands for its middle.
+SKETCHED = f"""WITH {ROWS.replace("FROM lineitem JOIN", ", o_orderdate::DATE AS day FROM lineitem JOIN", 1)},
+  cells AS (SELECT branch, kind, floor(ln(value) / ln(1.01 / 0.99)) AS cell, count(*) AS n, sum(value::DECIMAL(18, 6)) AS total,
+      min(value) AS lowest, max(value) AS highest
+    FROM clean WHERE value > 0 AND day BETWEEN DATE '1996-01-01' AND DATE '2000-12-31' GROUP BY ALL),
+  placed AS (SELECT *, sum(n) OVER (PARTITION BY branch, kind ORDER BY cell) AS upto, sum(n) OVER (PARTITION BY branch, kind) AS whole,
+      least(greatest(pow(1.01 / 0.99, cell) * 1.01, lowest), highest) AS middle FROM cells),
+  stats AS (SELECT branch, kind, sum(n) AS n, sum(total)::DOUBLE AS total, min(lowest) AS lowest, max(highest) AS highest,
+      (max(middle) FILTER (upto - n < (whole + 1) // 2 AND (whole + 1) // 2 <= upto)
+        + max(middle) FILTER (upto - n < whole // 2 + 1 AND whole // 2 + 1 <= upto)) / 2 AS median
+    FROM placed GROUP BY branch, kind)
+  SELECT branch, kind, ord, label, round_even(amount * 1000000.0, 0) / 1000000.0 AS amount,
+    printf('R$ %.2f', {TWO.format('amount')}) AS amount_text FROM (
+  SELECT branch, kind, unnest([1, 2, 3, 4, 5]) AS ord,
+    unnest(['Valor Médio', 'Valor Mediano', 'Valor Mínimo', 'Valor Máximo',
+      CASE kind WHEN 'cancelled' THEN 'Receita Perdida (Mensal)' ELSE 'Receita Resgatada (Mensal)' END]) AS label,
+    unnest([total / n, median, lowest, highest, total]) AS amount FROM stats)"""
+
 KPIS = f"""SELECT branch, kind, qty, mean_age, mean_years, revenue,
     replace(format('{{:,}}', qty), ',', '.') AS qty_text,
     printf('%.0f', round_even(mean_age, 0)) || ' anos' AS age_text,
@@ -178,6 +196,10 @@ def report_queries() -> dict[str, str]:
         "top_sellers": f"WITH {ROWS} {_section('sellers', 'TRUE')}",
         "band_totals": f"WITH {ROWS} SELECT branch, kind, section, ord, label, qty, is_total FROM ({_section('tenure', 'TRUE')})",
         "value_stats": f"WITH {ROWS} {STATS}",
+        "value_stats_by_sketch": SKETCHED,
+        "branch_part": f"WITH {ROWS} SELECT * FROM ({KPIS}) WHERE branch = 'ASIA'",
+        "report_rerun": f"""WITH {ROWS} SELECT * FROM ({_section('payment', CANCELLED)}) WHERE {CANCELLED}
+          UNION ALL SELECT * FROM ({_section('tenure', 'TRUE')}) WHERE kind = 'reactivated'""",
         "report_kpis": f"WITH {ROWS} {KPIS}",
         "cancellation_report": f"SELECT * FROM ({_report()}) WHERE kind = 'cancelled'",
         "reactivation_report": f"SELECT * FROM ({_report()}) WHERE kind = 'reactivated'",

@@ -2,6 +2,8 @@
 
 from types import SimpleNamespace
 
+import pytest
+
 from ebbtide.operators import lineage
 
 
@@ -36,6 +38,18 @@ def test_a_session_without_a_folder_uses_the_shared_warehouse():
     assert lineage.checkpoint_dir(s) == "hdfs:///warehouse/_checkpoints"
 
 
+@pytest.mark.parametrize("master", ["spark://host:7077", "local-cluster[2,1,1024]"])
+def test_a_local_warehouse_is_no_shared_folder(master):
+    for warehouse in ("spark-warehouse", "/data/warehouse", "file:/data/warehouse", "file:///data"):
+        with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+            lineage.checkpoint_dir(session(master, **{"spark.sql.warehouse.dir": warehouse}))
+
+
+def test_on_one_machine_any_folder_will_do():
+    for master in ("local", "local[4]"):
+        assert lineage.checkpoint_dir(session(master, **{"spark.sql.warehouse.dir": "here"})) == "here/_checkpoints"
+
+
 def test_cut_keeps_the_rows(spark):
     assert sorted(r[0] for r in lineage.cut(spark.range(5)).collect()) == [0, 1, 2, 3, 4]
 
