@@ -6,8 +6,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from ebbtide.operators.joins import join_by
-
 
 def latest(df: DataFrame, keys: Sequence[str], by: Sequence[str], keep: Sequence[str]) -> DataFrame:
     """One row per key: the one that is highest by `by`.
@@ -19,36 +17,17 @@ def latest(df: DataFrame, keys: Sequence[str], by: Sequence[str], keep: Sequence
     return df.groupBy(*keys).agg(row.alias("_row")).select(*keys, "_row.*")
 
 
-def last_n(df: DataFrame, group: str, seq: str, n: int, cell: int = 65_536) -> DataFrame:
+def last_n(df: DataFrame, group: str, seq: str, n: int, slots: int | None = None) -> DataFrame:
     """Rows with the `n` highest numbers of each group, NULL being a group of its own.
 
-    No group is sorted as a whole. Counts per cell of numbers lead to the one cell in
-    which the n-th highest number lies, and counts per number in that cell to the
-    number itself. Numbers of 32 bits, as mail servers give, need at most 65,536 cells
-    per group. Rows that share that number beyond n are settled by their hash; rows
-    without a number come last.
+    A group is dealt by row hash into `slots` (as many as shuffle partitions unless given); the
+    last n of each slot are found first, then the last n of these, so no task has more of a group
+    than a slot's share, or n rows of each slot. Rows that share a number beyond n are settled by
+    their hash; rows without a number come last.
     """
-    lowest = F.lit(-(1 << 63)).cast("bigint")
-    order = F.coalesce(F.col(seq).cast("bigint"), lowest)
-    numbers = df.groupBy(group, order.alias("_seq")).agg(F.count("*").alias("_k"))
-    numbers = numbers.withColumn("_cell", F.floor(F.col("_seq") / cell))
-    cells = numbers.groupBy(group, "_cell").agg(F.sum("_k").alias("_n"))
-    higher = W.partitionBy(group).orderBy(F.desc("_cell")).rowsBetween(W.unboundedPreceding, -1)
-    edges = (
-        cells.withColumn("_above", F.coalesce(F.sum("_n").over(higher), F.lit(0)))
-        .where((F.col("_above") < n) & (F.col("_above") + F.col("_n") >= n))
-        .select(group, "_cell", "_above")
-    )
-    before = W.partitionBy(group, "_cell").orderBy(F.desc("_seq")).rowsBetween(W.unboundedPreceding, -1)
-    last = (
-        join_by(numbers, edges, [group, "_cell"])
-        .withColumn("_above", F.col("_above") + F.coalesce(F.sum("_k").over(before), F.lit(0)))
-        .where((F.col("_above") < n) & (F.col("_above") + F.col("_k") >= n))
-        .select(group, F.col("_seq").alias("_lowest"), (n - F.col("_above")).alias("_room"))
-    )
-    kept = join_by(df.withColumn("_seq", order), last, [group], "left")
-    kept = kept.where(F.col("_lowest").isNull() | (F.col("_seq") >= F.col("_lowest")))
-    twins = W.partitionBy(group, "_seq").orderBy(F.xxhash64(*df.columns))
-    kept = kept.withColumn("_rank", F.row_number().over(twins))
-    inside = F.col("_lowest").isNull() | (F.col("_seq") > F.col("_lowest")) | (F.col("_rank") <= F.col("_room"))
-    return kept.where(inside).select(*df.columns)
+    slots = slots or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    hashed = df.withColumn("_hash", F.xxhash64(*df.columns)).withColumn("_slot", F.pmod("_hash", F.lit(slots)))
+    order = [F.col(seq).cast("bigint").desc_nulls_last(), F.col("_hash")]
+    for keys in ([group, "_slot"], [group]):
+        hashed = hashed.withColumn("_rank", F.row_number().over(W.partitionBy(*keys).orderBy(*order))).where(F.col("_rank") <= n)
+    return hashed.select(*df.columns)

@@ -90,7 +90,7 @@ def test_auc_of_large_ties(spark):
 def test_last_rows_of_null_groups_and_repeated_numbers(spark, n):
     rows = [(None, i) for i in range(5)] + [("a", 1)] * 3 + [("b", i) for i in range(10)] + [("b", 8), ("c", None)]
     df = spark.createDataFrame(rows, "folder string, uid long")
-    found = sorted((str(r["folder"]), r["uid"] or -1) for r in last_n(df, "folder", "uid", n, cell=4).collect())
+    found = sorted((str(r["folder"]), r["uid"] or -1) for r in last_n(df, "folder", "uid", n, slots=4).collect())
     wanted = []
     for folder in (None, "a", "b", "c"):
         wanted += sorted(((str(f), -1 if u is None else u) for f, u in rows if f == folder), reverse=True)[:n]

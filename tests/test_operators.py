@@ -59,7 +59,7 @@ def test_last_n(spark):
     df = spark.createDataFrame(rows, "g string, u bigint")
     for n in (1, 7, 40, 1000, 5000):
         got = {}
-        for r in latest.last_n(df, "g", "u", n, cell=64).collect():
+        for r in latest.last_n(df, "g", "u", n, slots=3).collect():
             got.setdefault(r["g"], set()).add(r["u"])
         assert got == {g: set(sorted(us)[-n:]) for g, us in groups.items()}
 
