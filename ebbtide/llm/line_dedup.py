@@ -13,9 +13,10 @@ from dataclasses import dataclass, replace
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ebbtide.functions.binding import let
 from ebbtide.llm.batches import importable, keyed, mapped, row_key, written
 from ebbtide.llm.cuckoo import Cuckoo
 
@@ -173,9 +174,13 @@ def deduplicated(docs: DataFrame, state: State, lines: DataFrame, id_col: str =
     rows = keyed(docs, id_col, text).join(dropped_lines(state, lines), ["_id", "_row"], "left")
     whole = F.coalesce(F.col(f"_all.`{text}`"), F.lit(""))
     parts = F.split(whole, "\n")
-    stay = F.array_except(F.sequence(F.lit(0), F.size(parts) - 1), F.col("_drop"))
-    kept = F.array_join(F.transform(stay, lambda i: F.get(parts, i)), "\n")
-    cut = F.when(F.col("_drop").isNull(), whole).otherwise(kept)
+
+    def kept(lines: Column) -> Column:
+        stay = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col("_drop"))
+        return F.array_join(F.transform(stay, lambda i: F.get(lines, i)), "\n")
+
+    # Bound, so that a text is split once and not for each of its lines.
+    cut = F.when(F.col("_drop").isNull(), whole).otherwise(let(parts, kept))
     return rows.select(
         *[cut.alias(c) if c == text else F.col(f"_all.`{c}`").alias(c) for c in docs.columns],
         F.size(parts).cast("long").alias("_n_lines"),

@@ -2,6 +2,7 @@
 
 import random
 import re
+import time
 
 import numpy as np
 import pytest
@@ -95,3 +96,14 @@ def test_cuckoo_filter(room):
     assert own.contains(hashes[1::2]).all()
     own.delete(hashes[1::2])
     assert not own.table.any() and not len(own.stash)
+
+
+def test_many_lines_in_one_text(spark):
+    shared = [f"a shared line with number {i}" for i in range(0, 50_000, 100)]
+    text = "\n".join(f"a shared line with number {i}" for i in range(50_000))
+    rows = [(1, "\n".join(shared), "en", "s"), (2, text, "en", "s")]
+    started = time.monotonic()
+    found = {r["doc_id"]: r for r in line_dedup.dedup_corpus(table(spark, rows)).collect()}
+    assert (found[2]["_n_lines"], found[2]["_n_dropped"], found[1]["_n_dropped"]) == (50_000, 500, 0)
+    assert found[2]["text"] == "\n".join(line for line in text.split("\n") if line not in set(shared))
+    assert time.monotonic() - started < 60
