@@ -20,6 +20,8 @@ from ebbtide.operators.lineage import cut
 SPACE, SPACES = " \t\n\x0b\x0c\r", r"[\x20\x09-\x0D]+"
 # At most so many Newton steps, and words off target, as a share of it, that end them.
 STEPS, CLOSE = 60, 1e-6
+# What settling takes of the documents of one size.
+NOTHING, EVERY, SOME = range(3)
 
 
 def words(text: Column) -> Column:
@@ -106,6 +108,9 @@ def tilts(docs: DataFrame, goals: DataFrame, most: float) -> DataFrame:
         same = F.col("next") == F.col("tilt")
         moved = moved.select("source", "target", "scale", F.col("next").alias("tilt"), "lo", "hi", (done | same).alias("done"))
         state = cut(state.where("done").unionByName(moved))
+    else:
+        if not state.where("not done").isEmpty():
+            raise ArithmeticError(f"no tilt found in {STEPS} Newton steps")
     return state.select("source", "tilt", "scale")
 
 
@@ -185,16 +190,26 @@ def settled(rounded: DataFrame, most: int) -> DataFrame:
     cells = steps.groupBy("group", "layer", "size").agg(F.count("*").alias("n"), F.first("off").alias("off"))
     own = F.sort_array(F.collect_list(F.struct("layer", (-F.col("size")).alias("down"), "n")))
     lists = cells.groupBy("group").agg(F.first("off").alias("off"), own.alias("own"))
-    start = F.struct(F.abs("off").alias("rest"), F.array().cast("array<struct<layer:long,size:long,n:long,k:long>>").alias("cells"))
+    none = F.array().cast("array<struct<layer:long,down:long,kind:int,k:long>>")
+    start = F.struct(F.abs("off").alias("rest"), F.lit(NOTHING).alias("kind"), none.alias("turns"))
 
     def take(state: Column, cell: Column) -> Column:
         size = -cell["down"]
         k = F.least(cell["n"], F.floor(state["rest"] / size))
-        one = F.struct(cell["layer"].alias("layer"), size.alias("size"), cell["n"].alias("n"), k.alias("k"))
-        return F.struct((state["rest"] - k * size).alias("rest"), F.when(k > 0, F.array_append(state["cells"], one)).otherwise(state["cells"]).alias("cells"))
-
-    taken = lists.select("group", F.signum("off").cast("long").alias("change"), F.aggregate("own", start, take).alias("end"))
-    taken = written(taken.select("group", "change", F.inline("end.cells")))
+        kind = F.when(k == 0, NOTHING).when(k == cell["n"], EVERY).otherwise(SOME)
+        turn = F.struct(cell["layer"].alias("layer"), cell["down"].alias("down"), kind.alias("kind"), k.alias("k"))
+        # Only where the kind turns is anything kept. What is left is less than half after a cell of
+        # which some are taken, so turns are few however many sizes there are.
+        turns = F.when((kind != state["kind"]) | (kind == SOME), F.array_append(state["turns"], turn)).otherwise(state["turns"])
+        return F.struct((state["rest"] - k * size).alias("rest"), kind.alias("kind"), turns.alias("turns"))
+
+    ends = lists.select("group", F.signum("off").cast("long").alias("change"), F.aggregate("own", start, take)["turns"].alias("turns"))
+    own_place = F.struct(F.col("layer"), (-F.col("size")).alias("down"))
+    passed = F.filter("turns", lambda t: F.struct(t["layer"], t["down"]) <= own_place)
+    last = F.get(passed, F.size(passed) - 1)
+    taken = cells.join(written(ends), "group").select("group", "change", "layer", "size", "n", last.alias("_last"))
+    k = F.when(F.col("_last.kind") == EVERY, F.col("n")).when(F.col("_last.kind") == SOME, F.col("_last.k"))
+    taken = written(taken.withColumn("k", k).where("k > 0").drop("_last"))
     moved = steps.select("row", "draw", "group", "layer", "size").join(taken, ["group", "layer", "size"])
     some = moved.where("k < n").withColumn("cell", F.concat_ws(" ", "layer", "size", "group"))
     first = running(some, "cell", ["draw", "row"], F.lit(1), "place").where("place < k")

@@ -2,12 +2,14 @@
 
 import math
 import random
+import time
 
 import pytest
 from cases import table
 from pyspark.sql import functions as F
 
 from ebbtide.llm import mixing
+from ebbtide.llm.batches import written
 
 
 def plain_targets(sizes, weights=(1, 2, 3), most=3):
@@ -119,3 +121,42 @@ def test_running_sums(spark):
 def test_no_python_on_the_way(spark):
     plan = mixing.mixed(table(spark, corpus(1, 50)))._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def plain_settling(sizes, rest, most):
+    """One more copy of each document, the largest first, while it fits; then another one."""
+    taken = dict.fromkeys(sizes, 0)
+    for _ in range(most):
+        for size in sorted(sizes, reverse=True):
+            k = min(sizes[size], rest // size)
+            taken[size] += k
+            rest -= k * size
+    return taken
+
+
+@pytest.mark.parametrize("rest", [0, 1, 777, 99_999, 5_000_000])
+def test_settling_against_a_plain_loop(spark, rest):
+    draw = random.Random(rest)
+    sizes = {s: draw.randint(1, 4) for s in draw.sample(range(1, 3000), 400)}
+    rows = [(s, 1.0 * rest) for s, n in sizes.items() for _ in range(n)]
+    df = spark.createDataFrame(rows, "size long, target double").withColumns(
+        {"row": F.monotonically_increasing_id(), "copies": F.lit(0).cast("long"), "group": F.lit("g"), "draw": F.xxhash64("size")}
+    )
+    found = mixing.settled(written(df), 3).groupBy("size").agg(F.sum("copies").alias("n")).collect()
+    assert {r["size"]: r["n"] for r in found} == plain_settling(sizes, rest, 3)
+
+
+def test_many_sizes_in_one_source(spark):
+    df = spark.range(1, 100_001).select(
+        F.col("id").alias("size"), F.lit(2_000_000_000.0).alias("target"), F.col("id").alias("row"), F.lit(0).cast("long").alias("copies"),
+        F.lit("g").alias("group"), F.xxhash64("id").alias("draw"),
+    )
+    started = time.monotonic()
+    taken = mixing.settled(written(df), 3).agg(F.sum(F.col("copies") * F.col("size"))).first()[0]
+    assert taken == 2_000_000_000 and time.monotonic() - started < 60
+
+
+def test_no_tilt_is_an_error(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "STEPS", 1)
+    with pytest.raises(ArithmeticError):
+        mixing.mixed(table(spark, corpus(1, 200)))
