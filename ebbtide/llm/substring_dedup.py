@@ -138,7 +138,7 @@ def words_of(blob: bytes) -> list[bytes]:
 def edges(texts: DataFrame, opened: DataFrame, width: int) -> DataFrame:
     """The windows of the opened paths: two hash halves and the source coordinate of each."""
     cache = WordHashes()
-    runs = opened.groupBy("_id", "_row").agg(F.collect_list(F.struct("start", "n")).alias("runs"))
+    runs = opened.groupBy("_id", "_row").agg(F.collect_set(F.struct("start", "n")).alias("runs"))
 
     def each(part: pa.RecordBatch) -> dict | None:
         owner, at, halves = [], [], []
@@ -190,7 +190,8 @@ def without_repeats(docs: DataFrame, width: int = 35, id_col: str = "doc_id", te
     rows = docs.select(*row_key(id_col, text), F.col(id_col).cast("long").alias("doc_id"), F.col(text).alias("text"))
     texts = packed(rows)
     spans = repeated_spans(rows, texts, width)
-    per_row = spans.groupBy("_id", "_row").agg(F.collect_list(F.struct("start", "words")).alias("spans"))
+    # Copies of a row have one key and the same spans; as a set they do not grow with the copies.
+    per_row = spans.groupBy("_id", "_row").agg(F.collect_set(F.struct("start", "words")).alias("spans"))
     joined = texts.join(per_row, ["_id", "_row"], "left").select("doc_id", "blob", "spans")
 
     def each(part: pa.RecordBatch) -> dict:

@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import time
 from collections import Counter
 
 import numpy as np
@@ -62,3 +63,13 @@ def test_segments_change_nothing(spark, monkeypatch):
     texts = corpus(7, 30)
     found = substring_dedup.without_repeats(table(spark, [(i, t, "en", "s") for i, t in enumerate(texts)]), 20).collect()
     assert {r["doc_id"]: r["kept"] for r in found} == {i: w[2] for i, w in enumerate(plain(texts, 20))}
+
+
+def test_many_copies_of_one_row(spark):
+    """Copies share a row key: the spans found for one must not come once for each copy."""
+    text = " ".join(f"w{i}" for i in range(400))
+    rows = [(None, text, "en", "s")] * 2000 + [(1, "another text " + " ".join(f"w{i}" for i in range(50, 100)), "en", "s")]
+    started = time.monotonic()
+    found = substring_dedup.without_repeats(table(spark, rows).repartition(4)).select("doc_id", "n_words", "n_removed").collect()
+    assert sorted(map(tuple, found), key=str) == sorted([(None, 400, 400)] * 2000 + [(1, 52, 50)], key=str)
+    assert time.monotonic() - started < 60
