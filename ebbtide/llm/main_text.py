@@ -5,7 +5,7 @@ ratio (characters by leaf) and a punctuation ratio (marks by leaf); both are smo
 page and fused, and paths above a threshold of the fused ratio hold content. The smallest container of those
 nodes is the article; inside it all text counts but elements for something else (`ASIDE`), and
 what class, id or role mark as aside or what is a list of links, if its paths hold no content
-inside the article either.
+inside the article either. What readers wrote goes by markup alone: it reads like the article.
 """
 
 import re
@@ -48,6 +48,9 @@ ASIDE_MARKS = frozenset(
     "replies disqus respond related recommended share sharing social newsletter subscribe subscription signup login pagination pager "
     "toolbar widget widgets skip contentinfo complementary search".split()
 )
+# What readers write goes wherever it stands; the words behind say whether they may write at all.
+COMMENT_MARKS = frozenset("comment comments commentlist commentform disqus respond reply replies responses guestbook".split())
+COMMENT_STATES = frozenset("open opened closed enabled disabled allowed on off".split())
 # Headings are no widgets; words after these say how a page is laid out, as in no-sidebar.
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 LAYOUT = frozenset("no not has have with without".split())
@@ -58,14 +61,16 @@ THRESHOLD, KERNEL = 0.5, np.array([0.25, 0.5, 0.25])
 LINKS = 0.8
 
 
-def marks_of(attributes: str) -> set[str]:
-    """Words of an element's class, id and role names."""
-    found = set()
+def marks_of(attributes: str) -> tuple[set[str], bool]:
+    """Words of an element's class, id and role names, and whether one of these names reader comments."""
+    found, comments = set(), False
     for m in MARKS.finditer(attributes):
         for name in (m[1] or m[2] or m[3] or "").lower().split():
             words = re.split(r"[^a-z0-9]+", name)
-            found.update(w for before, w in zip(["", *words], words) if before not in LAYOUT)
-    return found
+            own = {w for before, w in zip(["", *words], words) if before not in LAYOUT}
+            comments = comments or bool(own & COMMENT_MARKS) and not own & COMMENT_STATES
+            found |= own
+    return found, comments
 
 
 class Page:
@@ -77,7 +82,7 @@ class Page:
         self.marked = [0]
         # A number for each path from the root, inline tags left out.
         self.numbers: dict[tuple[int, str], int] = {}
-        self.outline, self.linked = [0], [False]
+        self.outline, self.linked, self.within = [0], [False], [False]
         self.nodes: list[tuple[int, int, str]] = []
         self.block = 0
         self.stack = [0]
@@ -140,10 +145,12 @@ class Page:
         elif tag in ("td", "th"):
             self._text(" ")
         parent = self.stack[-1]
-        marks = marks_of(attributes) if attributes.strip() else set()
-        mark = bool(marks & ASIDE_MARKS) and tag not in ("html", "body", "article", "main") and tag not in HEADINGS
-        inside = any(self.tags[e] == "article" for e in self.stack)
-        off = tag in ASIDE
+        marks, comments = marks_of(attributes) if attributes.strip() else (set(), False)
+        inside = self.within[parent]
+        part = tag not in ("html", "body", "article", "main") and tag not in HEADINGS
+        mark = bool(marks & ASIDE_MARKS) and part
+        # An article inside an article is what somebody answered to it, if it is marked so.
+        off = tag in ASIDE or comments and (part or tag == "article" and inside)
         off = off or not inside and (tag == "header" or bool(marks & PAGE_HEAD) and tag not in ("html", "body", "main"))
         self.tags.append(tag)
         self.parents.append(parent)
@@ -152,6 +159,7 @@ class Page:
         self.depth.append(self.depth[parent] + 1)
         self.outline.append(self.outline[parent] if tag in INLINE else self._number(self.outline[parent], tag))
         self.linked.append(self.linked[parent] or tag == "a")
+        self.within.append(inside or tag == "article")
         self.stack.append(len(self.tags) - 1)
 
     def _end(self, tag: str) -> None:

@@ -1,6 +1,7 @@
 """Extraction from the test pages and from small pages of other shapes."""
 
 import re
+import time
 from html import unescape
 
 import duckdb
@@ -80,6 +81,48 @@ def test_marks_and_links_inside_the_article(inner, more):
     assert main_text(f"<body><article>{BODY}{inner}{BODY}</article></body>") == "\n".join([text, *([more] if more else []), text])
 
 
+COMMENT = "<p>I think, as a reader, that this is nice. Very nice, indeed! I will, surely, come back.</p>" * 4
+
+
+@pytest.mark.parametrize(
+    "opening, closing",
+    [
+        ("<div class='comments'>", "</div>"),
+        ("<section id='comments'>", "</section>"),
+        ("<div id=disqus_thread>", "</div>"),
+        ("<ol class='comment-list'><li class='comment'>", "</li></ol>"),
+        ("<ul><li class='user-comment'>", "</li></ul>"),
+        ("<div class='reader-comments-area'><article class='comment-body'>", "</article></div>"),
+        ("<div><article id='comment-12'>", "</article></div>"),
+        ("<div id='respond'>", "</div>"),
+    ],
+)
+@pytest.mark.parametrize(
+    "page",
+    [
+        "<body><article>{0}{0}{1}</article></body>",
+        "<body><div id='content'>{0}{0}{1}</div></body>",
+        "<body><main><article class='post comments-open'>{0}{0}</article>{1}</main></body>",
+        "<body class='comments-enabled'><div><div class='post has-comments'>{0}{0}</div>{1}</div><footer>x</footer></body>",
+    ],
+)
+def test_reader_comments_go(page, opening, closing):
+    text = "One sentence, long enough, is here. And again, another one; yes."
+    inside = "article>{0}{0}{1}" in page
+    if "<div><article id" in opening and not inside:
+        return  # outside of an article, an article is one of its own
+    assert main_text(page.format(BODY, opening + COMMENT + closing)) == f"{text}\n{text}"
+
+
+def test_the_time_does_not_go_with_the_square_of_the_depth():
+    took = []
+    for depth in (2_000, 16_000):
+        started = time.process_time()
+        assert main_text("<div><p>a, b." + "<div>" * depth + "x") .startswith("a, b.")
+        took.append(time.process_time() - started)
+    assert took[1] < 8 * 3 * took[0] + 0.5
+
+
 def test_long_and_deep_pages_end():
     assert main_text("<p>hello, world.</p>" * 20_000).count("\n") == 19_999
     assert main_text("<div>" * 2_000 + "x") == "x"
