@@ -111,6 +111,43 @@ SELECT doc_id, b.n_words, b.word_chars, n_symbols, n_dup_lines, n_repeat_words,
 FROM base b JOIN sums s USING (lang) LEFT JOIN class_distance c USING (r) LEFT JOIN word_distance w USING (r)
 """
 
+OP12 = r"""
+WITH RECURSIVE steps AS (
+  SELECT list(list_reduce(range(8), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, i) ORDER BY i) AS t FROM range(256) r(i)
+), runs AS (
+  SELECT doc_id, run, count(*) AS n FROM (
+    SELECT doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[a-zÀ-ÿ]+')) AS run FROM documents)
+  WHERE length(run) >= 6 GROUP BY ALL
+), bytes AS (
+  SELECT run, n, hex(encode(coalesce(doc_id::VARCHAR, '') || ':' || run)) AS h FROM runs
+), sums AS (
+  SELECT run, n, xor(list_reduce(list_transform(range(length(h) // 2), lambda i: ('0x' || substr(h, 2 * i + 1, 2))::BIGINT),
+    lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1]), 4294967295::BIGINT), 4294967295) AS crc FROM bytes, steps
+), words AS (
+  SELECT word, sum(n)::BIGINT AS n FROM (
+    SELECT CASE WHEN crc % 199 = 0 THEN substr(run, 1, crc % length(run)) || substr(run, crc % length(run) + 2) ELSE run END AS word, n FROM sums)
+  WHERE length(word) >= 6 GROUP BY word HAVING sum(n) >= 5
+), gaps AS (
+  SELECT word, i, substr(word, 1, i - 1) || substr(word, i + 1) AS rest FROM (SELECT word, unnest(range(1, length(word) + 1)) AS i FROM words)
+), pairs AS (
+  SELECT a.word, b.word AS near FROM gaps a JOIN gaps b ON a.rest = b.rest AND a.i = b.i AND a.word <> b.word
+  UNION SELECT g.word, w.word FROM gaps g JOIN words w ON g.rest = w.word
+  UNION SELECT w.word, g.word FROM gaps g JOIN words w ON g.rest = w.word
+), ranked AS (
+  SELECT p.word, near, w.n AS near_n, count(*) OVER (PARTITION BY p.word) AS n_near,
+    row_number() OVER (PARTITION BY p.word ORDER BY w.n DESC, near) AS k FROM pairs p JOIN words w ON p.near = w.word
+), formed AS (
+  SELECT w.word, CASE WHEN near_n >= 5 * n THEN near END AS form, n, coalesce(n_near, 0) AS n_near, CASE WHEN near_n >= 5 * n THEN near_n END AS form_n
+  FROM words w LEFT JOIN ranked r ON r.word = w.word AND k = 1
+), ways AS (
+  SELECT word, word AS root FROM formed
+  UNION ALL SELECT ways.word, f.form FROM ways JOIN formed f ON f.word = ways.root WHERE f.form IS NOT NULL
+), ends AS (
+  SELECT ways.word, root FROM ways JOIN formed f ON f.word = ways.root WHERE f.form IS NULL
+)
+SELECT word, form, root, n, n_near, form_n FROM formed JOIN ends USING (word)
+"""
+
 
 def documents(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/documents.parquet")
@@ -190,4 +227,4 @@ def queries() -> dict:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op5_quality": OP5, "op8_substring_dedup": OP8, "op10_line_dedup": OP10}
+    return {"op5_quality": OP5, "op8_substring_dedup": OP8, "op10_line_dedup": OP10, "op12_spelling": OP12}
