@@ -3,7 +3,7 @@
 from dataclasses import dataclass
 from datetime import date
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ebbtide.functions import decode
@@ -55,25 +55,34 @@ def with_price(rows: DataFrame, prices: DataFrame, as_of: date) -> DataFrame:
     return left_join_holding(rows, price, PRICE_KEY, age, "age_from", "age_to", ["monthly_value"])
 
 
+def equal(prefix: str, *pairs: tuple[str, str]) -> Column:
+    """Columns on the left equal to prefixed ones on the right."""
+    condition = F.lit(True)
+    for left, right in pairs:
+        condition = condition & (F.col(left) == F.col(f"{prefix}_{right}"))
+    return condition
+
+
+def same(prefix: str, *names: str) -> Column:
+    return equal(prefix, *[(n, n) for n in names])
+
+
+def with_subcontracts(rows: DataFrame, subcontracts: DataFrame) -> DataFrame:
+    """Left join of the living sub-contract of a member, its columns prefixed."""
+    keys = same("sub", "org", "company", "contract_no", "contract_ver", "subcontract")
+    return rows.join(prefixed(alive(subcontracts), "sub"), keys, "left")
+
+
 def extract(s: Sources, start: date, end: date, as_of: date, dialect: Dialect) -> DataFrame:
     """Members blocked in the period with plan, contract, seller, price and contact data.
 
-    The blocks of the period are joined first: they leave few members for the rest.
+    The blocks of the period are joined first: they leave few members for the rest. Members that
+    carry their sub-contract (see `ebbtide.sources.layout`) are not joined with it again.
     """
     blocks = latest_blocks(s.events, start, end, ["event_date", "reason_code", "user"])
     families = prefixed(dialect.wanted_families(s.families), "fam")
-    subcontracts = prefixed(alive(s.subcontracts), "sub")
     contracts = prefixed(alive(s.contracts), "con")
 
-    def equal(prefix: str, *pairs: tuple[str, str]):
-        condition = F.lit(True)
-        for left, right in pairs:
-            condition = condition & (F.col(left) == F.col(f"{prefix}_{right}"))
-        return condition
-
-    def same(prefix: str, *names: str):
-        return equal(prefix, *[(n, n) for n in names])
-
     rows = (
         dialect.wanted_members(s.members)
         .join(blocks, MEMBER_KEY)
@@ -81,12 +90,11 @@ def extract(s: Sources, start: date, end: date, as_of: date, dialect: Dialect) -
         .join(prefixed(alive(s.sellers), "seller"), "seller_code")
         .join(prefixed(alive(s.reasons), "reason"), "reason_code")
         .join(families, same("fam", *FAMILY_KEY))
-        .join(
-            subcontracts,
-            same("sub", "org", "company", "contract_no", "contract_ver", "subcontract"),
-            "left",
-        )
-        .join(contracts, same("con", "org", "company", "contract_no", "contract_ver"), "left")
+    )
+    if "sub_billing_level" not in s.members.columns:
+        rows = with_subcontracts(rows, s.subcontracts)
+    rows = (
+        rows.join(contracts, same("con", "org", "company", "contract_no", "contract_ver"), "left")
         .join(prefixed(s.attendance, "att"), equal("att", ("card_no", "card_no")), "left")
         .join(prefixed(alive(s.payment_types), "pay"), equal("pay", ("fam_payment_code", "code")), "left")
         .withColumn("birth_date", dialect.date(F.col("birth")))

@@ -16,12 +16,14 @@ def write_parts(df: DataFrame, path: str, by: str | Sequence[str]) -> None:
     df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*names).parquet(path)
 
 
-def write_bucketed(df: DataFrame, table: str, path: str, keys: Sequence[str], buckets: int) -> None:
+def write_bucketed(df: DataFrame, table: str, path: str, keys: Sequence[str], buckets: int, by: Sequence[str] = ()) -> None:
     """A table dealt and sorted by its join keys once, so that joins and groups on them need no shuffle.
 
-    Tables that are joined take the same number of buckets; a bucket should fit a task.
+    Tables that are joined take the same number of buckets; a bucket should fit a task. `by` puts
+    parts, a branch for example, into folders of their own.
     """
-    df.write.mode("overwrite").option("path", path).bucketBy(buckets, *keys).sortBy(*keys).saveAsTable(table)
+    laid = df.write.mode("overwrite").option("path", path).bucketBy(buckets, *keys).sortBy(*keys)
+    (laid.partitionBy(*by) if by else laid).saveAsTable(table)
 
 
 def plain_number(c: Column) -> Column:

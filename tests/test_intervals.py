@@ -1,6 +1,7 @@
 """Look-up by key and interval, sketches, and tables that are replaced or read in parts."""
 
 import random
+from dataclasses import replace
 
 import pytest
 from pyspark.sql import functions as F
@@ -135,3 +136,53 @@ def test_bucketed_tables_join_without_a_shuffle(spark, tmp_path):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
         spark.sql("DROP TABLE laid_members")
         spark.sql("DROP TABLE laid_families")
+
+
+def scans(plan, above=()):
+    """Scans of a physical plan, each with the nodes above it."""
+    children = [plan.children().apply(i) for i in range(plan.children().size())]
+    if not children:
+        yield plan.toString(), above
+    for c in children:
+        yield from scans(c, (plan.nodeName(), *above))
+
+
+SETTINGS = {"spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.requireAllClusterKeysForCoPartition": "false"}
+
+
+@pytest.fixture
+def plain_plans(spark):
+    before = {k: spark.conf.get(k) for k in SETTINGS}
+    for k, v in SETTINGS.items():
+        spark.conf.set(k, v)
+    yield
+    for k, v in before.items():
+        spark.conf.set(k, v)
+
+
+def test_a_laid_out_extract_shuffles_neither_members_nor_families(spark, folder, tmp_path, plain_plans):
+    import __spark_entry__ as entry
+    from ebbtide.plans.contracts import DIALECT_A
+    from ebbtide.sources import standin
+    from ebbtide.sources.layout import lay_out
+
+    t = standin.Tables(spark, folder)
+    names = "members families sellers reasons plans subcontracts contracts prices attendance payment_types receivables customers".split()
+    plain = detail.Sources(**{n: getattr(standin, n)(t) for n in names}, events=standin.block_events(t, entry.FIRST_DAY, entry.LAST_DAY))
+    laid = lay_out(plain, "laid", str(tmp_path), 4)
+    try:
+        period = entry.FIRST_DAY, entry.LAST_DAY, entry.AS_OF, DIALECT_A
+        branch = replace(laid, members=laid.members.where("branch_code = '01'"))
+        found = detail.extract(branch, *period)
+        seen = []
+        for scan, above in scans(found._jdf.queryExecution().executedPlan()):
+            if "laid_" in scan:
+                below = above[: next(i for i, n in enumerate(above) if "Join" in n)]
+                assert not any("Exchange" in n for n in below), above
+                seen.append("laid_members" in scan)
+                assert not seen[-1] or "PartitionFilters: [isnotnull(branch_code" in scan
+        assert sorted(seen) == [False, True]
+        assert sorted(found.collect(), key=repr) == sorted(detail.extract(plain, *period).collect(), key=repr)
+    finally:
+        spark.sql("DROP TABLE IF EXISTS laid_members")
+        spark.sql("DROP TABLE IF EXISTS laid_families")
