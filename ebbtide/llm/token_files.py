@@ -15,6 +15,7 @@ from functools import partial
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyarrow import fs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
@@ -22,6 +23,8 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ebbtide.llm.batches import importable, mapped, pa_schema, written
+from ebbtide.llm.token_counts import byte_letters
+from ebbtide.llm.vocabulary import Known, split
 from ebbtide.llm.wavelet import WaveletMatrix, planes_of
 from ebbtide.llm.wavelet import packed as packed_matrix
 from ebbtide.operators.lineage import checkpoint_dir
@@ -29,36 +32,57 @@ from ebbtide.operators.lineage import checkpoint_dir
 # Ids of one shard, unless its last document has more.
 SHARD_IDS = 1 << 22
 # Words kept between slices, before the cache starts anew.
-CACHE_SIZE = 400_000
+WORDS_KEPT = 1_000_000
+# Text of these characters alone (ASCII, letters of Latin-1, general punctuation) is in its normal
+# form once it is in lower case, and PART cuts it as the vocabulary's split does.
+PLAIN_LETTERS = r" \t\n\r!-~À-ÖØ-öø-ÿ\u2010-\u2027\u2030-\u205e"
+PLAIN = re.compile(f"[{PLAIN_LETTERS}]*")
+NOT_PLAIN = re.sub(r"\\u(\w{4})", r"\\x{\1}", f"[^{PLAIN_LETTERS}]|<\\|")
+PART = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^ \t\n\ra-zß-öø-ÿ0-9]+")
 SHARDS = "part int, shard int, path string, local_start long, n_ids long, n_docs long"
 
 
-class Encoder:
-    """Ids by the tokenizers library, word by word: the vocabulary's split drops white space.
+def words(texts: pa.Array) -> pa.Array:
+    """What ASCII white space separates, by text: the split drops white space, and no token or special
+    string has any. Plain text is put in lower case, as the vocabulary does."""
+    texts = pc.fill_null(texts, "")
+    plain = pc.invert(pc.match_substring_regex(texts, NOT_PLAIN))
+    return split(pc.if_else(plain, pc.utf8_lower(texts), texts))
 
-    White space is in no token and in no special string, so that words between blanks, tabs and
-    line ends are encoded alike alone and in their text. Other white space stays in the word.
-    """
+
+class Encoder:
+    """Ids by the tokenizers library, which sees each distinct word of the texts once."""
 
     def __init__(self, vocabulary: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_file(vocabulary)
+        self.model = self.library.model
         self.kind = id_kind(self.library.get_vocab_size())
-        self.word = re.compile(r"[^ \t\n\r]+")
-        self.known: dict[str, bytes] = {}
-
-    def __call__(self, texts: list[str | None], end: int) -> list[bytes]:
+        self.words = Known(self.kind)
+        # The byte alphabet's letters for what is not ASCII in plain words.
+        letters = byte_letters()
+        self.letters = {c: "".join(letters[b] for b in chr(c).encode()) for c in range(0x80, 0x2060) if PLAIN.fullmatch(chr(c))}
+
+    def ids_of(self, word: str) -> list[int]:
+        """A plain word is cut here, and its parts go to the library's model; any other goes through all of the library."""
+        if not PLAIN.fullmatch(word) or "<|" in word:
+            return self.library.encode(word, add_special_tokens=False).ids
+        tokenize, letters = self.model.tokenize, self.letters
+        return [t.id for part in PART.findall(word.lower()) for t in tokenize(part if part.isascii() else part.translate(letters))]
+
+    def __call__(self, texts: pa.Array, end: int) -> list[bytes]:
         """Each text's ids and `end`, as little-endian integers of the vocabulary's width."""
-        words = [self.word.findall(t) if t else [] for t in texts]
-        if len(self.known) > CACHE_SIZE:
-            self.known = {}
-        new = list(set().union(*words).difference(self.known))
-        for word, found in zip(new, self.library.encode_batch_fast(new, add_special_tokens=False), strict=True):
-            self.known[word] = np.array(found.ids, self.kind).tobytes()
+        if len(self.words) > WORDS_KEPT:
+            self.words = Known(self.kind)
+        cut = words(texts)
+        numbers = self.words.numbers(cut)
+        self.words.learn([self.ids_of(w) for w in self.words.new])
+        ids = self.words.of(numbers).tobytes()
+        ends = (self.words.ends(cut, numbers) * self.kind.itemsize).tolist()
         last = np.array([end], self.kind).tobytes()
-        return [b"".join(map(self.known.__getitem__, w)) + last for w in words]
+        return [ids[s:e] + last for s, e in zip([0, *ends[:-1]], ends)]
 
 
 def id_kind(vocabulary: int) -> np.dtype:
@@ -72,7 +96,7 @@ def _encode(vocabulary: str, end: int, part: pa.RecordBatch) -> dict:
     if vocabulary not in _ENCODERS:
         _ENCODERS.clear()
         _ENCODERS[vocabulary] = Encoder(vocabulary)
-    return {"doc_id": part.column(0), "ids": _ENCODERS[vocabulary](part.column(1).to_pylist(), end)}
+    return {"doc_id": part.column(0), "ids": _ENCODERS[vocabulary](part.column(1), end)}
 
 
 def shared_file(path: str) -> tuple[fs.FileSystem, str]:

@@ -40,7 +40,7 @@ def packed(values: np.ndarray, planes: int, side: pa.Table) -> bytes:
             before.append(before[-1] + int(bits[start : start + BLOCK_BITS].sum()))
         ones.append(before)
         zeros.append(len(values) - before[-1])
-        values = np.concatenate([values[~bits], values[bits]])
+        values = np.concatenate([np.compress(~bits, values), np.compress(bits, values)])
     numbers = np.concatenate([np.ravel(ones), zeros, ends]).astype("<i8")
     directory = zstandard.compress(numbers.tobytes())
     sink = pa.BufferOutputStream()
@@ -144,7 +144,7 @@ class WaveletMatrix:
             bits = np.concatenate(parts).astype(bool) if parts else np.zeros(0, bool)
             zeros = int(self.zeros[plane])
             whole = np.empty_like(values)
-            whole[~bits] = values[:zeros]
-            whole[bits] = values[zeros:] | kind(1 << (self.planes - 1 - plane))
+            whole[np.flatnonzero(~bits)] = values[:zeros]
+            whole[np.flatnonzero(bits)] = values[zeros:] | kind(1 << (self.planes - 1 - plane))
             values = whole
         return values

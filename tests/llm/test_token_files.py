@@ -59,12 +59,23 @@ def test_words_give_the_ids_of_the_whole_text(library):
     draw = random.Random(3)
     letters = "aAbB'sStTllreve <|>endoftext.,!?12éÉßẞΣσς\t\n\x0b\x1c\x85\xa0 ‍́😀日"
     texts = ["".join(draw.choice(letters) for _ in range(draw.randint(0, 60))) for _ in range(3000)]
+    ascii_only = [chr(c) for c in [*range(1, 256), *range(0x2000, 0x2070)]]
+    texts += ["".join(draw.choice(ascii_only) for _ in range(draw.randint(0, 30))) for _ in range(3000)]
+    texts += ["I'LL go, it's 1234x<|endoftext|>y", "<|EndOfText|>", "a<|startoftext|>b", "x<|", "|>y", "don't''d", "A1b2C3...!!a"]
     texts += ["", None, "a" * 3001, "ΑΣ ΣΑΣ.", "<|endoftext|>a<|startoftext|> <|endoftext|>", "x\x1cy\x85w​q　l", "e ́ é"]
     encoder = Encoder(PATH)
-    found = [np.frombuffer(raw, encoder.kind).tolist() for raw in encoder(texts, 2)]
+    found = [np.frombuffer(raw, encoder.kind).tolist() for raw in encoder(pa.array(texts, pa.string()), 2)]
     assert found == [[*library.encode(t or "", add_special_tokens=False).ids, 2] for t in texts]
 
 
+def test_small_caches_change_nothing(library, monkeypatch):
+    monkeypatch.setattr(token_files, "WORDS_KEPT", 3)
+    encoder = Encoder(PATH)
+    for text in ["one two, three", "Two 22 one", "für one", "three. two", ""] * 2:
+        (raw,) = encoder(pa.array([text]), 2)
+        assert np.frombuffer(raw, encoder.kind).tolist() == [*library.encode(text, add_special_tokens=False).ids, 2]
+
+
 def wanted(library, rows):
     """Rows in file order, by plain counting."""
     start, found = 0, []
