@@ -1,6 +1,7 @@
 """Where and how often work is cut: lineage and partitions."""
 
 import re
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -25,6 +26,14 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return context.getCheckpointDir()
 
 
+def importable(spark: SparkSession) -> None:
+    """Lets Python workers on the driver's machine find this package where the driver found it.
+
+    On a cluster it is installed, or on the PYTHONPATH of the executors.
+    """
+    spark.sparkContext.environment.setdefault("PYTHONPATH", str(Path(__file__).resolve().parents[2]))
+
+
 def cut(df: DataFrame) -> DataFrame:
     """The same rows, written to the shared folder: computed once, safe from lost executors."""
     checkpoint_dir(df.sparkSession)
