@@ -23,6 +23,8 @@ from ebbtide.llm.cuckoo import Cuckoo
 SPACE = b" \t\n\x0b\x0c\r"
 LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
 KEY = ["h1", "h2"]
+# Batches that a corpus is inserted in.
+BATCHES = 3
 LINES = "_id long, _row long, doc_id long, line int, h1 long, h2 long"
 
 
@@ -142,7 +144,8 @@ def insert(state: State, lines: DataFrame) -> State:
     untouched = state.counts.join(updated.select(*KEY), KEY, "left_anti")
     return replace(
         state,
-        refs=written(state.refs.unionByName(fresh)),
+        # What is there stays where it is; only what is new is written.
+        refs=state.refs.unionByName(written(fresh)),
         counts=written(untouched.unionByName(updated)),
         filters=_filters(state, added, "insert"),
     )
@@ -188,8 +191,20 @@ def deduplicated(docs: DataFrame, state: State, lines: DataFrame, id_col: str =
     )
 
 
+def inserted(lines: DataFrame, batches: int = BATCHES) -> State:
+    """The state of all documents of `lines`, inserted in batches by a hash of their ids.
+
+    From the second batch on, the filters tell which keys are new for certain; only the others are
+    looked up in the counts.
+    """
+    state = empty(lines.sparkSession)
+    for n in range(batches):
+        state = insert(state, lines.where(F.pmod(F.xxhash64("doc_id"), F.lit(batches)) == n))
+    return state
+
+
 def dedup_corpus(docs: DataFrame, least: int = 10, id_col: str = "doc_id", text: str = "text") -> DataFrame:
-    """All `docs` inserted into an empty state and freed of repeated lines: see `deduplicated`.
+    """All `docs` inserted into an empty state and freed of repeated lines: see `inserted`, `deduplicated`.
 
     A line's key is the line without ASCII white space at its ends and with A-Z lower-cased.
     Keys of `least` code points or more that two documents hold lose all lines except in the
@@ -198,8 +213,7 @@ def dedup_corpus(docs: DataFrame, least: int = 10, id_col: str = "doc_id", text:
     that some other documents share. Further columns stay; an empty table gives an empty one.
     """
     lines = written(line_keys(docs, least, id_col, text))
-    state = insert(empty(docs.sparkSession), lines)
-    return deduplicated(docs, state, lines, id_col, text)
+    return deduplicated(docs, inserted(lines), lines, id_col, text)
 
 
 def digests(rows: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:

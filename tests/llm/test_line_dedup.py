@@ -10,6 +10,7 @@ from cases import table
 from pyspark.sql import functions as F
 
 from ebbtide.llm import line_dedup
+from ebbtide.llm.batches import written
 from ebbtide.llm.cuckoo import Cuckoo
 
 
@@ -98,6 +99,23 @@ def test_cuckoo_filter(room):
     assert not own.table.any() and not len(own.stash)
 
 
+def test_batches_leave_the_state_of_one(spark):
+    lines = written(line_dedup.line_keys(table(spark, corpus(5)), 10))
+    one, many = (line_dedup.inserted(lines, n) for n in (1, 4))
+    assert contents(one) == contents(many)
+
+
+def test_filters_spare_new_keys_the_exact_look_up(spark):
+    """Of a second batch, the keys that no document holds yet are told by the filters alone."""
+    old = [(i, "\n".join(f"an old line of text {j}" for j in range(i, i + 40)), "en", "s") for i in range(20)]
+    new = [(100 + i, "\n".join([f"an old line of text {i}", *[f"a new line of text {j}" for j in range(i, i + 300)]]), "en", "s") for i in range(5)]
+    state = line_dedup.inserted(written(line_dedup.line_keys(table(spark, old), 10)), 1)
+    batch = line_dedup.line_keys(table(spark, new), 10).select("h1", "h2").distinct()
+    probed = line_dedup._by_shard(state, batch, state.filters, "probe").where("h1 is not null")
+    known, spared = probed.where("known").count(), probed.where("not known").count()
+    assert known + spared == 5 + 304 and 5 <= known <= 8
+
+
 def test_many_lines_in_one_text(spark):
     shared = [f"a shared line with number {i}" for i in range(0, 50_000, 100)]
     text = "\n".join(f"a shared line with number {i}" for i in range(50_000))
