@@ -8,6 +8,7 @@ in the slots have to correspond one to one.
 
 import re
 from collections import Counter, defaultdict
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -18,6 +19,7 @@ from pyspark.sql import functions as F
 from ebbtide.llm.batches import keyed, mapped, row_key, written
 from ebbtide.llm.cuckoo import mix
 from ebbtide.llm.substring_dedup import Sums
+from ebbtide.llm.vocabulary import Known, split
 
 # What a token is, and words that are units after a number.
 TOKEN = re.compile(r"\d+(?:[.,:/]\d+)*|[^\W\d_]+(?:['’-][^\W\d_]+)*")
@@ -29,54 +31,88 @@ UNITS = frozenset(
 LITERAL, NUMBER, NAME, UNIT = range(4)
 PLACEHOLDERS = mix(np.arange(1, 5, dtype=np.uint64))
 # The prefilter has so many bits however large the benchmark is; the join behind it is exact.
-FILTER_BITS, CACHE_SIZE = 1 << 24, 200_000
+FILTER_BITS, FILTER_SHIFT, CACHE_SIZE = 1 << 24, 24, 120_000
 WINDOWS = "a long, b long, start int, size int, exact int, slots array<string>"
 
 
 class Tokens(dict):
-    """A token's hash, lower-cased, with its kind in the two lowest bits."""
+    """Of each word between white space, which no token spans, the hashes of its tokens, lower-cased,
+    with their kinds in the two lowest bits."""
 
-    def __missing__(self, token: str) -> int:
+    def __missing__(self, word: str) -> bytes:
+        self[word] = value = b"".join([self.packed(t).to_bytes(8, "little") for t in TOKEN.findall(word)])
+        return value
+
+    @staticmethod
+    def packed(token: str) -> int:
         first = token[0]
         lower = token.lower()
         kind = NUMBER if first.isdigit() else NAME if first.isupper() else UNIT if lower in UNITS else LITERAL
-        self[token] = value = xxhash.xxh64_intdigest(lower) & ~3 | kind
-        return value
+        return xxhash.xxh64_intdigest(lower) & ~3 | kind
 
-    def of(self, tokens: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """Hashes and kinds; a unit is one only after a number."""
+    def of(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Hashes and kinds of all tokens; see `words_and_kinds`."""
         if len(self) > CACHE_SIZE:
             self.clear()
-        packed = np.fromiter(map(self.__getitem__, tokens), np.uint64, len(tokens))
-        kinds = (packed & np.uint64(3)).astype(np.int8)
-        after = np.r_[False, kinds[:-1] == NUMBER][: len(kinds)]
-        kinds[(kinds == UNIT) & ~after] = LITERAL
-        return packed | np.uint64(3), kinds
+        return words_and_kinds(np.frombuffer(b"".join(map(self.__getitem__, words)), "<u8"), np.zeros(1, np.int64))
+
+
+def words_and_kinds(packed: np.ndarray, begins: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes and kinds of tokens; a unit is one only after a number of its text, and texts begin at these places."""
+    kinds = (packed & np.uint64(3)).astype(np.int8)
+    after = np.r_[False, kinds[:-1] == NUMBER][: len(kinds)]
+    after[begins[begins < len(after)]] = False
+    kinds[(kinds == UNIT) & ~after] = LITERAL
+    return packed | np.uint64(3), kinds
 
 
 class Template:
     """Hashes of a text's windows: of its template, or of its words where a window has few literal ones."""
 
-    def __init__(self, tokens: list[str], cache: Tokens, any_case: bool = False):
-        self.tokens = tokens
-        self.words, self.kinds = cache.of(tokens)
-        # The words again; unless in any case, numbers and names told apart (a unit hangs on the word before).
-        self.exact = self.words if any_case else self.words ^ (self.kinds % UNIT).astype(np.uint64)
+    def __init__(self, raw: list[str], cache: Tokens, any_case: bool = False):
+        self.raw = raw
+        self._shape(*cache.of(raw), any_case)
+
+    @classmethod
+    def of_packed(cls, packed: np.ndarray, begins: np.ndarray, any_case: bool) -> "Template":
+        """Of hashed tokens of several texts, which begin at these places."""
+        made = cls.__new__(cls)
+        made._shape(*words_and_kinds(packed, begins), any_case)
+        return made
+
+    def _shape(self, words: np.ndarray, kinds: np.ndarray, any_case: bool) -> None:
+        self.words, self.kinds = words, kinds
+        # Unless words count in any case, numbers and names are told apart (a unit hangs on the word before).
+        self.any_case = any_case
+        if not any_case:
+            self.exact = self.words ^ (self.kinds % UNIT).astype(np.uint64)
         self.shaped = np.where(self.kinds == LITERAL, self.words, PLACEHOLDERS[self.kinds])
         self.literals = np.r_[0, np.cumsum(self.kinds == LITERAL)]
         self.sums: dict[tuple[str, int], Sums] = {}
 
+    @cached_property
+    def tokens(self) -> list[str]:
+        return TOKEN.findall(" ".join(self.raw))
+
     def hashes(self, of: str, half: int, start: np.ndarray, size: int) -> np.ndarray:
         """One half of the hashes of windows of the template (`shaped`) or of the words (`words`, `exact`)."""
+        of = "words" if self.any_case and of == "exact" else of
         if (of, half) not in self.sums:
             self.sums[of, half] = Sums(getattr(self, of), half)
         return self.sums[of, half](start, start + size)
 
     def starts(self, size: int) -> tuple[np.ndarray, np.ndarray]:
         """Where windows start, and whether they are mostly slots."""
-        start = np.arange(max(0, len(self.tokens) - size + 1))
+        start = np.arange(max(0, len(self.words) - size + 1))
         return start, (self.literals[start + size] - self.literals[start]) * 2 < size
 
+    def halves(self, size: int) -> list[tuple[int, np.ndarray]]:
+        """First hash halves of all windows: by template (0), or by words where mostly slots; and by words (1)."""
+        start, literal = self.starts(size)
+        words = self.hashes("words", 0, start, size)
+        exact = words if self.any_case else self.hashes("exact", 0, start, size)
+        return [(0, np.where(literal, ~words, self.hashes("shaped", 0, start, size))), (1, exact)]
+
     def windows(self, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """Start, two hash halves and whether the words themselves were hashed."""
         start, literal = self.starts(size)
@@ -112,7 +148,7 @@ def benchmark_windows(items: DataFrame, size: int, any_case: bool = False) -> Da
     def each(part: pa.RecordBatch) -> dict:
         rows = []
         for item, text in zip(part.column(0).to_pylist(), part.column(1).to_pylist()):
-            template = Template(TOKEN.findall(text or ""), cache, any_case)
+            template = Template((text or "").split(), cache, any_case)
             n = len(template.tokens)
             if not n:
                 continue
@@ -131,33 +167,63 @@ def benchmark_windows(items: DataFrame, size: int, any_case: bool = False) -> Da
 
 
 def prefilter(windows: DataFrame) -> np.ndarray:
-    """A bit for each window hash, FILTER_BITS in all, put together by Spark: its size is fixed."""
-    place = F.pmod("a", F.lit(FILTER_BITS))
-    bit = F.expr(f"shiftleft(1L, cast(pmod(pmod(a, {FILTER_BITS}), 64) as int))")
-    cells = windows.groupBy(F.floor(place / 64).alias("cell")).agg(F.bit_or(bit).alias("bits")).collect()
+    """Two bits for each window hash, FILTER_BITS in all, put together by Spark: its size is fixed."""
+    places = F.array(F.pmod("a", F.lit(FILTER_BITS)), F.pmod(F.shiftrightunsigned("a", FILTER_SHIFT), F.lit(FILTER_BITS)))
+    bit = F.expr("shiftleft(1L, cast(pmod(place, 64) as int))")
+    set_bits = windows.select(F.explode(places).alias("place"))
+    cells = set_bits.groupBy(F.floor(F.col("place") / 64).alias("cell")).agg(F.bit_or(bit).alias("bits")).collect()
     table = np.zeros(FILTER_BITS // 64, np.uint64)
     for r in cells:
         table[r["cell"]] = np.uint64(r["bits"] & (1 << 64) - 1)
     return table
 
 
+def let_through(table: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    """Places of hashes that have both bits in the prefilter."""
+    at = np.arange(len(hashes))
+    for shift in (0, FILTER_SHIFT):
+        place = (hashes[at] >> np.uint64(shift)) & np.uint64(FILTER_BITS - 1)
+        at = at[(table[place >> np.uint64(6)] >> (place & np.uint64(63))) & np.uint64(1) == 1]
+    return at
+
+
+class Scan:
+    """Which texts of a slice have a window that the prefilter lets through, all texts in one row of tokens."""
+
+    def __init__(self, any_case: bool):
+        self.any_case, self.known = any_case, Known(np.dtype("<u8"))
+
+    def __call__(self, texts: pa.Array, sizes: list[int], table: np.ndarray) -> np.ndarray:
+        if len(self.known) > CACHE_SIZE:
+            self.known = Known(np.dtype("<u8"))
+        cut = split(texts)
+        numbers = self.known.numbers(cut)
+        self.known.learn([[Tokens.packed(t) for t in TOKEN.findall(w)] for w in self.known.new])
+        ends = self.known.ends(cut, numbers)
+        template = Template.of_packed(self.known.of(numbers), np.r_[0, ends[:-1]], self.any_case)
+        owner = np.repeat(np.arange(len(ends)), np.diff(np.r_[0, ends]))
+        found = []
+        for size in sizes:
+            for _, hashes in template.halves(size):
+                at = let_through(table, hashes)
+                found.append(owner[at[owner[at] == owner[at + size - 1]]])
+        return np.unique(np.concatenate([*found, np.zeros(0, np.int64)]))
+
+
 def document_windows(docs: DataFrame, sizes: list[int], table: np.ndarray, any_case: bool = False) -> DataFrame:
     """Windows of documents that the prefilter lets through, with their slots."""
-    cache = Tokens()
+    cache, scan = Tokens(), Scan(any_case)
     shared = docs.sparkSession.sparkContext.broadcast(table)
 
     def each(part: pa.RecordBatch) -> dict | None:
         owner, found = [], []
-        bits = shared.value
-        for i, text in enumerate(part.column(2).to_pylist()):
-            template = Template(TOKEN.findall(text or ""), cache, any_case)
+        bits, texts = shared.value, part.column(2)
+        for i in scan(texts, sizes, bits).tolist():
+            template = Template((texts[i].as_py() or "").split(), cache, any_case)
             for size in sizes:
-                start, literal = template.starts(size)
-                words = template.hashes("words", 0, start, size)
-                halves = np.where(literal, ~words, template.hashes("shaped", 0, start, size)), template.hashes("exact", 0, start, size)
-                for exact, own in enumerate(halves):
-                    place = own.view(np.int64) % FILTER_BITS
-                    at = np.flatnonzero((bits[place >> 6] >> (place & 63).astype(np.uint64)) & np.uint64(1))
+                _, literal = template.starts(size)
+                for exact, own in template.halves(size):
+                    at = let_through(bits, own)
                     if not len(at):
                         continue
                     if exact:

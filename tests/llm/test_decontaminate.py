@@ -103,3 +103,121 @@ def test_kinds_and_windows():
     assert np.array_equal(one.windows(6)[1], other.windows(6)[1])
     names = [Template(w.split(), Tokens()).windows(4) for w in ("Tom Ann Lee has", "Tom Ann Joe has")]
     assert names[0][3].all() and not np.array_equal(names[0][1], names[1][1])
+
+
+def plain_matches(docs, items, size, least_cover):
+    """The registered behaviour by plain loops over all windows of all texts and items."""
+    from ebbtide.llm.decontaminate import LITERAL, one_to_one
+
+    cache = Tokens()
+
+    def read(text):
+        tokens = TOKEN.findall(text or "")
+        return [t.lower() for t in tokens], cache.of(tokens)[1].tolist()
+
+    asked = {}
+    for item_id, text in items:
+        tokens, kinds = read(text)
+        if tokens:
+            asked.setdefault(tuple(tokens), (item_id, kinds))
+    classes = {}
+    for tokens, (item_id, kinds) in asked.items():
+        slots = [t for t, k in zip(tokens, kinds) if k != LITERAL]
+        shape = tuple(t if k == LITERAL else k for t, k in zip(tokens, kinds)), tuple(slots.index(t) for t in slots)
+        classes.setdefault(shape, []).append((item_id, tokens, kinds))
+    found = {}
+    for row, (doc_id, text) in enumerate(docs):
+        own, own_kinds = read(text)
+        for members in classes.values():
+            members.sort(key=lambda m: m[0])
+            length = len(members[0][1])
+            n = min(size, length)
+            shaped, equal = {}, {}
+            for m, (_, tokens, kinds) in enumerate(members):
+                for at in range(length - n + 1):
+                    slotted = [i for i in range(at, at + n) if kinds[i] != LITERAL]
+                    for start in range(len(own) - n + 1):
+                        here = own[start : start + n]
+                        if here == list(tokens[at : at + n]):
+                            equal.setdefault(m if slotted else None, set()).add((start - at, at))
+                        if m or 2 * (n - len(slotted)) < n or not slotted:
+                            continue
+                        if [(t if k == LITERAL else k) for t, k in zip(tokens[at : at + n], kinds[at : at + n])] == [
+                            (t if k == LITERAL else k) for t, k in zip(here, own_kinds[start : start + n])
+                        ]:
+                            pairs = {(tokens[i], own[start + i - at]) for i in slotted}
+                            shaped.setdefault(start - at, {})[at, n] = pairs
+            best = {}
+            for m in {0, *equal} - {None}:
+                same = equal.get(None, set()) | equal.get(m, set())
+                covered = {i for _, at in same for i in range(at, at + n)}
+                for shift, windows in shaped.items():
+                    rest = {w: p for w, p in windows.items() if (shift, w[0]) not in same}
+                    covered |= {i for at, k in consistent(rest, True) for i in range(at, at + k)}
+                best[members[m][0]] = len(covered) / length
+            for item_id, cover in best.items():
+                if cover >= least_cover:
+                    found.setdefault(row, {})[item_id] = max(cover, found.get(row, {}).get(item_id, 0))
+    return {docs[row][0]: (",".join(map(str, sorted(ids))), max(ids.values())) for row, ids in found.items()}
+
+
+def varied(text, draw):
+    """The question asked again: every number and every capitalised word replaced, alike where alike."""
+    given = {}
+
+    def other(m):
+        token = m[0]
+        if token[0].isdigit():
+            return given.setdefault(token, str(draw.randrange(1000, 9999)))
+        return given.setdefault(token, "Z" + "".join(draw.choices("aeiourstln", k=7))) if token[0].isupper() else token
+
+    return TOKEN.sub(other, text)
+
+
+def test_registered_query_against_plain_loops(spark, tmp_path):
+    import random
+
+    draw = random.Random(11)
+    small = [f"{a}{b}" for a in ("mo", "ta", "ri", "ku") for b in ("le", "na", "so", "pi", "du")]
+
+    def question():
+        words = draw.choices(small, k=draw.randint(6, 30))
+        for i in range(0, len(words), 5):
+            words[i] = draw.choice(["Ann", "Bob", "12", "7", "3 km", "40 kg", "Cid"])
+        return " ".join(words)
+
+    items = [(i, question()) for i in range(1, 13)]
+    items += [(13, varied(items[0][1], draw)), (14, "who wrote it"), (15, None), (16, "")]
+    docs = []
+    for i in range(60):
+        parts = [question() for _ in range(draw.randrange(3))]
+        own = draw.choice(items[:14])[1]
+        cut = own.split()
+        parts.append(draw.choice([own, own.upper(), varied(own, draw), " ".join(cut[: len(cut) // 2 + 3]), own.replace("Ann", "Dee", 1), " so ".join(own.split(" ", 9))]))
+        docs.append((i, draw.choice([" ", "\n", ". "]).join(parts)))
+    docs += [(100, None), (101, "")]
+    table(spark, docs, "doc_id long, text string").repartition(3).write.parquet(f"{tmp_path}/documents.parquet")
+    table(spark, items, "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    got = {r["doc_id"]: (r["items"], r["cover"]) for r in queries.op6_decontaminate(spark, str(tmp_path)).collect()}
+    wanted = plain_matches(docs, items, 12, 0.25)
+    assert got == wanted and len(wanted) > 30
+
+
+def test_recall_of_questions_asked_again(spark, folder):
+    """Every item of the test benchmark with other numbers and names, inside other text."""
+    import random
+
+    import duckdb
+
+    draw = random.Random(12)
+    items = [r for r in duckdb.sql(f"SELECT item_id, text FROM '{folder}/benchmark.parquet'").fetchall()]
+    again = [(i, f"{PLAIN}. {varied(text, draw)} {PLAIN}") for i, text in items]
+    found = leaks(spark, [t for _, t in again], items, any_case=True, partial=True)
+    hit = sum(i in found[n] for n, (i, _) in enumerate(again))
+    assert hit >= 0.9 * len(items)
+
+
+def test_texts_of_a_slice_do_not_run_into_one_another(spark):
+    words = QUESTION.split()
+    texts = [*[" ".join(words[i : i + 8]) for i in range(0, len(words), 8)], "", None, "5", "kg of it"]
+    assert leaks(spark, texts) == dict.fromkeys(range(len(texts)), [])
