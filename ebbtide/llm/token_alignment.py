@@ -39,6 +39,10 @@ CACHE_SIZE = 300_000
 PARTS_PER_PARTITION, READ_BYTES = 4, 1 << 16
 # Sentencepiece's letter for a space, and the white space that may begin a unit.
 SPACE, BREAKS = "▁", " \t\n\r\v\f"
+# A unit of one blank or line end and these characters (ASCII, letters of Latin-1), and the pieces
+# that A's split, a fixed value of its format, cuts it into.
+PLAIN = re.compile(r"[ \n][!-~À-ÖØ-öø-ÿ]+")
+PIECE = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?[A-Za-zÀ-ÖØ-öø-ÿ]+| ?[0-9]+| ?[^ \nA-Za-zÀ-ÖØ-öø-ÿ0-9]+|\n")
 # Part of the row that holds a segment's documents.
 BODY = -1
 RUN = np.dtype([("pair", "<i8"), ("n", "<i8")])
@@ -55,7 +59,10 @@ class Pair:
         self.a = Tokenizer.from_file(byte_file)
         self.a.encode_special_tokens = True
         self.b = sentencepiece.SentencePieceProcessor(model_file=piece_file)
-        letter = {c: b for b, c in enumerate(byte_letters())}
+        self.model, letters = self.a.model, byte_letters()
+        self.letters = {c: "".join(letters[b] for b in chr(c).encode()) for c in range(0x100)}
+        self.pieces: dict[str, list[int]] = {}
+        letter = {c: b for b, c in enumerate(letters)}
         size = max(self.a.get_vocab().values()) + 1
         entries = [self.a.id_to_token(i) or "" for i in range(size)]
         self.a_bytes = [bytes(letter[c] for c in e) if all(c in letter for c in e) else e.encode() for e in entries]
@@ -67,10 +74,23 @@ class Pair:
 
     def encode(self, units: list[str]) -> Iterator[tuple[str, list[int], list[int]]]:
         """Each unit with its ids; a line end in front keeps B from adding a space, and is taken off."""
-        a = self.a.encode_batch_fast(units, add_special_tokens=False)
+        if len(self.pieces) > CACHE_SIZE:
+            self.pieces = {}
         b = self.b.encode(["\n" + u for u in units], num_threads=1)
-        for unit, left, right in zip(units, a, b, strict=True):
-            yield unit, left.ids, right[2:]
+        for unit, right in zip(units, b, strict=True):
+            yield unit, self.a_ids(unit), right[2:]
+
+    def a_ids(self, unit: str) -> list[int]:
+        """A plain unit is cut here, and its pieces go to the library's model; any other goes through all of the library."""
+        if not PLAIN.fullmatch(unit):
+            return self.a.encode(unit, add_special_tokens=False).ids
+        found = []
+        for piece in PIECE.findall(unit):
+            ids = self.pieces.get(piece)
+            if ids is None:
+                ids = self.pieces[piece] = [t.id for t in self.model.tokenize(piece.translate(self.letters))]
+            found += ids
+        return found
 
 
 def unit_pattern(pieces: Iterable[str]) -> str:
