@@ -1,7 +1,9 @@
 """Arrow batches in slices of bounded size, and frames written for more than one use."""
 
+import threading
 import uuid
 from collections.abc import Callable, Iterable, Iterator
+from contextlib import contextmanager
 from pathlib import Path
 
 import pyarrow as pa
@@ -58,13 +60,42 @@ def pa_schema(spark: SparkSession, schema: str) -> pa.Schema:
     return to_arrow_schema(StructType.fromDDL(schema))
 
 
+# The lists of tables that `passing` has open, in each thread.
+_OPEN = threading.local()
+
+
+@contextmanager
+def passing(spark: SparkSession) -> Iterator[list[str]]:
+    """Tables that `written` makes inside, by this thread, are removed at the end.
+
+    Their paths are in the list; one that is taken out of it stays.
+    """
+    made: list[str] = []
+    outer = getattr(_OPEN, "made", None)
+    _OPEN.made = made
+    try:
+        yield made
+    finally:
+        _OPEN.made = outer
+        remove(spark, made)
+
+
+def remove(spark: SparkSession, paths: list[str]) -> None:
+    for path in paths:
+        place = spark._jvm.org.apache.hadoop.fs.Path(path)
+        place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
 def written(df: DataFrame) -> DataFrame:
     """The rows from a Parquet copy in the shared checkpoint folder.
 
     Computed once however often they are used, safe from lost executors, and with a size
-    that the optimizer knows.
+    that the optimizer knows. The copy stays there, unless `passing` is open.
     """
     path = f"{checkpoint_dir(df.sparkSession)}/table-{uuid.uuid4().hex}"
+    made = getattr(_OPEN, "made", None)
+    if made is not None:
+        made.append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
