@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ebbtide.llm import decontaminate, language_id, line_dedup, mixing, simhash
-from ebbtide.llm.batches import written
+from ebbtide.llm.batches import passing, remove, written
 
 # What a prediction has to reach: with several languages, a little over a guess.
 LEAST_SCORE = 0.3
@@ -59,8 +59,15 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over the documents, each one's result written and read again."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    """All stages over the documents, each one's result written and read again.
+
+    What a stage writes beside its result is removed when it is done, its input when it has been read.
+    """
+    docs, before = spark.read.parquet(f"{sf_dir}/documents.parquet"), []
     for _, stage in STAGES:
-        docs = written(stage(spark, docs, sf_dir))
+        with passing(spark) as made:
+            docs = written(stage(spark, docs, sf_dir))
+            result = made.pop()
+        remove(spark, before)
+        before = [result]
     return docs
