@@ -125,12 +125,16 @@ def _signed(part: pa.RecordBatch) -> dict:
 
 
 def near_pairs(counted: DataFrame) -> DataFrame:
-    """Every pair of words one code point apart, once: `a`, `n_a`, `b`, `n_b`."""
+    """Every pair of words one code point apart, once: `a`, `n_a`, `b`, `n_b`.
+
+    Spark sizes the signatures like the words they are made of, some thirty times too low, so a
+    side of the join is never broadcast.
+    """
     signed = mapped(counted.select("word", "n"), "sig long, role int, word string, n long", "word", _signed)
     left = signed.where(F.col("role") != LONGER).select("sig", F.col("word").alias("a"), F.col("n").alias("n_a"))
     right = signed.where(F.col("role") != SHORTER).select("sig", F.col("word").alias("b"), F.col("n").alias("n_b"))
     once = (F.length("a") != F.length("b")) | (F.col("a") < F.col("b"))
-    met = left.join(right, (left.sig == right.sig) & once & (F.levenshtein("a", "b", 1) == 1))
+    met = left.join(right.hint("merge"), (left.sig == right.sig) & once & (F.levenshtein("a", "b", 1) == 1))
     return met.groupBy("a", "b").agg(F.first("n_a").alias("n_a"), F.first("n_b").alias("n_b"))
 
 

@@ -117,3 +117,10 @@ def test_registered_query_against_brute_force(spark, folder):
 
     docs = spark.read.parquet(f"{folder}/documents.parquet").collect()
     assert shown(entry.queries()["op12_spelling"](spark, folder)) == brute_force([(d["doc_id"], d["text"]) for d in docs])
+
+
+def test_signatures_are_not_broadcast_by_the_size_of_the_words(spark):
+    counted = spelling.written(table(spark, [("frequent", 9), ("frequnt", 1)], "word string, n long"))
+    pairs = spelling.near_pairs(counted)
+    assert "Broadcast" not in pairs._jdf.queryExecution().executedPlan().toString()
+    assert [(r["a"], r["n_a"], r["b"], r["n_b"]) for r in pairs.collect()] == [("frequnt", 1, "frequent", 9)]
